@@ -95,6 +95,15 @@ def summary_sentence(items: Column) -> Column:
     )
 
 
+def label_lookup(label: Column, mapping: dict[str, str]) -> Column:
+    """Value of ``mapping`` for ``label``; NULL for an unknown label.
+
+    A literal map inside the projection: no join, no broadcast exchange.
+    """
+    pairs = [F.lit(x) for kv in sorted(mapping.items()) for x in kv]
+    return F.try_element_at(F.create_map(*pairs), label)
+
+
 def slot_name(name: Column | str, suffix: Column | str) -> Column:
     """``name_suffix`` slot key."""
     n = F.lit(name) if isinstance(name, str) else name

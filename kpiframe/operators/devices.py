@@ -52,6 +52,8 @@ def device_growth(
             *by, "product_type", F.lit(period.current_start).alias("month"),
             "total_devices", "prev_total_devices", growth.alias("growth_pct"),
         )
-        .withColumn("total_devices_text", thousands(F.col("total_devices")))
-        .withColumn("growth_phrase", growth_phrase(F.col("growth_pct"), "float"))
+        .withColumns({
+            "total_devices_text": thousands(F.col("total_devices")),
+            "growth_phrase": growth_phrase(F.col("growth_pct"), "float"),
+        })
     )

@@ -55,16 +55,20 @@ def order_progress(
             "total_orders", "total_completed", "total_on_progress",
             prev_total.alias("prev_total_orders"),
         )
-        .withColumn("growth_pct", growth_pct_rounded(F.col("total_orders"), F.col("prev_total_orders")))
-        .withColumn("completed_pct", F.round(share_pct(F.col("total_completed"), F.col("total_orders")), 2))
-        .withColumn("on_progress_pct", F.round(share_pct(F.col("total_on_progress"), F.col("total_orders")), 2))
-        .withColumn("total_orders_text", thousands(F.col("total_orders")))
-        .withColumn("total_completed_text", thousands(F.col("total_completed")))
-        .withColumn("total_on_progress_text", thousands(F.col("total_on_progress")))
-        .withColumn("growth_phrase", growth_phrase(F.col("growth_pct"), "fixed2"))
-        .withColumn("growth_pct_text", percent2(F.col("growth_pct")))
-        .withColumn("completed_pct_text", percent2(F.col("completed_pct")))
-        .withColumn("on_progress_pct_text", percent2(F.col("on_progress_pct")))
+        .withColumns({
+            "growth_pct": growth_pct_rounded(F.col("total_orders"), F.col("prev_total_orders")),
+            "completed_pct": F.round(share_pct(F.col("total_completed"), F.col("total_orders")), 2),
+            "on_progress_pct": F.round(share_pct(F.col("total_on_progress"), F.col("total_orders")), 2),
+        })
+        .withColumns({
+            "total_orders_text": thousands(F.col("total_orders")),
+            "total_completed_text": thousands(F.col("total_completed")),
+            "total_on_progress_text": thousands(F.col("total_on_progress")),
+            "growth_phrase": growth_phrase(F.col("growth_pct"), "fixed2"),
+            "growth_pct_text": percent2(F.col("growth_pct")),
+            "completed_pct_text": percent2(F.col("completed_pct")),
+            "on_progress_pct_text": percent2(F.col("on_progress_pct")),
+        })
     )
 
 

@@ -23,9 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiframe.functions.period import Period
-from kpiframe.functions.text import slot_name
+from kpiframe.functions.text import label_lookup, slot_name
 from kpiframe.labels import DEFAULT_LABELS, Labels
-from kpiframe.operators.traffic import suffix_table
 from kpiframe.plans.broadcast import small_table
 from kpiframe.sources import schemas
 
@@ -35,12 +34,16 @@ DEFAULT_DECK = "monthly"
 
 def _suffixed(df: DataFrame, label_col: str, mapping: dict[str, str], names: Sequence[tuple[str, str]],
               by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(*by, slot, value)``: ``name_suffix`` per (name, value column)."""
-    suffixes = suffix_table(df.sparkSession, mapping).withColumnRenamed("label", label_col)
-    pairs = F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).alias("value")) for n, c in names]))
-    return df.join(suffixes, label_col).select(*by, "suffix", pairs).select(
-        *by, slot_name(F.col("name"), F.col("suffix")).alias("slot"), "value"
-    )
+    """Rows ``(*by, slot, value)``: ``name_suffix`` per (name, value column).
+
+    The suffix is a literal-map lookup of the label; unknown labels (NULL
+    suffix) are dropped, as an inner join with the label table would.
+    """
+    suffix = label_lookup(F.col(label_col), mapping)
+    pairs = F.inline(F.array(*[
+        F.struct(slot_name(F.lit(n), F.col("_suffix")).alias("slot"), F.col(c).alias("value")) for n, c in names
+    ]))
+    return df.select("*", suffix.alias("_suffix")).filter(F.col("_suffix").isNotNull()).select(*by, pairs)
 
 
 def _plain(df: DataFrame, names: Sequence[tuple[str, Column]], by: Sequence[str] = ()) -> DataFrame:
@@ -105,7 +108,7 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
     else:
         rid = report_id if isinstance(report_id, Column) else F.lit(report_id)
     first = parts[0]
-    month = first.select(*by).distinct() if by else first.sparkSession.range(1).select()
+    month = first.select(*by).distinct() if by else first.sparkSession.range(0, 1, 1, 1).select()
     month = month.select(*by, F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"))
     allp = reduce(DataFrame.unionByName, [month, *parts])
     return allp.select(rid.alias("report_id"), "slot", "value")

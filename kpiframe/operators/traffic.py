@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 from kpiframe.functions.growth import growth_pct
 from kpiframe.functions.period import CURRENT, Period, typed_lit
-from kpiframe.functions.text import fixed2, flagged_list, growth_phrase, slot_name, summary_sentence, thousands
+from kpiframe.functions.text import (
+    fixed2, flagged_list, growth_phrase, label_lookup, slot_name, summary_sentence, thousands,
+)
 from kpiframe.labels import DEFAULT_LABELS, METRIC_NAMES, Labels
 from kpiframe.plans.broadcast import small_table
 from kpiframe.sources import schemas
@@ -178,14 +180,13 @@ def traffic_growth(metrics: DataFrame, period: Period, by: Sequence[str] = ()) -
         "bounce": ("bounce_rate", "growth_bounce_rate"),
         "dur": ("avg_engagement_time", "growth_avg_engagement_time"),
     }
-    out = wide.withColumn("month_label", period.label())
+    cols = {"month_label": period.label()}
     for key, _, fmt in _METRICS:
         value_name, growth_name = text_names[key]
         cur, prev = F.col(f"cur_{key}"), F.col(f"prev_{key}")
-        out = out.withColumn(value_name, fmt(cur)).withColumn(
-            growth_name, growth_phrase(growth_pct(cur, prev), "traffic", prev=prev, cur=cur)
-        )
-    return out
+        cols[value_name] = fmt(cur)
+        cols[growth_name] = growth_phrase(growth_pct(cur, prev), "traffic", prev=prev, cur=cur)
+    return wide.withColumns(cols)
 
 
 def improved_metrics(df: DataFrame) -> Column:
@@ -200,9 +201,8 @@ def improved_metrics(df: DataFrame) -> Column:
 
 def traffic_summary(growth: DataFrame) -> DataFrame:
     """K8: add ``improved`` (array) and the ``summary`` sentence to K7 rows."""
-    return growth.withColumn("improved", improved_metrics(growth)).withColumn(
-        "summary", summary_sentence(F.col("improved"))
-    )
+    improved = improved_metrics(growth)
+    return growth.withColumns({"improved": improved, "summary": summary_sentence(improved)})
 
 
 def suffix_table(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
@@ -214,13 +214,11 @@ def traffic_all(summary: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequenc
     """K9: long ``(*by, slot, value)`` rows for every property with a known suffix.
 
     Properties are a grouping key of one job rather than a loop of jobs;
-    unknown properties are dropped by the inner join with the suffix table.
+    unknown properties (no suffix) are dropped.
     """
-    suffixes = suffix_table(summary.sparkSession, labels.property_suffix)
-    joined = summary.join(suffixes.withColumnRenamed("label", "property"), "property")
+    suffix = label_lookup(F.col("property"), labels.property_suffix)
     pairs = F.inline(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.col(col).alias("value")) for name, col in TRAFFIC_SLOTS
+        F.struct(slot_name(F.lit(name), F.col("_suffix")).alias("slot"), F.col(col).alias("value"))
+        for name, col in TRAFFIC_SLOTS
     ]))
-    return joined.select(*by, "suffix", pairs).select(
-        *by, slot_name(F.col("name"), F.col("suffix")).alias("slot"), "value"
-    )
+    return summary.select("*", suffix.alias("_suffix")).filter(F.col("_suffix").isNotNull()).select(*by, pairs)

@@ -32,12 +32,13 @@ def usage_months(usage: DataFrame, period: Period, products: Sequence[str]) -> D
 
 
 def customer_growth(
-    usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()
+    usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = (), sort: bool = True
 ) -> DataFrame:
     """K1: total customers per product for the current month, growth and text.
 
     Columns: ``*by, product, month, total_customer, prev_total_customer,
-    growth_pct, total_customer_text, growth_phrase``; sorted by product.
+    growth_pct, total_customer_text, growth_phrase``; sorted by product
+    unless ``sort=False`` (a consumer that re-shapes the rows needs no order).
     A product with no current-month row gives no row.
     """
     cur = F.col("month") == F.lit(period.current_start)
@@ -48,16 +49,18 @@ def customer_growth(
         F.count_if(cur).alias("_cur_rows"),
     )
     growth = growth_pct_rounded(F.col("total_customer"), F.col("prev_total_customer"))
-    return (
+    out = (
         agg.filter(F.col("_cur_rows") > 0)
         .select(
             *by, "product", F.lit(period.current_start).alias("month"),
             "total_customer", "prev_total_customer", growth.alias("growth_pct"),
         )
-        .withColumn("total_customer_text", thousands(F.col("total_customer")))
-        .withColumn("growth_phrase", growth_phrase(F.col("growth_pct"), "cast"))
-        .orderBy(*by, "product")
+        .withColumns({
+            "total_customer_text": thousands(F.col("total_customer")),
+            "growth_phrase": growth_phrase(F.col("growth_pct"), "cast"),
+        })
     )
+    return out.orderBy(*by, "product") if sort else out
 
 
 def mau_growth(
@@ -85,7 +88,9 @@ def mau_growth(
             *by, "product", F.lit(period.current_start).alias("month"),
             "total_mau", "prev_total_mau", "mau_percentage", growth.alias("growth_pct"),
         )
-        .withColumn("total_mau_text", thousands(F.col("total_mau")))
-        .withColumn("mau_percentage_text", percent2(F.col("mau_percentage") * 100))
-        .withColumn("growth_phrase", growth_phrase(F.col("growth_pct"), "cast"))
+        .withColumns({
+            "total_mau_text": thousands(F.col("total_mau")),
+            "mau_percentage_text": percent2(F.col("mau_percentage") * 100),
+            "growth_phrase": growth_phrase(F.col("growth_pct"), "cast"),
+        })
     )

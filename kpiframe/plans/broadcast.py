@@ -32,6 +32,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType,
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A DataFrame from a parameter list, broadcast when its known size allows."""
-    df = spark.createDataFrame(list(rows), schema)
+    """A DataFrame from a parameter list, broadcast when its known size allows.
+
+    Built as ``inline`` of a literal array over a one-row range, so it is a
+    JVM-side plan: ``createDataFrame(list)`` would be a Python RDD scan that
+    starts Python workers wherever it is read.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields, strict=True)])
+        for r in rows
+    ]
+    df = spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
     return F.broadcast(df) if len(rows) <= max_rows else df

@@ -71,7 +71,7 @@ class Ctx:
 
     # -- report layers --------------------------------------------------------
     def k1(self) -> DataFrame:
-        return usage.customer_growth(self.usage_p(), KPI_PERIOD, LABELS)
+        return usage.customer_growth(self.usage_p(), KPI_PERIOD, LABELS, sort=False)
 
     def k2(self) -> DataFrame:
         return usage.mau_growth(self.usage_p(), KPI_PERIOD, LABELS)
@@ -117,7 +117,7 @@ def _q(fn: Callable[[Ctx], DataFrame]) -> Callable[[Ctx], DataFrame]:
 # ---------------------------------------------------------------------------
 @_q
 def customer_growth(c: Ctx) -> DataFrame:
-    return c.k1()
+    return usage.customer_growth(c.usage_p(), KPI_PERIOD, LABELS)
 
 
 @_q

@@ -14,7 +14,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
+    # PySpark 4 captures the Python call site on every API call (several JVM
+    # round trips each) to enrich error messages; plan building is much
+    # faster without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
