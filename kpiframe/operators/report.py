@@ -51,6 +51,15 @@ def _plain(df: DataFrame, names: Sequence[tuple[str, Column]], by: Sequence[str]
     return df.select(*by, pairs)
 
 
+def usage_slots(fused: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """K1 + K2 slots from the fused usage rows, in one projection."""
+    return _suffixed(fused, "product", labels.product_suffix, [
+        ("total_customer", "total_customer_text"), ("growth_customer", "growth_phrase"),
+        ("total_mau", "total_mau_text"), ("mau_percentage", "mau_percentage_text"),
+        ("growth_mau", "mau_growth_phrase"),
+    ], by)
+
+
 def customer_slots(k1: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:
     return _suffixed(k1, "product", labels.product_suffix,
                      [("total_customer", "total_customer_text"), ("growth_customer", "growth_phrase")], by)
@@ -74,17 +83,26 @@ def progress_slots(k3: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def category_slots(k4: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:
+    """K4 slots in one projection (no per-category branches, so K4 runs once).
+
+    ``status`` -> ``contract_document``; ``product`` -> ``remaining_order_<suffix>``
+    (unknown products dropped); ``regional`` -> ``remaining_order_regional``
+    (the label) and ``total_remaining_order_regional`` (the count).
+    """
     cat = F.col("category")
-    status = k4.filter(cat == "status").select(*by, F.lit("contract_document").alias("slot"),
-                                                 F.col("total_orders").alias("value"))
     share = {p: labels.product_suffix.get(p, p.lower()) for p in labels.share_products}
-    product = _suffixed(k4.filter(cat == "product").withColumnRenamed("label", "product"), "product", share,
-                        [("remaining_order", "total_orders")], by)
-    region = _plain(k4.filter(cat == "regional"), [
-        ("remaining_order_regional", F.col("label")),
-        ("total_remaining_order_regional", F.col("total_orders")),
-    ], by)
-    return status.unionByName(product).unionByName(region)
+    first_slot = (
+        F.when(cat == "status", F.lit("contract_document"))
+        .when(cat == "product", slot_name(F.lit("remaining_order"), label_lookup(F.col("label"), share)))
+        .when(cat == "regional", F.lit("remaining_order_regional"))
+    )
+    first_value = F.when(cat == "regional", F.col("label")).otherwise(F.col("total_orders"))
+    second_slot = F.when(cat == "regional", F.lit("total_remaining_order_regional"))
+    pairs = F.inline(F.array(
+        F.struct(first_slot.alias("slot"), first_value.alias("value")),
+        F.struct(second_slot.alias("slot"), F.col("total_orders").alias("value")),
+    ))
+    return k4.select(*by, pairs).filter(F.col("slot").isNotNull())
 
 
 def device_slots(k5: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:

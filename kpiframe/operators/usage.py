@@ -31,35 +31,59 @@ def usage_months(usage: DataFrame, period: Period, products: Sequence[str]) -> D
     )
 
 
-def customer_growth(
-    usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = (), sort: bool = True
+def usage_growth(
+    usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()
 ) -> DataFrame:
-    """K1: total customers per product for the current month, growth and text.
+    """K1 and K2 fused: both read the same rows with the same grouping, so one
+    aggregate serves both (one scan, one exchange).
 
     Columns: ``*by, product, month, total_customer, prev_total_customer,
-    growth_pct, total_customer_text, growth_phrase``; sorted by product
-    unless ``sort=False`` (a consumer that re-shapes the rows needs no order).
-    A product with no current-month row gives no row.
+    growth_pct, total_customer_text, growth_phrase, total_mau, prev_total_mau,
+    mau_percentage, mau_growth_pct, total_mau_text, mau_percentage_text,
+    mau_growth_phrase``. A product with no current-month row gives no row.
     """
     cur = F.col("month") == F.lit(period.current_start)
     prev = F.col("month") == F.lit(period.previous_start)
     agg = usage_months(usage, period, labels.products).groupBy(*by, "product").agg(
         F.sum(F.when(cur, F.col("total_customer"))).alias("total_customer"),
         F.sum(F.when(prev, F.col("total_customer"))).alias("prev_total_customer"),
+        F.sum(F.when(cur, F.col("mau"))).alias("total_mau"),
+        F.sum(F.when(prev, F.col("mau"))).alias("prev_total_mau"),
+        F.avg(F.when(cur, F.col("ratio"))).alias("mau_percentage"),
         F.count_if(cur).alias("_cur_rows"),
     )
-    growth = growth_pct_rounded(F.col("total_customer"), F.col("prev_total_customer"))
-    out = (
+    return (
         agg.filter(F.col("_cur_rows") > 0)
         .select(
             *by, "product", F.lit(period.current_start).alias("month"),
-            "total_customer", "prev_total_customer", growth.alias("growth_pct"),
+            "total_customer", "prev_total_customer",
+            growth_pct_rounded(F.col("total_customer"), F.col("prev_total_customer")).alias("growth_pct"),
+            "total_mau", "prev_total_mau", "mau_percentage",
+            growth_pct_rounded(F.col("total_mau"), F.col("prev_total_mau")).alias("mau_growth_pct"),
         )
         .withColumns({
             "total_customer_text": thousands(F.col("total_customer")),
             "growth_phrase": growth_phrase(F.col("growth_pct"), "cast"),
+            "total_mau_text": thousands(F.col("total_mau")),
+            "mau_percentage_text": percent2(F.col("mau_percentage") * 100),
+            "mau_growth_phrase": growth_phrase(F.col("mau_growth_pct"), "cast"),
         })
     )
+
+
+def customer_growth(
+    usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = (), sort: bool = True
+) -> DataFrame:
+    """K1: total customers per product for the current month, growth and text.
+
+    Columns: ``*by, product, month, total_customer, prev_total_customer,
+    growth_pct, total_customer_text, growth_phrase``; sorted by product
+    unless ``sort=False`` (a consumer that re-shapes the rows needs no order).
+    """
+    out = usage_growth(usage, period, labels, by).select(
+        *by, "product", "month", "total_customer", "prev_total_customer", "growth_pct",
+        "total_customer_text", "growth_phrase",
+    )
     return out.orderBy(*by, "product") if sort else out
 
 
@@ -73,24 +97,8 @@ def mau_growth(
     ``mau_percentage`` is the plain mean of ``ratio`` (a fraction); its text
     is ``ratio * 100`` with two decimals and ``%``.
     """
-    cur = F.col("month") == F.lit(period.current_start)
-    prev = F.col("month") == F.lit(period.previous_start)
-    agg = usage_months(usage, period, labels.products).groupBy(*by, "product").agg(
-        F.sum(F.when(cur, F.col("mau"))).alias("total_mau"),
-        F.sum(F.when(prev, F.col("mau"))).alias("prev_total_mau"),
-        F.avg(F.when(cur, F.col("ratio"))).alias("mau_percentage"),
-        F.count_if(cur).alias("_cur_rows"),
-    )
-    growth = growth_pct_rounded(F.col("total_mau"), F.col("prev_total_mau"))
-    return (
-        agg.filter(F.col("_cur_rows") > 0)
-        .select(
-            *by, "product", F.lit(period.current_start).alias("month"),
-            "total_mau", "prev_total_mau", "mau_percentage", growth.alias("growth_pct"),
-        )
-        .withColumns({
-            "total_mau_text": thousands(F.col("total_mau")),
-            "mau_percentage_text": percent2(F.col("mau_percentage") * 100),
-            "growth_phrase": growth_phrase(F.col("growth_pct"), "cast"),
-        })
+    return usage_growth(usage, period, labels, by).select(
+        *by, "product", "month", "total_mau", "prev_total_mau", "mau_percentage",
+        F.col("mau_growth_pct").alias("growth_pct"), "total_mau_text", "mau_percentage_text",
+        F.col("mau_growth_phrase").alias("growth_phrase"),
     )

@@ -70,8 +70,8 @@ class Ctx:
         return mapped.daily_metrics(self.t.lineitem, upto=KPI_PERIOD.current_end, customer_type=LABELS.customer_type)
 
     # -- report layers --------------------------------------------------------
-    def k1(self) -> DataFrame:
-        return usage.customer_growth(self.usage_p(), KPI_PERIOD, LABELS, sort=False)
+    def k12(self) -> DataFrame:
+        return usage.usage_growth(self.usage_p(), KPI_PERIOD, LABELS)
 
     def k2(self) -> DataFrame:
         return usage.mau_growth(self.usage_p(), KPI_PERIOD, LABELS)
@@ -93,8 +93,7 @@ class Ctx:
 
     def slots(self) -> DataFrame:
         parts = [
-            report.customer_slots(self.k1(), LABELS),
-            report.mau_slots(self.k2(), LABELS),
+            report.usage_slots(self.k12(), LABELS),
             report.progress_slots(self.k3()),
             report.category_slots(self.k4(), LABELS),
             report.device_slots(self.k5(), LABELS),
