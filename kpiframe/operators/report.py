@@ -1,17 +1,17 @@
 """K10-K12: slot table, placeholder binding and template rendering.
 
 * K10 turns each KPI result into long ``(report_id, slot, value)`` rows; the
-  product/property label picks the slot suffix through an inner join with a
-  broadcast ``(label, suffix)`` table, so unknown labels are dropped.
+  product/property label picks the slot suffix through a literal-map lookup
+  inside the projection (no join), and unknown labels are dropped.
 * K11 binds placeholders to slots. Bound rows come from an inner join of the
   slots with the broadcast placeholder table; missing placeholders come from
   ``array_except`` of the expected slot list against the slots each report
   has. No reports x placeholders cross product is formed.
 * K12 renders templates: per report, the bound ``(ord, placeholder, value)``
   triples (bounded by the placeholder count) are sorted by ``ord`` and folded
-  over the template text with ``aggregate`` + ``replace``: every occurrence,
-  case-sensitive, in order, so a value that itself contains a later
-  placeholder is replaced again.
+  over each template text of the report's deck with ``aggregate`` +
+  ``replace``: every occurrence, case-sensitive, in order, so a value that
+  itself contains a later placeholder is replaced again.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def slot_missing(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
     """
     expected = placeholders.select(F.collect_set("slot")).scalar()
     have = (
-        slots.join(placeholders.select("slot").distinct(), "slot", "left_semi")
+        slots.filter(F.array_contains(expected, F.col("slot")))
         .groupBy("report_id").agg(F.collect_set("slot").alias("have"))
     )
     missing = have.select("report_id", F.explode(F.array_except(expected, F.col("have"))).alias("slot"))
@@ -238,18 +238,28 @@ def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Col
     """K12: ``(report_id, deck_id, template_id, text)`` with placeholders filled.
 
     ``bindings`` is K11's output (or any ``report_id, ord, placeholder,
-    value``). A NULL value leaves its placeholder in place. Each report
-    renders the templates of its deck (an equi-join on ``deck_id``).
+    value``). A NULL value leaves its placeholder in place. ``deck_id`` (a
+    literal or a column of ``bindings``) names the template deck a report
+    uses. The template table is a small parameter table: it becomes one
+    ``deck_id -> [(template_id, text)]`` map (a scalar subquery), and each
+    report inlines its own deck's templates -- a ``Generate``, so there is no
+    join and no reports x templates product.
     """
     deck = F.lit(deck_id) if isinstance(deck_id, str) else deck_id
+    decks = templates.groupBy("deck_id").agg(F.collect_list(F.struct("template_id", "text")).alias("items"))
+    deck_map = decks.select(F.map_from_entries(F.collect_list(F.struct("deck_id", "items")))).scalar()
     per_report = bindings.groupBy("report_id").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "placeholder", "value"))).alias("pairs")
-    ).withColumn("deck_id", deck)
+        F.first(deck).alias("deck_id"),
+        F.array_sort(F.collect_list(F.struct("ord", "placeholder", "value"))).alias("pairs"),
+    )
     fold = F.aggregate(
         "pairs", F.col("text"),
         lambda acc, p: F.when(p["value"].isNull(), acc).otherwise(F.replace(acc, p["placeholder"], p["value"])),
     )
-    return per_report.join(templates, "deck_id").select("report_id", "deck_id", "template_id", fold.alias("text"))
+    return (
+        per_report.select("report_id", "deck_id", "pairs", F.inline(F.try_element_at(deck_map, F.col("deck_id"))))
+        .select("report_id", "deck_id", "template_id", fold.alias("text"))
+    )
 
 
 def replace_all(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
