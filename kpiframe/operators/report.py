@@ -112,9 +112,12 @@ def device_slots(k5: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[st
 
 
 def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Column | None = None,
-                 by: Sequence[str] = ()) -> DataFrame:
+                 by: Sequence[str] = (), last_wins: bool = True) -> DataFrame:
     """K10: union of slot parts as ``(report_id, slot, value)``.
 
+    Parts are merged like dicts: if two parts produce the same slot of a
+    report, the later part wins (``last_wins=False`` keeps every row).
+
     The report month label (from ``period``) is added as slot
     ``report_month``. With ``by`` keys the report id is their values joined
     by ``/``; otherwise ``report_id`` (default: the ISO start of the period).
@@ -128,8 +131,18 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
     first = parts[0]
     month = first.select(*by).distinct() if by else first.sparkSession.range(0, 1, 1, 1).select()
     month = month.select(*by, F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"))
-    allp = reduce(DataFrame.unionByName, [month, *parts])
-    return allp.select(rid.alias("report_id"), "slot", "value")
+    allp = reduce(DataFrame.unionByName, [
+        p.select(*by, "slot", "value", F.lit(i).alias("_part")) for i, p in enumerate([month, *parts])
+    ])
+    if not last_wins:
+        return allp.select(rid.alias("report_id"), "slot", "value")
+    # A slot produced by two parts keeps the later part's value (dict-merge
+    # order). The slot rows per report are bounded by the report's size.
+    return (
+        allp.select(rid.alias("report_id"), "slot", "value", "_part")
+        .groupBy("report_id", "slot")
+        .agg(F.max_by(F.struct("value"), "_part")["value"].alias("value"))
+    )
 
 
 def default_placeholders(labels: Labels = DEFAULT_LABELS) -> list[tuple[int, str, str]]:

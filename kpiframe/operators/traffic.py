@@ -222,3 +222,24 @@ def traffic_all(summary: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequenc
         for name, col in TRAFFIC_SLOTS
     ]))
     return summary.select("*", suffix.alias("_suffix")).filter(F.col("_suffix").isNotNull()).select(*by, pairs)
+
+
+def metrics_from_text(rows: DataFrame) -> DataFrame:
+    """K6-shaped metrics from text-valued report rows (an analytics export).
+
+    ``rows``: ``property, period, period_start, metric, value`` with ``metric``
+    one of the K6 metric names and ``value`` a number as text (as analytics
+    APIs return them). Values are parsed with ``try_cast``: unparsable text
+    becomes NULL instead of failing the job. One row per (property, period).
+    """
+    names = ["total_users", "page_views", "sessions", "engaged_sessions", "engagement_rate", "bounce_rate",
+             "avg_session_duration"]
+    num = F.col("value").try_cast("double")
+    wide = rows.groupBy("property", "period", "period_start").agg(
+        *[F.max(F.when(F.col("metric") == n, num)).alias(n) for n in names]
+    )
+    return wide.select(
+        "property", "period", "period_start",
+        *[F.col(n).cast("bigint").alias(n) for n in names[:4]],
+        *[F.col(n) for n in names[4:]],
+    )

@@ -61,3 +61,24 @@ def test_render_matches_python_fold(spark):
     templates = small_table(spark, [("monthly", "t", tmpl)], schemas.TEMPLATES)
     got = {r.report_id: r.text for r in report.render_reports(binding, templates).collect()}
     assert got == expected
+
+
+def test_report_slots_last_part_wins(spark):
+    import datetime as dt
+
+    from kpiframe.functions.period import Period
+    a = slots_df(spark, [("x", "s1", "first"), ("x", "s2", "only")]).select("slot", "value")
+    b = slots_df(spark, [("x", "s1", "second")]).select("slot", "value")
+    got = {r.slot: r.value for r in report.report_slots([a, b], Period(dt.date(2001, 8, 15))).collect()}
+    assert got == {"report_month": "July 2001", "s1": "second", "s2": "only"}
+
+
+def test_write_reports_partitioned(spark, tmp_path):
+    from kpiframe.sources.sinks import read_reports, write_reports
+    rendered = spark.createDataFrame([("2001-07-01", "monthly", "t1", "a"), ("2001-06-01", "monthly", "t1", "b")],
+                                     "report_id string, deck_id string, template_id string, text string")
+    out = str(tmp_path / "reports")
+    write_reports(rendered, out)
+    write_reports(rendered.filter("report_id = '2001-07-01'").withColumn("text", F.lit("new")), out)
+    back = {r.report_id: r.text for r in read_reports(spark, out).collect()}
+    assert back == {"2001-07-01": "new", "2001-06-01": "b"}

@@ -124,3 +124,17 @@ def test_traffic_all_slots_per_property(spark):
     slots = {r.slot: r.value for r in traffic.traffic_all(k8).collect()}
     assert len(slots) == 12 * 3
     assert slots["month_website"] == "January 2024"
+
+
+def test_metrics_from_text_feed_growth(spark):
+    rows = []
+    for period, start, users, views in (("current", P.current_start, "120", "1500.0"),
+                                        ("previous", P.previous_start, "100", "oops")):
+        rows += [("website", period, start, "total_users", users), ("website", period, start, "page_views", views),
+                 ("website", period, start, "engagement_rate", "0.5"), ("website", period, start, "bounce_rate", "0.5"),
+                 ("website", period, start, "avg_session_duration", "10")]
+    df = spark.createDataFrame(rows, "property string, period string, period_start date, metric string, value string")
+    m = traffic.metrics_from_text(df)
+    g = traffic.traffic_growth(m, P).collect()[0]
+    assert g.total_visitors == "120" and g.growth_total_visitors == "meningkat sebanyak 20.00%"
+    assert g.page_views == "1.500" and g.growth_page_views is None  # previous value unparsable -> NULL
