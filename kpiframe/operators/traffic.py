@@ -95,15 +95,16 @@ def session_slots(
     )
 
 
-def sessions(
-    events: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS,
-    gap_minutes: int = 30, by: Sequence[str] = (),
-) -> DataFrame:
-    """One row per session: ``*by, property, period, user_id, session, dur_us, views, key_events``."""
+def sessions_from_slots(slots: DataFrame, gap_minutes: int = 30, by: Sequence[str] = ()) -> DataFrame:
+    """Sessions from slot rows ``(*by, property, period, user_id, slot, first_us, last_us, views, key_events)``.
+
+    A slot starts a session when the previous non-empty slot of the user
+    ended more than ``gap`` before its first event. Both windows share one
+    partitioning, bounded per user by the number of slots in the period.
+    """
     gap_us = gap_minutes * 60 * MICROS
     keys = [*by, "property", "period", "user_id"]
     w = Window.partitionBy(*keys).orderBy("slot")
-    slots = session_slots(events, period, labels, gap_minutes, by)
     starts = F.coalesce((F.col("first_us") - F.lag("last_us").over(w)) > F.lit(gap_us), F.lit(True))
     return (
         slots.withColumn("_start", starts.cast("int"))
@@ -117,16 +118,19 @@ def sessions(
     )
 
 
-def traffic_metrics(
+def sessions(
     events: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS,
-    gap_minutes: int = 30, engaged_seconds: int = 10, by: Sequence[str] = (),
+    gap_minutes: int = 30, by: Sequence[str] = (),
 ) -> DataFrame:
-    """K6: metrics per (``*by``, property, period); a period without events has no row.
+    """One row per session: ``*by, property, period, user_id, session, dur_us, views, key_events``."""
+    return sessions_from_slots(session_slots(events, period, labels, gap_minutes, by), gap_minutes, by)
 
-    ``events`` needs ``ts, user_id, event_type, property`` (S4).
-    """
+
+def metrics_from_sessions(
+    s: DataFrame, period: Period, engaged_seconds: int = 10, by: Sequence[str] = ()
+) -> DataFrame:
+    """K6 metrics from session rows (per user first, then per property and period)."""
     keys = [*by, "property", "period", "user_id"]
-    s = sessions(events, period, labels, gap_minutes, by)
     engaged = (
         (F.col("dur_us") > F.lit(engaged_seconds * MICROS))
         | (F.col("views") >= 2)
@@ -156,6 +160,18 @@ def traffic_metrics(
     )
 
 
+def traffic_metrics(
+    events: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS,
+    gap_minutes: int = 30, engaged_seconds: int = 10, by: Sequence[str] = (),
+) -> DataFrame:
+    """K6: metrics per (``*by``, property, period); a period without events has no row.
+
+    ``events`` needs ``ts, user_id, event_type, property`` (S4).
+    """
+    s = sessions(events, period, labels, gap_minutes, by)
+    return metrics_from_sessions(s, period, engaged_seconds, by)
+
+
 def traffic_growth(metrics: DataFrame, period: Period, by: Sequence[str] = ()) -> DataFrame:
     """K7: current vs previous metrics per property, formatted, with growth phrases.
 
