@@ -82,3 +82,39 @@ def test_write_reports_partitioned(spark, tmp_path):
     write_reports(rendered.filter("report_id = '2001-07-01'").withColumn("text", F.lit("new")), out)
     back = {r.report_id: r.text for r in read_reports(spark, out).collect()}
     assert back == {"2001-07-01": "new", "2001-06-01": "b"}
+
+
+def test_many_reports_by_nation_end_to_end(spark):
+    """One job: K3/K4 per nation -> slots per report -> binding, strict check, rendering."""
+    import datetime as dt
+
+    from kpiframe.functions.period import Period
+    from kpiframe.operators import orders as ops
+    from kpiframe.queries.registry import KPI_PERIOD, Ctx
+
+    from conftest import SF_ORACLE
+    c = Ctx(spark, SF_ORACLE)
+    by = ["nation"]
+    k3 = ops.order_progress(c.orders_p(), KPI_PERIOD, by=by)
+    k4 = ops.order_category(c.orders_p("current"), KPI_PERIOD, by=by)
+    slots = report.report_slots([report.progress_slots(k3, by), report.category_slots(k4, by=by)], KPI_PERIOD, by=by)
+    names = ["total_orders", "growth_orders", "remaining_order_building", "remaining_order_machinery",
+             "remaining_order_regional", "contract_document"]
+    phs = ph_df(spark, [(i + 1, "{" + n + "}", n) for i, n in enumerate(names)])
+    bound = report.slot_binding(slots, phs)
+    missing = report.slot_missing(slots, phs).collect()
+    # Every (report, placeholder) appears exactly once, bound or missing.
+    per_report = {}
+    for r in bound.collect():
+        per_report.setdefault(r.report_id, set()).add(r.placeholder)
+    assert len(per_report) == 25 and all(len(v) == len(names) for v in per_report.values())
+    # Per-nation reports are small, so some nation lacks an open order of a share product.
+    assert any(m.slot.startswith("remaining_order_") for m in missing)
+    templates = small_table(spark, [("monthly", "t", "{total_orders} {remaining_order_building}")], schemas.TEMPLATES)
+    rendered = report.render_reports(bound, templates).collect()
+    assert len(rendered) == 25
+    # Missing values leave the placeholder text in place.
+    missing_building = {m.report_id for m in missing if m.slot == "remaining_order_building"}
+    for r in rendered:
+        assert ("{remaining_order_building}" in r.text) == (r.report_id in missing_building)
+    assert dt.date(2001, 7, 1) == Period(dt.date(2001, 8, 15)).current_start
