@@ -14,7 +14,7 @@ import datetime as dt
 
 from kpiframe import labels as L
 from kpiframe.operators import report, traffic
-from kpiframe.queries.registry import KPI_PERIOD, LABELS, STATUS_ORDER, TRAFFIC_PERIOD
+from kpiframe.queries.registry import KPI_PERIOD, LABELS, STATUS_ORDER, TRAFFIC_PERIOD, order_placeholders
 from kpiframe.sources.mapped import PROPERTIES
 
 
@@ -376,6 +376,41 @@ def _render_sql() -> str:
 
 layer("render", ["slots"], _render_sql())
 
+# Per-nation order reports (K3 + K4 grouped by nation), in the original shapes.
+layer("k3n", ["orders_flat"], f"""
+  WITH md AS (
+    SELECT nation, {month_of('order_created_date')} AS order_month, count(order_id) AS total_orders
+    FROM orders_flat
+    WHERE fulfillment_status NOT IN {EXCL}
+      AND {month_of('order_created_date')} IN ({d(P.previous_start)}, {d(P.current_start)})
+    GROUP BY 1, 2)
+  SELECT nation FROM md WHERE order_month = {d(P.current_start)}""")
+layer("k4n", ["orders_flat"], f"""
+  WITH base AS (
+    SELECT nation, fulfillment_status, product, regional FROM orders_flat
+    WHERE {month_of('order_created_date')} = {d(P.current_start)}),
+  ss AS (SELECT nation, fulfillment_status AS label FROM base
+         WHERE fulfillment_status = {q(LABELS.document_status)} GROUP BY 1, 2),
+  ps AS (SELECT nation, product AS label FROM base
+         WHERE product IN {SHARE} AND fulfillment_status NOT IN {NOT_OPEN} GROUP BY 1, 2),
+  rs AS (SELECT nation, regional AS label FROM (
+           SELECT nation, regional, row_number() OVER (PARTITION BY nation ORDER BY count(*) DESC,
+                  regional ASC NULLS LAST) AS rn
+           FROM base WHERE fulfillment_status NOT IN {NOT_OPEN} GROUP BY nation, regional) WHERE rn = 1)
+  SELECT nation, 'status' AS category, label FROM ss
+  UNION ALL SELECT nation, 'product', label FROM ps
+  UNION ALL SELECT nation, 'regional', label FROM rs""")
+_k3_slot_names = ["total_orders", "growth_orders", "total_completed_orders", "completed_orders_percentage",
+                  "total_on_progress_orders", "on_progress_orders_percentage"]
+layer("slots_n", ["k3n", "k4n"], "  " + "\n  UNION ALL ".join(
+    [f"SELECT nation AS report_id, {q(report.REPORT_MONTH_SLOT)} AS slot FROM k3n"]
+    + [f"SELECT nation, {q(n)} FROM k3n" for n in _k3_slot_names]
+    + ["SELECT nation, 'contract_document' FROM k4n WHERE category = 'status'",
+       f"SELECT k.nation, 'remaining_order_' || s.suffix FROM k4n k JOIN {_share_sfx} s ON k.label = s.label "
+       "WHERE k.category = 'product'",
+       "SELECT nation, 'remaining_order_regional' FROM k4n WHERE category = 'regional'",
+       "SELECT nation, 'total_remaining_order_regional' FROM k4n WHERE category = 'regional'"]))
+
 
 def compose(final: str, deps: list[str]) -> str:
     """``WITH`` clause holding every view/layer ``final`` needs, in order."""
@@ -435,6 +470,11 @@ ORACLE: dict[str, str] = {
     "slot_binding": compose("SELECT * FROM binding", ["binding"]),
     "slot_missing": compose("SELECT report_id, ord, placeholder, slot FROM binding WHERE value IS NULL", ["binding"]),
     "report_render": compose("SELECT * FROM render", ["render"]),
+    "slot_missing_by_nation": compose(
+        "SELECT r.report_id, p.ord, p.placeholder, p.slot FROM (SELECT DISTINCT report_id FROM slots_n) r "
+        "CROSS JOIN " + values(order_placeholders(), ["ord", "placeholder", "slot"]) + " p "
+        "WHERE NOT EXISTS (SELECT 1 FROM slots_n s WHERE s.report_id = r.report_id AND s.slot = p.slot)",
+        ["slots_n"]),
     # primitives
     "pred_in": compose(f"SELECT order_id, product FROM orders_flat WHERE product IN {PROD}", ["orders_flat"]),
     "pred_month_exact": compose(

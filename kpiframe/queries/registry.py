@@ -176,6 +176,30 @@ def slot_missing(c: Ctx) -> DataFrame:
     return report.slot_missing(c.slots(), report.placeholder_table(c.spark))
 
 
+# The order part of the monthly deck: its placeholders, in deck order.
+ORDER_SLOTS = ("report_month", "total_orders", "growth_orders", "total_completed_orders",
+               "completed_orders_percentage", "total_on_progress_orders", "on_progress_orders_percentage",
+               "remaining_order_building", "remaining_order_machinery", "remaining_order_regional",
+               "total_remaining_order_regional", "contract_document")
+
+
+def order_placeholders() -> list[tuple[int, str, str]]:
+    return [row for row in report.default_placeholders(LABELS) if row[2] in ORDER_SLOTS]
+
+
+@_q
+def slot_missing_by_nation(c: Ctx) -> DataFrame:
+    """K11 over many reports: one order report per nation (K3 + K4 with ``by``)
+    in one job; lists the placeholders each nation's report cannot fill."""
+    by = ["nation"]
+    k3 = orders.order_progress(c.orders_p(), KPI_PERIOD, LABELS, by=by)
+    k4 = orders.order_category(c.orders_p("current"), KPI_PERIOD, LABELS, by=by)
+    slots = report.report_slots(
+        [report.progress_slots(k3, by), report.category_slots(k4, LABELS, by)], KPI_PERIOD, by=by
+    )
+    return report.slot_missing(slots, report.placeholder_table(c.spark, order_placeholders()))
+
+
 @_q
 def report_render(c: Ctx) -> DataFrame:
     bindings = report.slot_binding(c.slots(), report.placeholder_table(c.spark))
