@@ -150,3 +150,40 @@ def test_k5_one_scan_equals_two_arm_union(spark):
     w = Window.partitionBy("k").orderBy("m")
     two = arm1.unionByName(arm2).withColumn("p", F.lag("t").over(w)).filter(F.col("m") == CUR)
     assert fused == {r.k: (r.t, r.p) for r in two.collect()}
+
+
+def test_k4_shares_sum_to_100_before_rounding(spark):
+    from kpiframe.functions.growth import share_pct
+    from kpiframe.queries.registry import Ctx
+    from conftest import SF_ORACLE
+    c = Ctx(spark, SF_ORACLE)
+    open_ = c.orders_p("current").filter(~F.col("fulfillment_status").isin(list(L.Labels().open_excluded)))
+    counts = open_.filter(F.col("product").isin(list(L.Labels().share_products))).groupBy("product").count()
+    shares = counts.select(share_pct(F.col("count"), F.sum("count").over(Window.partitionBy())).alias("s"))
+    total = shares.agg(F.sum("s")).first()[0]
+    assert abs(total - 100.0) < 1e-9
+    shown = {r.label: float(r.percentage) for r in orders.order_category(c.orders_p("current"), P).collect()
+             if r.category == "product"}
+    assert abs(sum(shown.values()) - 100.0) <= 0.01 * len(shown)
+
+
+def test_broadcast_if_small_checks_the_bound(spark):
+    from kpiframe.plans.broadcast import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(1000)
+    join = lambda side: spark.range(100).join(side, "id")
+    import contextlib
+    import io
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+    with_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(join(broadcast_if_small(small, max_rows=100)))
+        assert "BroadcastHashJoin" not in plan(join(broadcast_if_small(big, max_rows=100)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
