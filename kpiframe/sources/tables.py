@@ -27,6 +27,11 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+# DataFrame handles per (session, table path): a handle is only a plan, so
+# reusing it saves repeated file listing and footer reads, not data.
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 class DriverTables:
     """Lazy handles on the driver's Parquet tables under ``sf_dir``."""
 
@@ -37,7 +42,12 @@ class DriverTables:
     def table(self, name: str) -> DataFrame:
         if name not in DRIVER_TABLES:
             raise KeyError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (id(self.spark), path)
+        df = _HANDLES.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = _HANDLES[key] = self.spark.read.parquet(path)
+        return df
 
     @cached_property
     def orders(self) -> DataFrame:
