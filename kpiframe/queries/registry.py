@@ -23,7 +23,7 @@ from kpiframe.functions.period import Period, bounds_columns, iso_date, month_la
 from kpiframe.functions.text import (
     fixed2, flagged_list, growth_phrase, join_list, percent2, thousands,
 )
-from kpiframe.labels import DEFAULT_LABELS
+from kpiframe.labels import DEFAULT_LABELS, Labels
 from kpiframe.operators import devices, orders, report, traffic, usage
 from kpiframe.sources import mapped
 from kpiframe.sources.tables import DriverTables
@@ -36,11 +36,19 @@ STATUS_ORDER = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
 class Ctx:
-    """Per-call view builders over one table directory."""
+    """View builders and report layers over one table directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    The registered queries use the fixed periods above; ``kpi``,
+    ``traffic_period`` and ``labels`` let a report run for any date.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, kpi: Period | None = None,
+                 traffic_period: Period | None = None, labels: Labels | None = None):
         self.t = DriverTables(spark, sf_dir)
         self.spark = spark
+        self.kpi = kpi or KPI_PERIOD
+        self.traffic_period = traffic_period or TRAFFIC_PERIOD
+        self.labels = labels or LABELS
 
     # -- sources, whole tables ------------------------------------------------
     @cached_property
@@ -61,45 +69,45 @@ class Ctx:
 
     # -- sources pruned to the KPI period at the scan ---------------------------
     def usage_p(self) -> DataFrame:
-        return mapped.monthly_usage(self.t.orders, self.t.customer, KPI_PERIOD)
+        return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi)
 
     def orders_p(self, which: str = "both") -> DataFrame:
-        return mapped.orders_flat(self.t.orders, self.t.customer, self.t.nation, self.t.region, KPI_PERIOD, which)
+        return mapped.orders_flat(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi, which)
 
     def daily_p(self) -> DataFrame:
-        return mapped.daily_metrics(self.t.lineitem, upto=KPI_PERIOD.current_end, customer_type=LABELS.customer_type)
+        return mapped.daily_metrics(self.t.lineitem, upto=self.kpi.current_end, customer_type=self.labels.customer_type)
 
     # -- report layers --------------------------------------------------------
     def k12(self) -> DataFrame:
-        return usage.usage_growth(self.usage_p(), KPI_PERIOD, LABELS)
+        return usage.usage_growth(self.usage_p(), self.kpi, self.labels)
 
     def k2(self) -> DataFrame:
-        return usage.mau_growth(self.usage_p(), KPI_PERIOD, LABELS)
+        return usage.mau_growth(self.usage_p(), self.kpi, self.labels)
 
     def k3(self) -> DataFrame:
-        return orders.order_progress(self.orders_p(), KPI_PERIOD, LABELS)
+        return orders.order_progress(self.orders_p(), self.kpi, self.labels)
 
     def k4(self) -> DataFrame:
-        return orders.order_category(self.orders_p("current"), KPI_PERIOD, LABELS)
+        return orders.order_category(self.orders_p("current"), self.kpi, self.labels)
 
     def k5(self) -> DataFrame:
-        return devices.device_growth(self.daily_p(), KPI_PERIOD, LABELS)
+        return devices.device_growth(self.daily_p(), self.kpi, self.labels)
 
     def k6(self) -> DataFrame:
-        return traffic.traffic_metrics(self.events, TRAFFIC_PERIOD, LABELS)
+        return traffic.traffic_metrics(self.events, self.traffic_period, self.labels)
 
     def k8(self) -> DataFrame:
-        return traffic.traffic_summary(traffic.traffic_growth(self.k6(), TRAFFIC_PERIOD))
+        return traffic.traffic_summary(traffic.traffic_growth(self.k6(), self.traffic_period))
 
     def slots(self) -> DataFrame:
         parts = [
-            report.usage_slots(self.k12(), LABELS),
+            report.usage_slots(self.k12(), self.labels),
             report.progress_slots(self.k3()),
-            report.category_slots(self.k4(), LABELS),
-            report.device_slots(self.k5(), LABELS),
-            traffic.traffic_all(self.k8(), LABELS),
+            report.category_slots(self.k4(), self.labels),
+            report.device_slots(self.k5(), self.labels),
+            traffic.traffic_all(self.k8(), self.labels),
         ]
-        return report.report_slots(parts, KPI_PERIOD)
+        return report.report_slots(parts, self.kpi)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
