@@ -40,12 +40,4 @@ def with_previous(
     columns the window runs in one task, so never apply it to raw rows.
     """
     w = Window.partitionBy(*partition_cols).orderBy(order_col)
-    out = df
-    for c in value_cols:
-        out = out.withColumn(prefix + c, F.lag(c).over(w))
-    return out
-
-
-def when_period(is_period: Column, value: Column) -> Column:
-    """``value`` for rows of one period, NULL otherwise (conditional aggregation)."""
-    return F.when(is_period, value)
+    return df.withColumns({prefix + c: F.lag(c).over(w) for c in value_cols})

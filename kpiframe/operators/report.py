@@ -273,8 +273,3 @@ def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Col
         per_report.select("report_id", "deck_id", "pairs", F.inline(F.try_element_at(deck_map, F.col("deck_id"))))
         .select("report_id", "deck_id", "template_id", fold.alias("text"))
     )
-
-
-def replace_all(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Literal ordered replace of a fixed pair list (for a single template column)."""
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), pairs, text)

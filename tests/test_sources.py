@@ -35,3 +35,13 @@ def test_monthly_usage_with_hot_customer(spark):
     pruned = {(r.product, r.month, r.tier): (r.total_customer, r.mau)
               for r in mapped.monthly_usage(o, c, p).collect()}
     assert pruned == {k: v for k, v in got.items() if k[1] in (p.previous_start, p.current_start)}
+
+
+def test_read_source_with_declared_schema(spark, tmp_path):
+    from kpiframe.sources import schemas
+    from kpiframe.sources.tables import read_source
+    rows = [("BUILDING", dt.date(2001, 7, 1), "a", 3, 1, 0.5)]
+    spark.createDataFrame(rows, schemas.USAGE).write.parquet(str(tmp_path / "usage"))
+    df = read_source(spark, str(tmp_path / "usage"), schemas.USAGE)
+    assert df.schema.simpleString() == schemas.USAGE.simpleString()
+    assert df.collect()[0].total_customer == 3
