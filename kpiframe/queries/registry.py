@@ -330,13 +330,19 @@ def topk_region(c: Ctx) -> DataFrame:
 
 @_q
 def union_typed_null(c: Ctx) -> DataFrame:
-    status = c.orders.groupBy(F.col("fulfillment_status").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    product = c.orders.groupBy(F.col("product").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    a = status.select(F.lit("status").alias("category"), "label", F.col("n").cast("string").alias("total_orders"),
-                      F.lit(None).cast("string").alias("percentage"))
-    b = product.select(F.lit("product").alias("category"), "label", F.col("n").cast("string").alias("total_orders"),
-                       fixed2(share_pct(F.col("n"), F.sum("n").over(Window.partitionBy()))).alias("percentage"))
-    return a.unionByName(b)
+    """Two typed arms (status counts with a NULL percentage, product counts with
+    their share) from one scan: pre-aggregate, then tag the arms with ``inline``."""
+    pre = c.orders.groupBy("fulfillment_status", "product").agg(F.count(F.lit(1)).alias("n"))
+    arms = F.inline(F.array(
+        F.struct(F.lit("status").alias("category"), F.col("fulfillment_status").alias("label"), "n"),
+        F.struct(F.lit("product").alias("category"), F.col("product").alias("label"), "n"),
+    ))
+    counts = pre.select(arms).groupBy("category", "label").agg(F.sum("n").alias("n"))
+    share = share_pct(F.col("n"), F.sum("n").over(Window.partitionBy("category")))
+    return counts.select(
+        "category", "label", F.col("n").cast("string").alias("total_orders"),
+        F.when(F.col("category") == "product", fixed2(share)).alias("percentage"),
+    )
 
 
 @_q
