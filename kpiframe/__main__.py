@@ -6,7 +6,7 @@ import argparse
 
 from kpiframe.functions.period import Period
 from kpiframe.monthly import MonthlyReport
-from kpiframe.session import local_session
+from kpiframe.session import cluster_builder, local_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -22,8 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.master:
         spark = local_session(args.master.removeprefix("local[").removesuffix("]"))
     else:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.builder.appName("kpiframe-monthly").getOrCreate()
+        spark = cluster_builder("kpiframe-monthly").getOrCreate()
     rep = MonthlyReport(spark, args.tables, Period(args.as_of, "month"),
                         Period(args.traffic_as_of or args.as_of, args.traffic_unit))
     rep.run(args.out, strict=not args.no_strict)
