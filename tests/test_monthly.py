@@ -17,7 +17,7 @@ from conftest import SF_SMALL
 def test_cli_writes_rendered_report(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="kpiframe-out-"), "reports")
     main(["--tables", SF_SMALL, "--as-of", "2001-08-15", "--traffic-as-of", "2024-01-24",
-          "--traffic-unit", "week", "--out", out])
+          "--traffic-unit", "week", "--out", out, "--master", "local[*]"])
     rows = read_reports(spark, out).collect()
     assert len(rows) == 6 and {r.report_id for r in rows} == {"2001-07-01"}
     assert all("{" not in r.text for r in rows)
