@@ -91,12 +91,13 @@ def session_slots(
             F.max("t_us").alias("last_us"),
             F.count_if("is_view").alias("views"),
             F.count_if("is_key").alias("key_events"),
+            F.count(F.lit(1)).alias("events"),
         )
     )
 
 
 def sessions_from_slots(slots: DataFrame, gap_minutes: int = 30, by: Sequence[str] = ()) -> DataFrame:
-    """Sessions from slot rows ``(*by, property, period, user_id, slot, first_us, last_us, views, key_events)``.
+    """Sessions from slot rows ``(*by, property, period, user_id, slot, first_us, last_us, views, key_events, events)``.
 
     A slot starts a session when the previous non-empty slot of the user
     ended more than ``gap`` before its first event. Both windows share one
@@ -114,6 +115,7 @@ def sessions_from_slots(slots: DataFrame, gap_minutes: int = 30, by: Sequence[st
             (F.max("last_us") - F.min("first_us")).alias("dur_us"),
             F.sum("views").alias("views"),
             F.sum("key_events").alias("key_events"),
+            F.sum("events").alias("events"),
         )
     )
 
@@ -122,7 +124,7 @@ def sessions(
     events: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS,
     gap_minutes: int = 30, by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per session: ``*by, property, period, user_id, session, dur_us, views, key_events``."""
+    """One row per session: ``*by, property, period, user_id, session, dur_us, views, key_events, events``."""
     return sessions_from_slots(session_slots(events, period, labels, gap_minutes, by), gap_minutes, by)
 
 

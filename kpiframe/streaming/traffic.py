@@ -30,7 +30,7 @@ from kpiframe.labels import DEFAULT_LABELS, Labels
 from kpiframe.operators.traffic import MICROS, metrics_from_sessions, sessions_from_slots
 
 SLOT_SCHEMA = ("property string, user_id bigint, slot_start timestamp_ntz, first_ts timestamp_ntz, "
-               "last_ts timestamp_ntz, views bigint, key_events bigint, slot_date date")
+               "last_ts timestamp_ntz, views bigint, key_events bigint, events bigint, slot_date date")
 
 
 def slot_rows(events: DataFrame, labels: Labels = DEFAULT_LABELS, gap_minutes: int = 30,
@@ -53,10 +53,11 @@ def slot_rows(events: DataFrame, labels: Labels = DEFAULT_LABELS, gap_minutes: i
             F.max("ts").alias("last_ts"),
             F.count_if(F.col("event_type") == F.lit(labels.page_view_event)).alias("views"),
             F.count_if(F.col("event_type").isin(list(labels.key_events))).alias("key_events"),
+            F.count(F.lit(1)).alias("events"),
         )
         .select(
             "property", "user_id", F.col("w.start").cast(ts_type).alias("slot_start"), "first_ts", "last_ts",
-            "views", "key_events", F.to_date(F.col("w.start").cast(ts_type)).alias("slot_date"),
+            "views", "key_events", "events", F.to_date(F.col("w.start").cast(ts_type)).alias("slot_date"),
         )
     )
 
@@ -100,6 +101,6 @@ def traffic_metrics_from_slots(slots: DataFrame, period: Period, gap_minutes: in
         F.floor(F.timestamp_diff("MICROSECOND", origin, F.col("slot_start")) / F.lit(gap_us)).alias("slot"),
         F.timestamp_diff("MICROSECOND", origin, F.col("first_ts")).alias("first_us"),
         F.timestamp_diff("MICROSECOND", origin, F.col("last_ts")).alias("last_us"),
-        "views", "key_events",
+        "views", "key_events", "events",
     )
     return metrics_from_sessions(sessions_from_slots(rows, gap_minutes), period, engaged_seconds)

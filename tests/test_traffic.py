@@ -138,3 +138,16 @@ def test_metrics_from_text_feed_growth(spark):
     g = traffic.traffic_growth(m, P).collect()[0]
     assert g.total_visitors == "120" and g.growth_total_visitors == "meningkat sebanyak 20.00%"
     assert g.page_views == "1.500" and g.growth_page_views is None  # previous value unparsable -> NULL
+
+
+def test_session_counts_match_recorded_figures(spark):
+    """FIXTURES.md 2.3: sessions over all events per user (946 / 1000 / 52 at sf0.001,
+    9549 / 10000 / 435 at sf0.01), with 'busy' = duration > 10 s or >= 2 events."""
+    from conftest import SF_ORACLE
+    whole_january = Period(dt.date(2024, 2, 15))  # current period = January 2024
+    for sf, want in ((SF_SMALL, (946, 1000, 52)), (SF_ORACLE, (9549, 10000, 435))):
+        ev = mapped.traffic_events(DriverTables(spark, sf).events)
+        s = traffic.sessions(ev, whole_january).filter(F.col("period") == "current")
+        got = s.agg(F.count(F.lit(1)), F.sum("events"),
+                    F.count_if((F.col("dur_us") > 10_000_000) | (F.col("events") >= 2))).first()
+        assert tuple(got) == want
