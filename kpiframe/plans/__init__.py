@@ -1 +1,2 @@
-"""plans."""
+"""Plan-level policy and checks: size-bounded broadcasts (``broadcast``) and
+physical-plan inspection (``inspect``)."""

@@ -1 +1,2 @@
-"""streaming."""
+"""Structured Streaming: incremental 30-minute traffic slots (``traffic``)
+that the K6 metrics can be finished from in batch."""
