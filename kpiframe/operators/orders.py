@@ -73,7 +73,8 @@ def order_progress(
 
 
 def order_category(
-    orders: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()
+    orders: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = (),
+    fill_zero: bool = False,
 ) -> DataFrame:
     """K4: long-form breakdown of the current month's orders.
 
@@ -86,7 +87,10 @@ def order_category(
       ascending, NULL last; a NULL region can win).
 
     ``total_orders`` is text; ``percentage`` is NULL outside ``product``.
-    An arm with no qualifying orders gives no row.
+    An arm with no qualifying orders gives no row, unless ``fill_zero``: then
+    the document status and every share product get a row with ``0`` (a label
+    spine added inside the same projection, per group that has any order in
+    the month -- no join). The top region still needs at least one open order.
     """
     st = F.col("fulfillment_status")
     pre = (
@@ -95,14 +99,19 @@ def order_category(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     is_open = ~st.isin(list(labels.open_excluded))
-    arms = F.inline(F.array(
+    entries = [
         F.struct(F.lit(STATUS).alias("category"), st.alias("label"),
                  F.when(st == F.lit(labels.document_status), F.col("n")).alias("n")),
         F.struct(F.lit(PRODUCT).alias("category"), F.col("product").alias("label"),
                  F.when(F.col("product").isin(list(labels.share_products)) & is_open, F.col("n")).alias("n")),
         F.struct(F.lit(REGIONAL).alias("category"), F.col("regional").alias("label"),
                  F.when(is_open, F.col("n")).alias("n")),
-    ))
+    ]
+    if fill_zero:
+        spine = [(STATUS, labels.document_status)] + [(PRODUCT, p) for p in labels.share_products]
+        entries += [F.struct(F.lit(c).alias("category"), F.lit(lab).alias("label"), F.lit(0).cast("bigint").alias("n"))
+                    for c, lab in spine]
+    arms = F.inline(F.array(*entries))
     counts = (
         pre.select(*by, arms)
         .filter(F.col("n").isNotNull())

@@ -187,3 +187,16 @@ def test_broadcast_if_small_checks_the_bound(spark):
         assert "BroadcastHashJoin" not in plan(join(broadcast_if_small(big, max_rows=100)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
+
+
+def test_k4_fill_zero(spark):
+    rows = [(1, D(2001, 7, 1), "3-MEDIUM", "BUILDING", "ASIA"), (2, D(2001, 7, 1), "5-LOW", "MACHINERY", "ASIA")]
+    df = orders_df(spark, rows)
+    plain = {(r.category, r.label) for r in orders.order_category(df, P).collect()}
+    assert plain == {("product", "BUILDING"), ("regional", "ASIA")}
+    filled = {(r.category, r.label): (r.total_orders, r.percentage)
+              for r in orders.order_category(df, P, fill_zero=True).collect()}
+    assert filled[("product", "MACHINERY")] == ("0", "0.00")
+    assert filled[("product", "BUILDING")] == ("1", "100.00")
+    assert filled[("status", "4-NOT SPECIFIED")] == ("0", None)
+    assert filled[("regional", "ASIA")] == ("1", None)
