@@ -33,11 +33,21 @@ def with_previous(
     order_col: str,
     partition_cols: Sequence[str] = (),
     prefix: str = "prev_",
+    calendar_unit: str | None = None,
 ) -> DataFrame:
     """Add ``prev_<col>`` = LAG(col) by row within ``partition_cols``.
 
+    By row is the original semantics: with a gap, the previous *row* is an
+    older period. ``calendar_unit`` (``month``, ``week`` or ``day``) keeps the
+    previous value only when the previous row is exactly one period earlier.
+
     Meant for already-aggregated rows (a few per key). With no partition
     columns the window runs in one task, so never apply it to raw rows.
     """
+    from kpiframe.functions.period import shift_period
+
     w = Window.partitionBy(*partition_cols).orderBy(order_col)
-    return df.withColumns({prefix + c: F.lag(c).over(w) for c in value_cols})
+    if calendar_unit is None:
+        return df.withColumns({prefix + c: F.lag(c).over(w) for c in value_cols})
+    adjacent = F.lag(order_col).over(w) == shift_period(F.col(order_col), -1, calendar_unit)
+    return df.withColumns({prefix + c: F.when(adjacent, F.lag(c).over(w)) for c in value_cols})

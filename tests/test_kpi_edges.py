@@ -200,3 +200,12 @@ def test_k4_fill_zero(spark):
     assert filled[("product", "BUILDING")] == ("1", "100.00")
     assert filled[("status", "4-NOT SPECIFIED")] == ("0", None)
     assert filled[("regional", "ASIA")] == ("1", None)
+
+
+def test_with_previous_by_row_and_by_calendar(spark):
+    df = spark.createDataFrame([("a", D(2001, 1, 1), 10), ("a", D(2001, 2, 1), 20), ("a", D(2001, 4, 1), 40)],
+                               "k string, m date, v bigint")
+    by_row = {r.m: r.prev_v for r in with_previous(df, ["v"], "m", ["k"]).collect()}
+    by_cal = {r.m: r.prev_v for r in with_previous(df, ["v"], "m", ["k"], calendar_unit="month").collect()}
+    assert by_row == {D(2001, 1, 1): None, D(2001, 2, 1): 10, D(2001, 4, 1): 20}
+    assert by_cal == {D(2001, 1, 1): None, D(2001, 2, 1): 10, D(2001, 4, 1): None}
