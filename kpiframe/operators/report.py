@@ -128,8 +128,10 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
         rid = F.lit(period.current_start.isoformat())
     else:
         rid = report_id if isinstance(report_id, Column) else F.lit(report_id)
-    first = parts[0]
-    month = first.select(*by).distinct() if by else first.sparkSession.range(0, 1, 1, 1).select()
+    if by:
+        month = reduce(DataFrame.unionByName, [p.select(*by) for p in parts]).distinct()
+    else:
+        month = parts[0].sparkSession.range(0, 1, 1, 1).select()
     month = month.select(*by, F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"))
     allp = reduce(DataFrame.unionByName, [
         p.select(*by, "slot", "value", F.lit(i).alias("_part")) for i, p in enumerate([month, *parts])
