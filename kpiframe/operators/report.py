@@ -112,15 +112,17 @@ def device_slots(k5: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[st
 
 
 def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Column | None = None,
-                 by: Sequence[str] = (), last_wins: bool = True) -> DataFrame:
+                 by: Sequence[str] = ()) -> DataFrame:
     """K10: union of slot parts as ``(report_id, slot, value)``.
 
     Parts are merged like dicts: if two parts produce the same slot of a
-    report, the later part wins (``last_wins=False`` keeps every row).
-
-    The report month label (from ``period``) is added as slot
-    ``report_month``. With ``by`` keys the report id is their values joined
-    by ``/``; otherwise ``report_id`` (default: the ISO start of the period).
+    report, the later part wins (one small ``groupBy(report_id, slot)`` over
+    slot rows, which are bounded per report by the report's size). The report
+    month label (from ``period``) is added as slot ``report_month``; with
+    ``by`` keys every slot row also emits its report's month row in the same
+    ``inline``, and the merge keeps one -- so no part is computed twice. With
+    ``by`` the report id is the ``by`` values joined by ``/``; otherwise
+    ``report_id`` (default: the ISO start of the period).
     """
     if by:
         rid = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
@@ -128,23 +130,16 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
         rid = F.lit(period.current_start.isoformat())
     else:
         rid = report_id if isinstance(report_id, Column) else F.lit(report_id)
-    if by:
-        month = reduce(DataFrame.unionByName, [p.select(*by) for p in parts]).distinct()
-    else:
-        month = parts[0].sparkSession.range(0, 1, 1, 1).select()
-    month = month.select(*by, F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"))
     allp = reduce(DataFrame.unionByName, [
-        p.select(*by, "slot", "value", F.lit(i).alias("_part")) for i, p in enumerate([month, *parts])
+        p.select(*by, "slot", "value", F.lit(i + 1).alias("_part")) for i, p in enumerate(parts)
     ])
-    if not last_wins:
-        return allp.select(rid.alias("report_id"), "slot", "value")
-    # A slot produced by two parts keeps the later part's value (dict-merge
-    # order). The slot rows per report are bounded by the report's size.
-    return (
-        allp.select(rid.alias("report_id"), "slot", "value", "_part")
-        .groupBy("report_id", "slot")
-        .agg(F.max_by(F.struct("value"), "_part")["value"].alias("value"))
-    )
+    month = F.struct(F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"), F.lit(0).alias("_part"))
+    if by:
+        rows = allp.select(rid.alias("report_id"), F.inline(F.array(F.struct("slot", "value", "_part"), month)))
+    else:
+        first = parts[0].sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(month)))
+        rows = first.unionByName(allp.drop(*by)).select(rid.alias("report_id"), "slot", "value", "_part")
+    return rows.groupBy("report_id", "slot").agg(F.max_by(F.struct("value"), "_part")["value"].alias("value"))
 
 
 def default_placeholders(labels: Labels = DEFAULT_LABELS) -> list[tuple[int, str, str]]:
