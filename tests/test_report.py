@@ -118,3 +118,14 @@ def test_many_reports_by_nation_end_to_end(spark):
     for r in rendered:
         assert ("{remaining_order_building}" in r.text) == (r.report_id in missing_building)
     assert dt.date(2001, 7, 1) == Period(dt.date(2001, 8, 15)).current_start
+
+
+def test_small_table_round_trips_awkward_text(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("d", T.DateType())])
+    rows = [("it's {a}", 1, dt.date(2001, 7, 1)), ("back\\\\slash \\\\' quote", None, None), ("", -5, None)]
+    got = [tuple(r) for r in small_table(spark, rows, schema).collect()]
+    assert got == rows
