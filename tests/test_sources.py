@@ -45,3 +45,46 @@ def test_read_source_with_declared_schema(spark, tmp_path):
     df = read_source(spark, str(tmp_path / "usage"), schemas.USAGE)
     assert df.schema.simpleString() == schemas.USAGE.simpleString()
     assert df.collect()[0].total_customer == 3
+
+
+def test_hot_customer_order_join_is_split_by_aqe(spark, tmp_path):
+    """A customer with a third of a month's orders: AQE splits the skewed join
+    partition (no extra shuffle, since K3 aggregates on other keys) and the
+    counts stay exact."""
+    from kpiframe.operators import orders as ops
+    from kpiframe.plans.inspect import explain_text
+
+    rnd = random.Random(1)
+    statuses = ["3-MEDIUM", "5-LOW", "4-NOT SPECIFIED"]
+    rows = [(i, 7 if i % 3 == 0 else rnd.randint(1, 400), "O", 1.0,
+             dt.datetime(2001, 7, 1) + dt.timedelta(days=rnd.randint(0, 30)), rnd.choice(statuses))
+            for i in range(30000)]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(str(tmp_path / "o"))
+    spark.createDataFrame([(k, f"c{k}", k % 25, 0.0, "BUILDING") for k in range(1, 401)],
+                          "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+                          ).write.parquet(str(tmp_path / "c"))
+    n = spark.createDataFrame([(k, f"n{k}", k % 5) for k in range(25)], "n_nationkey int, n_name string, n_regionkey int")
+    r = spark.createDataFrame([(k, f"r{k}") for k in range(5)], "r_regionkey int, r_name string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        p = Period(dt.date(2001, 8, 15))
+        o, c = spark.read.parquet(str(tmp_path / "o")), spark.read.parquet(str(tmp_path / "c"))
+        df = ops.order_progress(mapped.orders_flat(o, c, n, r, p), p)
+        row = df.collect()[0]
+        assert (row.total_orders, row.total_completed) == (30000, sum(1 for x in rows if x[5] == "5-LOW"))
+        assert "SortMergeJoin(skew=true)" in explain_text(df)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
