@@ -50,3 +50,20 @@ def test_single_scans(plans):
 def test_column_pruning(plans):
     schemas = read_schemas(plans["device_growth"])
     assert schemas == ["l_linenumber:int,l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz"]
+
+
+def test_filter_after_lag_stays_above_the_window(spark):
+    """P9: keeping the current month after LAG must not push the filter under the
+    window (that would drop the previous month the LAG needs)."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from kpiframe.functions.growth import with_previous
+    df = spark.createDataFrame([("a", dt.date(2001, 6, 1), 1), ("a", dt.date(2001, 7, 1), 2)],
+                               "k string, m date, v bigint")
+    out = with_previous(df, ["v"], "m", ["k"]).filter(F.col("m") == dt.date(2001, 7, 1))
+    assert [tuple(r) for r in out.collect()] == [("a", dt.date(2001, 7, 1), 2, 1)]
+    text = explain_text(out)
+    physical = text.split("\n\n")[0]
+    assert physical.index("Filter") < physical.index("Window")  # Filter is the parent of Window
