@@ -129,3 +129,13 @@ def test_small_table_round_trips_awkward_text(spark):
     rows = [("it's {a}", 1, dt.date(2001, 7, 1)), ("back\\\\slash \\\\' quote", None, None), ("", -5, None)]
     got = [tuple(r) for r in small_table(spark, rows, schema).collect()]
     assert got == rows
+
+
+def test_render_each_report_with_its_own_deck(spark):
+    binding = spark.createDataFrame([("r1", "short", 1, "{a}", "A1"), ("r2", "long", 1, "{a}", "A2")],
+                                    "report_id string, deck string, ord int, placeholder string, value string")
+    templates = small_table(spark, [("short", "s1", "S {a}"), ("long", "l1", "L1 {a}"), ("long", "l2", "L2 {a}")],
+                            schemas.TEMPLATES)
+    got = sorted((r.report_id, r.deck_id, r.template_id, r.text)
+                 for r in report.render_reports(binding, templates, deck_id=F.col("deck")).collect())
+    assert got == [("r1", "short", "s1", "S A1"), ("r2", "long", "l1", "L1 A2"), ("r2", "long", "l2", "L2 A2")]
