@@ -29,3 +29,30 @@ def test_stream_slots_match_batch_metrics(spark):
     want = traffic.traffic_metrics(batch_events, P)
     cols = want.columns
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_drops_events_behind_the_watermark(spark):
+    """Append mode: a slot is final once the watermark passes it; events that
+    arrive later than the watermark delay are not added to it."""
+    from pyspark.sql import types as T
+    work = tempfile.mkdtemp(prefix="kpiframe-late-")
+    src = os.path.join(work, "events")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                           T.StructField("property", T.StringType())])
+    t0 = dt.datetime(2024, 1, 15, 9, 0)
+    batches = [
+        [(1, t0, 1, "view", "website")],
+        [(2, t0 + dt.timedelta(hours=3), 1, "view", "website")],      # moves the watermark past 09:00-09:30
+        [(3, t0 + dt.timedelta(minutes=5), 1, "view", "website")],    # late for the closed 09:00 slot
+        [(4, t0 + dt.timedelta(hours=6), 1, "view", "website")],      # closes the 12:00 slot
+    ]
+    out, ckpt = os.path.join(work, "slots"), os.path.join(work, "ckpt")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        events = spark.readStream.schema(schema).parquet(src)
+        q = stream.start_slot_stream(events, out, ckpt, watermark="1 hour", available_now=True)
+        q.awaitTermination(120)
+        assert q.exception() is None, i
+    slots = {(r.slot_start.hour, r.slot_start.minute): r.views for r in stream.read_slots(spark, out).collect()}
+    assert slots == {(9, 0): 1, (12, 0): 1}

@@ -151,3 +151,14 @@ def test_session_counts_match_recorded_figures(spark):
         got = s.agg(F.count(F.lit(1)), F.sum("events"),
                     F.count_if((F.col("dur_us") > 10_000_000) | (F.col("events") >= 2))).first()
         assert tuple(got) == want
+
+
+def test_metrics_by_extra_keys_add_up(spark):
+    ev = mapped.traffic_events(DriverTables(spark, SF_SMALL).events).withColumn(
+        "channel", F.when(F.col("event_id") % 2 == 0, "a").otherwise("b"))
+    whole = {r.property + r.period: (r.page_views, r.total_users)
+             for r in traffic.traffic_metrics(ev, P).collect()}
+    split = traffic.traffic_metrics(ev, P, by=["channel"]).groupBy("property", "period").agg(
+        F.sum("page_views").alias("pv"), F.count(F.lit(1)).alias("n"))
+    got = {r.property + r.period: r.pv for r in split.collect()}
+    assert got == {k: v[0] for k, v in whole.items()}
