@@ -1,10 +1,12 @@
 """K3, K4: order progress and the order breakdown for the current month.
 
-K3 counts orders of both months in one conditional aggregation. K4 scans
-the current month once, pre-aggregates to ``(status, product, region, n)``
-and derives its three arms from that small result in a single plan branch
-(``inline`` of three tagged structs), so Catalyst cannot push each arm's
-filter into a scan of its own and read the files three times.
+Both start from one *order cube*: the two months pre-aggregated to
+``(period, status, product, region) -> counts``. K3 is one conditional
+aggregation over it; K4 tags its three arms from it with ``inline`` in a
+single branch. Conditions are conditional aggregates, never filters, so
+Catalyst pushes nothing below the cube: each arm does not get a scan of its
+own, and in the whole report K3 and K4 share one scan, one customer join and
+one exchange (``ReusedExchange``).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiframe.functions.growth import growth_pct, growth_pct_rounded, share_pct
-from kpiframe.functions.period import Period
+from kpiframe.functions.period import CURRENT, Period
 from kpiframe.functions.text import fixed2, growth_phrase, percent2, thousands
 from kpiframe.labels import DEFAULT_LABELS, Labels
 
@@ -24,6 +26,27 @@ PRODUCT = "product"
 REGIONAL = "regional"
 
 
+def order_cube(orders: DataFrame, period: Period, by: Sequence[str] = ()) -> DataFrame:
+    """Both months of orders pre-aggregated to ``(*by, period, status, product,
+    regional, has_id) -> n``.
+
+    K3 and K4 both read this cube and express their conditions as
+    conditional aggregates, never as filters, so Catalyst pushes nothing
+    below it. Whether the order id is present is a grouping flag rather than
+    a second count, because an aggregate one consumer does not use would be
+    pruned from its copy. So the cube's subtree (scan, join, partial
+    aggregate, exchange) is identical in both, and Spark reuses its exchange
+    when both are in one plan.
+    """
+    dtype = orders.schema["order_created_date"].dataType
+    return (
+        period.filter(orders, "order_created_date")
+        .groupBy(*by, period.tag("order_created_date", dtype).alias("period"),
+                 "fulfillment_status", "product", "regional", F.col("order_id").isNotNull().alias("has_id"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def order_progress(
     orders: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -35,16 +58,21 @@ def order_progress(
     ``total_orders`` with the previous month (NULL if it had no rows or 0).
     """
     st = F.col("fulfillment_status")
-    dtype = orders.schema["order_created_date"].dataType
-    base = period.filter(orders, "order_created_date").filter(~st.isin(list(labels.excluded_statuses)))
-    cur = period.is_current("order_created_date", dtype)
-    agg = base.groupBy(*by).agg(
-        F.count(F.when(cur, F.col("order_id"))).alias("total_orders"),
-        F.count_if(cur & (st == F.lit(labels.closed_status))).alias("total_completed"),
-        F.count_if(cur & ~st.isin(list(labels.open_excluded))).alias("total_on_progress"),
-        F.count(F.when(~cur, F.col("order_id"))).alias("_prev_orders"),
-        F.count_if(cur).alias("_cur_rows"),
-        F.count_if(~cur).alias("_prev_rows"),
+    kept = ~st.isin(list(labels.excluded_statuses))          # NULL status: not kept
+    cur = F.col("period") == F.lit(CURRENT)
+    prev = ~cur
+
+    def total(cond):
+        return F.sum(F.when(cond & kept, F.col("n")))
+
+    has_id = F.col("has_id")
+    agg = order_cube(orders, period, by).groupBy(*by).agg(
+        F.coalesce(total(cur & has_id), F.lit(0)).alias("total_orders"),
+        F.coalesce(total(cur & (st == F.lit(labels.closed_status))), F.lit(0)).alias("total_completed"),
+        F.coalesce(total(cur & ~st.isin(list(labels.open_excluded))), F.lit(0)).alias("total_on_progress"),
+        F.coalesce(total(prev & has_id), F.lit(0)).alias("_prev_orders"),
+        total(cur).alias("_cur_rows"),
+        total(prev).alias("_prev_rows"),
     )
     prev_total = F.when(F.col("_prev_rows") > 0, F.col("_prev_orders"))
     return (
@@ -91,29 +119,27 @@ def order_category(
     the document status and every share product get a row with ``0`` (a label
     spine added inside the same projection, per group that has any order in
     the month -- no join). The top region still needs at least one open order.
+    The arms are tagged from the shared order cube with ``inline`` in one
+    branch, so the month is read once for all three.
     """
     st = F.col("fulfillment_status")
-    pre = (
-        period.filter(orders, "order_created_date", "current")
-        .groupBy(*by, "fulfillment_status", "product", "regional")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    cur = F.col("period") == F.lit(CURRENT)
     is_open = ~st.isin(list(labels.open_excluded))
     entries = [
         F.struct(F.lit(STATUS).alias("category"), st.alias("label"),
-                 F.when(st == F.lit(labels.document_status), F.col("n")).alias("n")),
+                 F.when(cur & (st == F.lit(labels.document_status)), F.col("n")).alias("n")),
         F.struct(F.lit(PRODUCT).alias("category"), F.col("product").alias("label"),
-                 F.when(F.col("product").isin(list(labels.share_products)) & is_open, F.col("n")).alias("n")),
+                 F.when(cur & F.col("product").isin(list(labels.share_products)) & is_open, F.col("n")).alias("n")),
         F.struct(F.lit(REGIONAL).alias("category"), F.col("regional").alias("label"),
-                 F.when(is_open, F.col("n")).alias("n")),
+                 F.when(cur & is_open, F.col("n")).alias("n")),
     ]
     if fill_zero:
         spine = [(STATUS, labels.document_status)] + [(PRODUCT, p) for p in labels.share_products]
-        entries += [F.struct(F.lit(c).alias("category"), F.lit(lab).alias("label"), F.lit(0).cast("bigint").alias("n"))
+        entries += [F.struct(F.lit(c).alias("category"), F.lit(lab).alias("label"),
+                             F.when(cur, F.lit(0).cast("bigint")).alias("n"))
                     for c, lab in spine]
-    arms = F.inline(F.array(*entries))
     counts = (
-        pre.select(*by, arms)
+        order_cube(orders, period, by).select(*by, F.inline(F.array(*entries)))
         .filter(F.col("n").isNotNull())
         .groupBy(*by, "category", "label")
         .agg(F.sum("n").alias("n"))

@@ -88,7 +88,7 @@ class Ctx:
         return orders.order_progress(self.orders_p(), self.kpi, self.labels)
 
     def k4(self) -> DataFrame:
-        return orders.order_category(self.orders_p("current"), self.kpi, self.labels)
+        return orders.order_category(self.orders_p(), self.kpi, self.labels)
 
     def k5(self) -> DataFrame:
         return devices.device_growth(self.daily_p(), self.kpi, self.labels)
@@ -201,7 +201,7 @@ def slot_missing_by_nation(c: Ctx) -> DataFrame:
     in one job; lists the placeholders each nation's report cannot fill."""
     by = ["nation"]
     k3 = orders.order_progress(c.orders_p(), KPI_PERIOD, LABELS, by=by)
-    k4 = orders.order_category(c.orders_p("current"), KPI_PERIOD, LABELS, by=by)
+    k4 = orders.order_category(c.orders_p(), KPI_PERIOD, LABELS, by=by)
     slots = report.report_slots(
         [report.progress_slots(k3, by), report.category_slots(k4, LABELS, by)], KPI_PERIOD, by=by
     )
