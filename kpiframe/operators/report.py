@@ -199,9 +199,10 @@ def slot_missing(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
     bounded by the placeholder count. No reports x placeholders product.
     """
     expected = placeholders.select(F.collect_set("slot")).scalar()
-    have = (
-        slots.filter(F.array_contains(expected, F.col("slot")))
-        .groupBy("report_id").agg(F.collect_set("slot").alias("have"))
+    # Every report appears, even one with none of the expected slots; the set
+    # keeps only expected slots (NULLs are not collected).
+    have = slots.groupBy("report_id").agg(
+        F.collect_set(F.when(F.array_contains(expected, F.col("slot")), F.col("slot"))).alias("have")
     )
     missing = have.select("report_id", F.explode(F.array_except(expected, F.col("have"))).alias("slot"))
     return missing.join(placeholders, "slot").select("report_id", "ord", "placeholder", "slot")

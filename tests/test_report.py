@@ -23,15 +23,19 @@ def test_default_placeholders_shape():
 
 
 def test_binding_and_missing(spark):
-    slots = slots_df(spark, [("r1", "a", "A"), ("r1", "b", "B"), ("r2", "a", "A2"), ("r1", "zz", "unused")])
+    slots = slots_df(spark, [("r1", "a", "A"), ("r1", "b", "B"), ("r2", "a", "A2"), ("r1", "zz", "unused"),
+                             ("r3", "zz", "only unrelated slots")])
     phs = ph_df(spark, [(1, "{a}", "a"), (2, "{b}", "b")])
     binding = {(r.report_id, r.placeholder): r.value for r in report.slot_binding(slots, phs).collect()}
-    assert binding == {("r1", "{a}"): "A", ("r1", "{b}"): "B", ("r2", "{a}"): "A2", ("r2", "{b}"): None}
-    missing = [(r.report_id, r.placeholder) for r in report.slot_missing(slots, phs).collect()]
-    assert missing == [("r2", "{b}")]
+    assert binding == {("r1", "{a}"): "A", ("r1", "{b}"): "B", ("r2", "{a}"): "A2", ("r2", "{b}"): None,
+                       ("r3", "{a}"): None, ("r3", "{b}"): None}
+    missing = sorted((r.report_id, r.placeholder) for r in report.slot_missing(slots, phs).collect())
+    assert missing == [("r2", "{b}"), ("r3", "{a}"), ("r3", "{b}")]
     with pytest.raises(report.MissingSlotsError):
         report.assert_complete(slots, phs)
     report.assert_complete(slots.filter(F.col("report_id") == "r1"), phs)
+    with pytest.raises(report.MissingSlotsError):
+        report.assert_complete(slots.filter(F.col("report_id") == "r3"), phs)
 
 
 def test_render_is_ordered_case_sensitive_and_literal(spark):
