@@ -7,6 +7,12 @@ single branch. Conditions are conditional aggregates, never filters, so
 Catalyst pushes nothing below the cube: each arm does not get a scan of its
 own, and in the whole report K3 and K4 share one scan, one customer join and
 one exchange (``ReusedExchange``).
+
+Trade-off: K3's excluded statuses are no longer a pushed scan filter; they
+stay in the cube (K4 needs every status) and drop out in K3's conditional
+aggregates. With a handful of status values spread over every row group,
+Parquet min/max statistics could not skip row groups for that predicate, so
+the shared scan and join are the larger saving.
 """
 
 from __future__ import annotations
