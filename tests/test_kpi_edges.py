@@ -209,3 +209,20 @@ def test_with_previous_by_row_and_by_calendar(spark):
     by_cal = {r.m: r.prev_v for r in with_previous(df, ["v"], "m", ["k"], calendar_unit="month").collect()}
     assert by_row == {D(2001, 1, 1): None, D(2001, 2, 1): 10, D(2001, 4, 1): 20}
     assert by_cal == {D(2001, 1, 1): None, D(2001, 2, 1): 10, D(2001, 4, 1): None}
+
+
+def test_usage_and_devices_by_keys_add_up(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(p, m, t, rnd.randint(1, 50), rnd.randint(0, 20), rnd.random())
+            for p in L.Labels().products for m in (CUR, PREV) for t in "abc"]
+    df = usage_df(spark, rows)
+    whole = {r.product: r.total_customer for r in usage.usage_growth(df, P).collect()}
+    split = usage.usage_growth(df, P, by=["tier"]).groupBy("product").agg(F.sum("total_customer").alias("t"))
+    assert {r.product: r.t for r in split.collect()} == whole
+    assert usage.customer_growth(df, P, by=["tier"]).count() == 3 * 3
+
+    drows = [(D(2001, 6, 1) + dt.timedelta(days=i), "O", i, i, i, i) for i in range(61)]
+    daily = daily_df(spark, drows).withColumn("site", F.when(F.dayofmonth("date") % 2 == 0, "x").otherwise("y"))
+    per_site = devices.device_growth(daily, P, by=["site"]).collect()
+    assert {(r.site, r.product_type) for r in per_site} == {(s, a) for s in "xy" for a in ("bundle", "single")}
