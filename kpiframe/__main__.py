@@ -6,7 +6,7 @@ import argparse
 
 from kpiframe.functions.period import Period
 from kpiframe.monthly import MonthlyReport
-from kpiframe.session import cluster_builder, local_session
+from kpiframe.session import cluster_builder, ensure_checkpoint_dir, local_session
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -18,11 +18,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output path (Parquet, partitioned by report_id)")
     ap.add_argument("--no-strict", action="store_true", help="write even if a placeholder has no value")
     ap.add_argument("--master", help="Spark master for a local run, e.g. local[8]; omit under spark-submit")
+    ap.add_argument("--checkpoint-dir", help="shared checkpoint directory, used only if the session has none")
     args = ap.parse_args(argv)
     if args.master:
         spark = local_session(args.master.removeprefix("local[").removesuffix("]"))
     else:
         spark = cluster_builder("kpiframe-monthly").getOrCreate()
+    if args.checkpoint_dir:
+        ensure_checkpoint_dir(spark, args.checkpoint_dir)
     rep = MonthlyReport(spark, args.tables, Period(args.as_of, "month"),
                         Period(args.traffic_as_of or args.as_of, args.traffic_unit))
     rep.run(args.out, strict=not args.no_strict)

@@ -17,6 +17,7 @@ from kpiframe.functions.period import Period
 from kpiframe.labels import DEFAULT_LABELS, Labels
 from kpiframe.operators import report
 from kpiframe.queries.registry import Ctx
+from kpiframe.session import checkpoint_dir
 from kpiframe.sources.sinks import write_reports
 
 
@@ -53,7 +54,19 @@ class MonthlyReport:
         return report.render_reports(self.bindings(), templates)
 
     def run(self, out: str, strict: bool = True) -> None:
-        """Fail if a placeholder has no value (``strict``), then write the text."""
+        """Fail if a placeholder has no value (``strict``), then write the text.
+
+        The check and the rendering both need the slot table, so it is
+        computed once and checkpointed (a small table: one row per slot per
+        report) into the session's shared checkpoint directory; both then read
+        it instead of recomputing every KPI layer. Without a checkpoint
+        directory the slots are computed twice.
+        """
+        slots = self.slots()
+        if checkpoint_dir(self.spark):
+            slots = slots.checkpoint(eager=True)
+        phs = self._placeholders()
         if strict:
-            report.assert_complete(self.slots(), self._placeholders())
-        write_reports(self.rendered(), out)
+            report.assert_complete(slots, phs)
+        templates = report.template_table(self.spark, self.templates or report.default_templates(self.labels))
+        write_reports(report.render_reports(report.slot_binding(slots, phs), templates), out)

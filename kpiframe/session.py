@@ -71,6 +71,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint directory of this session, if one is configured."""
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+        return current
+    return spark.sparkContext.getCheckpointDir()
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Return the session's checkpoint dir, setting ``fallback`` only if unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)

@@ -31,3 +31,12 @@ def test_strict_mode_fails_without_traffic_data(spark):
     with pytest.raises(MissingSlotsError):
         rep.run(os.path.join(tempfile.mkdtemp(prefix="kpiframe-out-"), "r"))
     assert rep.missing().count() == 15
+
+
+def test_run_checkpoints_the_slot_table_once(spark):
+    from kpiframe.session import checkpoint_dir
+    assert checkpoint_dir(spark)  # set by conftest only because the test session had none
+    rep = MonthlyReport(spark, SF_SMALL, Period("2001-08-15"), Period("2024-01-24", "week"))
+    out = os.path.join(tempfile.mkdtemp(prefix="kpiframe-out-"), "r")
+    rep.run(out)
+    assert len(read_reports(spark, out).collect()) == 6
