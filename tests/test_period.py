@@ -57,3 +57,16 @@ def test_filter_is_half_open_and_typed(spark):
     df = spark.createDataFrame(rows, "ts timestamp_ntz")
     assert p.filter(df, "ts").count() == 2
     assert p.filter(df, "ts", "current").count() == 1
+
+
+def test_filter_on_timestamp_ltz_column_is_pushed(spark, tmp_path):
+    from kpiframe.plans.inspect import explain_text, pushed_filters
+    p = Period(D(2001, 8, 15))
+    rows = [(dt.datetime(2001, 6, 1, 0, 0),), (dt.datetime(2001, 7, 31, 23, 59),), (dt.datetime(2001, 8, 1),),
+            (dt.datetime(2001, 5, 31, 23, 59),)]
+    spark.createDataFrame(rows, "ts timestamp").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = p.filter(df, "ts")
+    assert out.count() == 2
+    pushed = " ".join(pushed_filters(explain_text(out)))
+    assert "GreaterThanOrEqual(ts," in pushed and "LessThan(ts," in pushed
