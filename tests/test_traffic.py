@@ -162,3 +162,11 @@ def test_metrics_by_extra_keys_add_up(spark):
         F.sum("page_views").alias("pv"), F.count(F.lit(1)).alias("n"))
     got = {r.property + r.period: r.pv for r in split.collect()}
     assert got == {k: v[0] for k, v in whole.items()}
+
+
+def test_metrics_same_for_ltz_and_ntz_timestamps(spark):
+    ev = mapped.traffic_events(DriverTables(spark, SF_SMALL).events)
+    ltz = ev.withColumn("ts", F.col("ts").cast("timestamp"))  # session time zone is UTC in tests
+    a = sorted(map(tuple, traffic.traffic_metrics(ev, P).collect()))
+    b = sorted(map(tuple, traffic.traffic_metrics(ltz, P).collect()))
+    assert a == b
