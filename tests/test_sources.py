@@ -88,3 +88,11 @@ def test_hot_customer_order_join_is_split_by_aqe(spark, tmp_path):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_read_catalog_table(spark):
+    from kpiframe.sources import schemas
+    from kpiframe.sources.tables import read_catalog
+    spark.createDataFrame([("BUILDING", dt.date(2001, 7, 1), "a", 3, 1, 0.5)], schemas.USAGE) \
+        .createOrReplaceTempView("usage_monthly")
+    assert read_catalog(spark, "usage_monthly").first().total_customer == 3
