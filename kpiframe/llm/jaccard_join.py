@@ -234,7 +234,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                      F.least("chunk", "with_chunk").alias("i"), F.greatest("chunk", "with_chunk").alias("j"),
                      (F.col("chunk") > F.col("with_chunk")).cast("int").alias("side"),
                      (F.col("chunk") != F.col("with_chunk")).alias("two")))
-    sets = _sets(texts.join(members.select(F.col("first_key").alias("key")), "key", "left_semi"), False)
+    # members grow with the corpus: always a merge join, whatever their size is now
+    wanted = members.select(F.col("first_key").alias("key")).hint("merge")
+    sets = _sets(texts.join(wanted, "key", "left_semi"), False)
     sets = sets.select("digest", "shingles").dropDuplicates(["digest"])
     blocks = (dealt.join(sets, "digest").select("cluster", "i", "j", "side", "two", "digest", "copies", "shingles")
               .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster", "i", "j")
