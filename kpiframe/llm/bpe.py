@@ -35,7 +35,7 @@ VOCABULARY = "byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.int64(2**62)
 GROUP_BYTES = 4_000_000
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 400_000
 
 
 def byte_alphabet() -> list[str]:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_ENTRIES, path_of
+from .bpe import path_of
 from .common import documents, groups_of, scratch, worker_state
 
 VOCABULARY = "word_bpe_49k.json"
@@ -45,6 +45,7 @@ DICTIONARY_BYTES = 32_768
 LEVEL = 3
 BLOCK_BYTES = 1_000_000
 GROUP_BYTES = 4_000_000
+CACHE_ENTRIES = 600_000
 
 DICTIONARY = "dictionary binary, dict_sha256 string, id_bytes int"
 BLOCKS = ("file int, block int, first_doc bigint, last_doc bigint, dict_sha256 string, doc_ids array<bigint>, "

@@ -1,0 +1,280 @@
+"""Operators of the training-data subpackage against brute force and on edge cases."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kpiframe.llm import (bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, token_counts,
+                          token_files, toxicity)
+from kpiframe.llm.common import scratch
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Nulls, empty and blank texts, ties, repeated rows, a long text, odd characters.
+TEXTS = [None, "", "  \n\t ", "one two three four five six seven", "one two three four five six seven",
+         "a b \u0085 c​d \U0001f44d 字", "x" * 5000, "word " * 3000, "<|endoftext|> a  b\n\n c <|endoftext|>",
+         "Same line here.\nother\nSame line here.", "Same line here.\r\nSAME LINE HERE.\nlast"]
+ROWS = [(i, t, None if i % 4 == 0 else "en", ["s1", "s0", None][i % 3], len(t or "")) for i, t in enumerate(TEXTS)]
+ROWS += [ROWS[3], (None, "no id at all, but words enough to count here", "en", "s0", 44)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """With extra columns whose names the operators use themselves."""
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    return df.select("*", *[F.lit(7).alias(c) for c in ("row", "key", "hash", "size", "_row", "_ledger", "_key", "_copy")]).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_mixing_spends_the_budgets(docs):
+    rows = mixing.plan(docs).collect()
+    assert len(rows) == len(ROWS)
+    by_source = {}
+    for r in rows:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        by_source.setdefault((r["source_size"], r["target"]), []).append(r)
+    for (_, target), rs in by_source.items():
+        assert abs(sum(r["taken"] for r in rs) - target) <= 0.5
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.plan(docs).collect()), key=str)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    words = sum(len((r["text"] or "").encode().split()) for r in mixed.collect())
+    assert words == sum(r["taken"] for r in rows)
+
+
+def test_targets_reshare_what_caps_leave(spark):
+    sizes = {"a": 100, "b": 1000, "c": 10, "d": 0}
+    got = {r["src"]: r["target"] for r in mixing.targets(
+        spark.createDataFrame(list(sizes.items()), "src string, source_size bigint")).collect()}
+    weights, goal, free, left = dict(zip("abcd", (5, 2, 1, 5))), {}, set("abcd"), sum(sizes.values())
+    while free:
+        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
+        full = {s for s in free if share[s] > 3 * sizes[s]}
+        goal.update({s: 3 * sizes[s] for s in full} if full else share)
+        left -= sum(3 * sizes[s] for s in full)
+        free = free - full if full else set()
+    assert got == pytest.approx(goal)
+
+
+def test_bpe_is_the_library(spark, docs):
+    from tokenizers import Tokenizer
+    path = bpe.path_of(bpe.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    rnd = random.Random(3)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "12", "'s", "é", "<|endoftext|>", "!", "th", "er", "aaa", "字", "\x85", "\x1c"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 30))) for _ in range(3000)] + [t or "" for t in TEXTS]
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    ids = bpe.Encoder(path)(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids] == want
+    assert [bpe.decode(x, path) for x in ids] == [library.decode(w, skip_special_tokens=False) for w in want]
+    assert token_counts.Counter(path)(texts) == [len(w) for w in want]
+    assert bpe.decode(np.array([10**6, 5], "<u4").tobytes(), path) == library.decode([5])
+    rows = bpe.round_trip(docs, path).collect()
+    assert len(rows) == len(ROWS)
+    sha = {(r["doc_id"], r["decoded_sha256"]) for r in rows}
+    assert sha == {(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t, *_ in ROWS}
+    counted = {r["doc_id"]: r for r in token_counts.count_tokens(docs, path).collect()}
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {k: r["n_tokens"] for k, r in counted.items()}
+    assert counted[1]["n_bytes"] == 0 and counted[7]["over_limit"] and not counted[3]["over_limit"]
+
+
+def test_merge_order_where_a_symbol_has_two_sources():
+    """A small vocabulary in which merging all places at once would be wrong."""
+    table = bpe.BpeTable.__new__(bpe.BpeTable)
+    table.size, table.byte_ids = 8, np.arange(256) % 3
+    pairs = [(0, 1, 3), (3, 2, 4), (4, 0, 5), (1, 2, 6), (0, 6, 4)]
+    left, right, table.into = (np.array([p[k] for p in pairs]) for k in range(3))
+    rank, lowest = np.arange(len(pairs)), np.full(8, bpe.NONE)
+    np.minimum.at(lowest, left, rank)
+    np.minimum.at(lowest, right, rank)
+    table.whole_round = lowest[table.into] > rank
+    keys = left * 8 + right
+    table.keys, table.key_rank = np.sort(keys), rank[np.argsort(keys)]
+    ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(pairs)}
+
+    def slow(word):
+        word = [x % 3 for x in word]
+        while True:
+            found = [(ranks[p][0], i) for i, p in enumerate(zip(word, word[1:])) if p in ranks]
+            if not found:
+                return word
+            _, i = min(found)
+            word[i:i + 2] = [ranks[word[i], word[i + 1]][1]]
+
+    rnd = random.Random(1)
+    words = [bytes(rnd.choices(range(3), k=rnd.randint(1, 12))) for _ in range(500)]
+    ids, ends = table.merge(words)
+    assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [slow(w) for w in words]
+
+
+def test_line_dedup_is_brute_force(docs):
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    holders = {}
+    for i, t, *_ in ROWS:
+        for k in map(key, (t or "").split("\n")):
+            if len(k) >= 10:
+                holders.setdefault(k, set()).add(2**63 if i is None else i)
+    want = Counter()
+    for i, t, *_ in ROWS:
+        kept = [x for x in (t or "").split("\n") if key(x) not in holders or min(holders[key(x)]) == (2**63 if i is None else i)]
+        want[i, len((t or "").split("\n")), "\n".join(kept)] += 1
+    for options in ({}, {"batches": 1}, {"batches": 7, "fanout": 3}):
+        done = line_dedup.dedup(docs, **options)
+        out = done.columns[-1]
+        assert Counter((r["doc_id"], r[out]["n_lines"], r[out]["kept"]) for r in done.collect()) == want
+    assert line_dedup.dedup_texts(docs).columns == docs.columns
+
+
+def test_token_files_read_back(spark, docs):
+    from tokenizers import Tokenizer
+    path, folder = bpe.path_of(token_files.VOCABULARY), scratch(spark)
+    token_files.write(docs, folder, path)
+    got = sorted(token_files.read(spark, folder).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None, *sorted(i for i, *_ in ROWS if i is not None)]
+    library, text, start = Tokenizer.from_file(path), {i: t or "" for i, t, *_ in ROWS}, 0
+    for r in got:
+        ids = [*library.encode(text[r["doc_id"]], add_special_tokens=False).ids, token_files.END_ID]
+        assert np.frombuffer(r["ids"], "<u4").tolist() == ids
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        start += len(ids)
+    some = token_files.fetch(spark, folder, [3, 9]).collect()
+    assert sorted(r["doc_id"] for r in some) == [3, 3, 9]
+
+
+def test_quality_rules_by_hand(docs):
+    def slow(text):
+        words = (text or "").encode().split()
+        seen = Counter(zip(words, words[1:], words[2:]))
+        places = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if seen[w] > 1 for k in range(3)}
+        return len(words), len(places)
+
+    done = quality_rules.ledger(docs)
+    out = done.columns[-1]
+    rows = done.collect()
+    assert len(rows) == len(ROWS) and done.columns[:-1] == docs.columns
+    for r in rows:
+        assert (r[out]["n_words"], r[out]["n_repeat_words"]) == slow(r["text"])
+        assert bool(r[out]["failed"] & quality_rules.BIT["few_words"]) == (r[out]["n_words"] < 50)
+    failed = done.select(F.col(f"{out}.failed").alias("failed"))
+    got = quality_rules.ablations(failed).first()
+    assert got["documents"] == len(ROWS) and got["kept"] == quality_rules.keep(docs).count()
+    assert got["few_words_failed"] == sum(slow(t)[0] < 50 for _, t, *_ in ROWS)
+
+
+def test_fingerprints_follow_the_order(spark, docs):
+    rows = [(i, t) for i, t, *_ in ROWS]
+    got = fingerprints.neighbours(docs).collect()
+    assert len(got) == len(rows)
+    order = sorted(rows, key=lambda r: -1 if r[0] is None else r[0], reverse=True)
+    want = Counter()
+    for (i, t), (_, following) in zip(order, order[1:] + order[:1]):
+        new = fingerprints.edited(t or "", following or "")
+        want[i, hashlib.sha256(new.encode()).hexdigest(), fingerprints.fingerprint(t), fingerprints.fingerprint(new)] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) for r in got) == want
+    one = spark.createDataFrame([(1, "alone")], "doc_id bigint, text string")
+    assert fingerprints.neighbours(one).first()["near_next"] == 1.0
+
+
+def test_rarity_is_window_entropy():
+    rnd = np.random.default_rng(1)
+    data = rnd.choice(np.frombuffer(b"abcdefg  the", np.uint8), 700)
+    slow = []
+    for i in range(len(data) - 63):
+        counts = np.bincount(data[i:i + 64])
+        h = (6 - sum(int(fingerprints._NLOGN[c]) for c in counts) / 2**20 / 64) / 6
+        slow.append(1000 - abs(int(np.rint(h * 1000)) - fingerprints.TYPICAL))
+    assert fingerprints.rarities(data).tolist() == slow
+
+
+def brute_classes(rows):
+    sets = [set(jaccard_join.shingles(t).tolist()) for _, t, *_ in rows]
+    near = [[j for j, b in enumerate(sets) if i != j and a and b and len(a & b) >= 0.8 * len(a | b)] for i, a in enumerate(sets)]
+    cls = list(range(len(rows)))
+    for _ in rows:
+        cls = [min([cls[i], *(cls[j] for j in near[i])]) for i in range(len(rows))]
+    return cls, near
+
+
+def test_jaccard_join_is_brute_force(spark, monkeypatch):
+    rnd = random.Random(4)
+    words = [f"w{k}" for k in range(300)]
+    rows = []
+    for g in range(12):
+        base = rnd.choices(words, k=rnd.choice([6, 40, 150]))
+        for _ in range(rnd.randint(1, 12)):
+            text = list(base)
+            for _ in range(rnd.randint(0, 4)):
+                text[rnd.randrange(len(text))] = rnd.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, rows[0][1])]
+    cls, near = brute_classes(rows)
+    monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", 5)  # several chunks per cluster
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.join(docs).collect()}
+    assert got == {i: (cls[i], len(near[i])) for i, _ in rows}
+    kept = {r["doc_id"] for r in jaccard_join.one_of_each(docs).collect()}
+    assert kept == {i for i, _ in rows if cls[i] == i}
+
+
+def test_jaccard_join_edge_rows(docs):
+    got = jaccard_join.join(docs).collect()
+    assert len(got) == len(ROWS)
+    assert {(r["class_id"], r["n_links"]) for r in got if r["doc_id"] in (3, 4)} == {(3, 2)}
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.where("doc_id in (3, 4)").count() == 1
+
+
+def test_toxicity_learns_words_and_beginnings(spark, empty):
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 7))) for _ in range(400)]
+
+    def text(bad):
+        found = rnd.choices(words, k=rnd.randint(20, 80))
+        for _ in range(3 * bad):
+            found.insert(rnd.randrange(len(found)), rnd.choice(["zorg", "quim" + rnd.choice(words)]))
+        return " ".join(found)
+
+    rows = [(i, text(i % 6 == 0), "en", "s", 0, int(i % 6 == 0)) for i in range(900)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", toxic int")
+    net = toxicity.train(toxicity.sample(docs.drop("toxic"), docs.select("doc_id", "toxic")))
+    held = {i: y for i, *_, y in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(docs, net).collect()}
+    assert sum(got[i] == bool(y) for i, y in held.items()) >= 0.95 * len(held)
+    assert toxicity.train([("a", 0), ("b", 0)]) is None
+    odd = spark.createDataFrame(ROWS, SCHEMA)
+    assert {r["score"] for r in toxicity.score(odd, None).collect()} == {0.0}
+    scores = [r["score"] for r in toxicity.score(odd, net).orderBy("doc_id").collect()]
+    assert len(scores) == len(ROWS) and all(0 <= s <= 1 for s in scores) and scores[1] == scores[2] == scores[3]
+
+
+def test_secret_scan_finds_and_judges(spark, empty):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f9"
+    rows = [(i, f'some words token = "{key}{i:02d}" and 49078157627{i:05d} more', "en", "src", 0) for i in range(60)]
+    rows += [(100, f'secret = "{key}aa"', None, None, 0), (101, "order 4907815762711111 came", "en", "docs/a", 0),
+             (102, None, "en", "s", 0), (103, "", "en", "s", 0), (104, "x" * 50_000 + "1", "en", "s", 0)]
+    got = secret_scan.scan(spark.createDataFrame(rows, SCHEMA), secret_scan.obvious()).collect()
+    verdict = {(r["doc_id"], r["candidate"]): r["is_secret"] for r in got}
+    assert len(got) == 123 and verdict[100, key + "aa"] and not verdict[101, "4907815762711111"]
+    assert all(v == c.startswith(key) for (_, c), v in verdict.items() if c[0] != "x")
+    assert secret_scan.scan(empty, secret_scan.obvious()).collect() == []
+
+
+def test_empty_tables(spark, empty):
+    path = bpe.path_of(bpe.VOCABULARY)
+    folder = scratch(spark)
+    token_files.write(empty, folder, bpe.path_of(token_files.VOCABULARY))
+    for df in (mixing.plan(empty), mixing.mix(empty), bpe.round_trip(empty, path), line_dedup.dedup(empty),
+               token_files.read(spark, folder), quality_rules.keep(empty), fingerprints.neighbours(empty),
+               jaccard_join.join(empty), jaccard_join.one_of_each(empty), toxicity.score(empty, None),
+               token_counts.count_tokens(empty, path)):
+        assert df.collect() == []
