@@ -63,6 +63,11 @@ class Labels:
         """Statuses that are not open: the excluded ones plus the closed one."""
         return tuple(self.excluded_statuses) + (self.closed_status,)
 
+    def __post_init__(self) -> None:
+        for suffixes in (self.product_suffix, self.property_suffix):
+            if len(set(suffixes.values())) < len(suffixes):
+                raise ValueError(f"two labels share a slot suffix: {suffixes}")
+
     def __hash__(self) -> int:  # dict fields are not hashable by default
         return hash((self.products, self.share_products, self.excluded_statuses, self.closed_status,
                      self.document_status, self.customer_type, self.device_arms))

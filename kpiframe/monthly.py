@@ -17,8 +17,7 @@ from kpiframe.functions.period import Period
 from kpiframe.labels import DEFAULT_LABELS, Labels
 from kpiframe.operators import report
 from kpiframe.queries.registry import Ctx
-from kpiframe.session import checkpoint_dir
-from kpiframe.sources.sinks import write_reports
+from kpiframe.sources.sinks import read_slots, write_reports, write_slots
 
 
 @dataclass
@@ -41,7 +40,7 @@ class MonthlyReport:
         return self._ctx.slots()
 
     def _placeholders(self) -> DataFrame:
-        return report.placeholder_table(self.spark, self.placeholders or report.default_placeholders(self.labels))
+        return report.placeholder_table(self.spark, report.default_placeholders() if self.placeholders is None else self.placeholders)
 
     def bindings(self) -> DataFrame:
         return report.slot_binding(self.slots(), self._placeholders())
@@ -50,23 +49,26 @@ class MonthlyReport:
         return report.slot_missing(self.slots(), self._placeholders())
 
     def rendered(self) -> DataFrame:
-        templates = report.template_table(self.spark, self.templates or report.default_templates(self.labels))
-        return report.render_reports(self.bindings(), templates)
+        return self._render(self.slots())
+
+    def _render(self, slots: DataFrame) -> DataFrame:
+        templates = report.template_table(
+            self.spark, report.default_templates() if self.templates is None else self.templates)
+        return report.render_reports(report.slot_binding(slots, self._placeholders()), templates,
+                                     reports=slots.select("report_id"))
 
     def run(self, out: str, strict: bool = True) -> None:
         """Fail if a placeholder has no value (``strict``), then write the text.
 
         The check and the rendering both need the slot table, so it is
-        computed once and checkpointed (a small table: one row per slot per
-        report) into the session's shared checkpoint directory; both then read
-        it instead of recomputing every KPI layer. Without a checkpoint
-        directory the slots are computed twice.
+        computed once: written next to the output (``<out>_slots``, a small
+        table with one row per slot per report) and read back by both.
         """
-        slots = self.slots()
-        if checkpoint_dir(self.spark):
-            slots = slots.checkpoint(eager=True)
-        phs = self._placeholders()
+        path = out.rstrip("/") + "_slots"
+        write_slots(self.slots(), path)
+        slots = read_slots(self.spark, path, self.kpi_period.current_start.isoformat())
+        rendered = self._render(slots)
         if strict:
-            report.assert_complete(slots, phs)
-        templates = report.template_table(self.spark, self.templates or report.default_templates(self.labels))
-        write_reports(report.render_reports(report.slot_binding(slots, phs), templates), out)
+            report.assert_complete(slots, self._placeholders())
+            report.assert_decks(rendered)
+        write_reports(rendered, out)

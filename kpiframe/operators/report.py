@@ -3,10 +3,9 @@
 * K10 turns each KPI result into long ``(report_id, slot, value)`` rows; the
   product/property label picks the slot suffix through a literal-map lookup
   inside the projection (no join), and unknown labels are dropped.
-* K11 binds placeholders to slots. Bound rows come from an inner join of the
-  slots with the broadcast placeholder table; missing placeholders come from
-  ``array_except`` of the expected slot list against the slots each report
-  has. No reports x placeholders cross product is formed.
+* K11 binds placeholders to slots: one aggregate gathers each report's values
+  of the expected slots, one ``inline`` over the expected list gives every
+  placeholder its value or NULL. A slot whose value is NULL is missing.
 * K12 renders templates: per report, the bound ``(ord, placeholder, value)``
   triples (bounded by the placeholder count) are sorted by ``ord`` and folded
   over each template text of the report's deck with ``aggregate`` +
@@ -31,6 +30,60 @@ from kpiframe.sources import schemas
 REPORT_MONTH_SLOT = "report_month"
 DEFAULT_DECK = "monthly"
 
+# ---------------------------------------------------------------------------
+# The monthly deck's slots in its order, with the suffixes of the
+# default labels. They must equal what the deck's templates name.
+# ---------------------------------------------------------------------------
+DECK_SLOTS = (
+    "report_month",
+    "total_customer_building",
+    "growth_customer_building",
+    "total_customer_machinery",
+    "growth_customer_machinery",
+    "total_customer_household",
+    "growth_customer_household",
+    "total_mau_building",
+    "mau_percentage_building",
+    "growth_mau_building",
+    "total_mau_machinery",
+    "mau_percentage_machinery",
+    "growth_mau_machinery",
+    "total_mau_household",
+    "mau_percentage_household",
+    "growth_mau_household",
+    "total_orders",
+    "growth_orders",
+    "total_completed_orders",
+    "completed_orders_percentage",
+    "total_on_progress_orders",
+    "on_progress_orders_percentage",
+    "remaining_order_building",
+    "remaining_order_machinery",
+    "remaining_order_regional",
+    "total_remaining_order_regional",
+    "contract_document",
+    "total_visitors_website",
+    "growth_total_visitors_website",
+    "summary_website",
+    "total_visitors_mobile",
+    "growth_total_visitors_mobile",
+    "page_views_mobile",
+    "growth_page_views_mobile",
+    "growth_engagement_rate_mobile",
+    "total_devices_bundle",
+    "growth_devices_bundle",
+    "summary_partner",
+    "total_visitors_partner",
+    "growth_total_visitors_partner",
+    "page_views_partner",
+    "growth_page_views_partner",
+    "growth_engagement_rate_partner",
+    "growth_avg_engagement_time_partner",
+    "total_devices_single",
+    "growth_devices_single",
+)
+# ---------------------------------------------------------------------------
+
 
 def _suffixed(df: DataFrame, label_col: str, mapping: dict[str, str], names: Sequence[tuple[str, str]],
               by: Sequence[str] = ()) -> DataFrame:
@@ -60,17 +113,6 @@ def usage_slots(fused: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[
     ], by)
 
 
-def customer_slots(k1: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:
-    return _suffixed(k1, "product", labels.product_suffix,
-                     [("total_customer", "total_customer_text"), ("growth_customer", "growth_phrase")], by)
-
-
-def mau_slots(k2: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = ()) -> DataFrame:
-    return _suffixed(k2, "product", labels.product_suffix,
-                     [("total_mau", "total_mau_text"), ("mau_percentage", "mau_percentage_text"),
-                      ("growth_mau", "growth_phrase")], by)
-
-
 def progress_slots(k3: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return _plain(k3, [
         ("total_orders", F.col("total_orders_text")),
@@ -90,7 +132,7 @@ def category_slots(k4: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[
     (the label) and ``total_remaining_order_regional`` (the count).
     """
     cat = F.col("category")
-    share = {p: labels.product_suffix.get(p, p.lower()) for p in labels.share_products}
+    share = {p: labels.product_suffix[p] for p in labels.share_products if p in labels.product_suffix}
     first_slot = (
         F.when(cat == "status", F.lit("contract_document"))
         .when(cat == "product", slot_name(F.lit("remaining_order"), label_lookup(F.col("label"), share)))
@@ -111,6 +153,17 @@ def device_slots(k5: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequence[st
                      [("total_devices", "total_devices_text"), ("growth_devices", "growth_phrase")], by)
 
 
+def report_key(period: Period, by: Sequence[str]) -> Column:
+    """A report's id: the period's ISO start and the ``by`` values, each after a
+    ``/``. Values have ``\\`` and ``/`` escaped and NULL is ``\\N``, so no two
+    reports share an id."""
+    def encoded(c: str) -> Column:
+        text = F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("/"), F.lit("\\/")), F.lit("\\N"))
+
+    return F.concat_ws("/", F.lit(period.current_start.isoformat()), *[encoded(c) for c in by])
+
+
 def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Column | None = None,
                  by: Sequence[str] = ()) -> DataFrame:
     """K10: union of slot parts as ``(report_id, slot, value)``.
@@ -121,11 +174,11 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
     month label (from ``period``) is added as slot ``report_month``; with
     ``by`` keys every slot row also emits its report's month row in the same
     ``inline``, and the merge keeps one -- so no part is computed twice. With
-    ``by`` the report id is the ``by`` values joined by ``/``; otherwise
-    ``report_id`` (default: the ISO start of the period).
+    ``by`` the report id is :func:`report_key`; otherwise ``report_id``
+    (default: the ISO start of the period).
     """
     if by:
-        rid = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+        rid = report_key(period, by)
     elif report_id is None:
         rid = F.lit(period.current_start.isoformat())
     else:
@@ -142,41 +195,10 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
     return rows.groupBy("report_id", "slot").agg(F.max_by(F.struct("value"), "_part")["value"].alias("value"))
 
 
-def default_placeholders(labels: Labels = DEFAULT_LABELS) -> list[tuple[int, str, str]]:
-    """The monthly deck's placeholder list ``(ord, placeholder, slot)``.
-
-    46 entries: the report month, all K1-K5 slots, and 15 of the 36 traffic
-    slots. Placeholder text is ``{slot}``.
-    """
-    products = [labels.product_suffix[p] for p in labels.products]
-    share = [labels.product_suffix.get(p, p.lower()) for p in labels.share_products]
-    props = list(labels.property_suffix.values())
-    arms = [name for name, _ in labels.device_arms]
-    slots = [REPORT_MONTH_SLOT]
-    for s in products:
-        slots += [f"total_customer_{s}", f"growth_customer_{s}"]
-    for s in products:
-        slots += [f"total_mau_{s}", f"mau_percentage_{s}", f"growth_mau_{s}"]
-    slots += ["total_orders", "growth_orders", "total_completed_orders", "completed_orders_percentage",
-              "total_on_progress_orders", "on_progress_orders_percentage"]
-    slots += [f"remaining_order_{s}" for s in share]
-    slots += ["remaining_order_regional", "total_remaining_order_regional", "contract_document"]
-    if len(props) >= 1:
-        p = props[0]
-        slots += [f"total_visitors_{p}", f"growth_total_visitors_{p}", f"summary_{p}"]
-    if len(props) >= 2:
-        p = props[1]
-        slots += [f"total_visitors_{p}", f"growth_total_visitors_{p}", f"page_views_{p}",
-                  f"growth_page_views_{p}", f"growth_engagement_rate_{p}"]
-    if arms:
-        slots += [f"total_devices_{arms[0]}", f"growth_devices_{arms[0]}"]
-    if len(props) >= 3:
-        p = props[2]
-        slots += [f"summary_{p}", f"total_visitors_{p}", f"growth_total_visitors_{p}", f"page_views_{p}",
-                  f"growth_page_views_{p}", f"growth_engagement_rate_{p}", f"growth_avg_engagement_time_{p}"]
-    for a in arms[1:]:
-        slots += [f"total_devices_{a}", f"growth_devices_{a}"]
-    return [(i + 1, "{" + s + "}", s) for i, s in enumerate(slots)]
+def default_placeholders() -> list[tuple[int, str, str]]:
+    """The monthly deck's placeholder list ``(ord, placeholder, slot)``; the
+    text of a placeholder is ``{slot}``."""
+    return [(i + 1, "{" + s + "}", s) for i, s in enumerate(DECK_SLOTS)]
 
 
 def placeholder_table(spark: SparkSession, rows: Sequence[tuple[int, str, str]] | None = None) -> DataFrame:
@@ -185,27 +207,18 @@ def placeholder_table(spark: SparkSession, rows: Sequence[tuple[int, str, str]]
 
 def slot_binding(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
     """K11: ``(report_id, ord, placeholder, slot, value)`` for every placeholder
-    of every report; ``value`` is NULL where the report lacks the slot."""
-    bound = slots.join(placeholders, "slot").select("report_id", "ord", "placeholder", "slot", "value")
-    missing = slot_missing(slots, placeholders).withColumn("value", F.lit(None).cast("string"))
-    return bound.unionByName(missing)
+    of every report; ``value`` is NULL where the report has no value for it."""
+    expected = placeholders.select(F.array_sort(F.collect_list(F.struct("ord", "placeholder", "slot")))).scalar()
+    wanted = F.array_contains(expected.getField("slot"), F.col("slot")) & F.col("value").isNotNull()
+    per_report = slots.groupBy("report_id").agg(F.map_from_entries(
+        F.collect_list(F.when(wanted, F.struct("slot", "value")))).alias("values"))
+    return (per_report.select("report_id", "values", F.inline(expected))
+            .select("report_id", "ord", "placeholder", "slot", F.try_element_at("values", "slot").alias("value")))
 
 
 def slot_missing(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
-    """K11 strict check: ``(report_id, ord, placeholder, slot)`` with no slot value.
-
-    The expected slot list comes from the (small) placeholder table as one
-    scalar subquery; each report's present slots are a ``collect_set``
-    bounded by the placeholder count. No reports x placeholders product.
-    """
-    expected = placeholders.select(F.collect_set("slot")).scalar()
-    # Every report appears, even one with none of the expected slots; the set
-    # keeps only expected slots (NULLs are not collected).
-    have = slots.groupBy("report_id").agg(
-        F.collect_set(F.when(F.array_contains(expected, F.col("slot")), F.col("slot"))).alias("have")
-    )
-    missing = have.select("report_id", F.explode(F.array_except(expected, F.col("have"))).alias("slot"))
-    return missing.join(placeholders, "slot").select("report_id", "ord", "placeholder", "slot")
+    """K11 strict check: ``(report_id, ord, placeholder, slot)`` without a value."""
+    return slot_binding(slots, placeholders).filter(F.col("value").isNull()).drop("value")
 
 
 class MissingSlotsError(KeyError):
@@ -213,16 +226,28 @@ class MissingSlotsError(KeyError):
 
 
 def assert_complete(slots: DataFrame, placeholders: DataFrame, show: int = 20) -> None:
-    """Fail like the original report does when a placeholder has no value."""
-    rows = slot_missing(slots, placeholders).orderBy("report_id", "ord").limit(show).collect()
-    if rows:
+    """Fail like the original report does when a placeholder has no value. The
+    error has the full count and the first ``show``; :func:`slot_missing` has all."""
+    missing = slot_missing(slots, placeholders)
+    n = missing.count()
+    if n:
+        rows = missing.orderBy("report_id", "ord").limit(show).collect()
         listed = ", ".join(f"{r.report_id}:{r.placeholder}" for r in rows)
-        raise MissingSlotsError(f"placeholders without a value: {listed}")
+        raise MissingSlotsError(f"{n} placeholders without a value, the first {len(rows)}: {listed}")
+
 
+def assert_decks(rendered: DataFrame) -> None:
+    """Fail when a report names a deck that has no templates."""
+    lost = rendered.filter(F.col("template_id").isNull())
+    n = lost.count()
+    if n:
+        row = lost.first()
+        raise KeyError(f"{n} reports name a deck without templates, such as {row.report_id}: {row.deck_id}")
 
-def default_templates(labels: Labels = DEFAULT_LABELS) -> list[tuple[str, str, str]]:
+
+def default_templates() -> list[tuple[str, str, str]]:
     """A small text deck using every default placeholder once or more."""
-    rows = default_placeholders(labels)
+    rows = default_placeholders()
     by_slot = {slot: ph for _, ph, slot in rows}
     lines_usage = [f"{ph}" for _, ph, s in rows if s.startswith(("total_customer_", "growth_customer_"))]
     lines_mau = [f"{ph}" for _, ph, s in rows if "mau" in s]
@@ -245,29 +270,28 @@ def template_table(spark: SparkSession, rows: Sequence[tuple[str, str, str]] | N
     return small_table(spark, rows if rows is not None else default_templates(), schemas.TEMPLATES)
 
 
-def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Column = DEFAULT_DECK) -> DataFrame:
+def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Column = DEFAULT_DECK,
+                   reports: DataFrame | None = None) -> DataFrame:
     """K12: ``(report_id, deck_id, template_id, text)`` with placeholders filled.
 
     ``bindings`` is K11's output (or any ``report_id, ord, placeholder,
     value``). A NULL value leaves its placeholder in place. ``deck_id`` (a
-    literal or a column of ``bindings``) names the template deck a report
-    uses. The template table is a small parameter table: it becomes one
-    ``deck_id -> [(template_id, text)]`` map (a scalar subquery), and each
-    report inlines its own deck's templates -- a ``Generate``, so there is no
-    join and no reports x templates product.
+    literal, or a column of ``reports`` or else of ``bindings``) names the
+    template deck a report uses. ``reports`` (``report_id`` and the deck's
+    column) lists the reports to render, among them those with nothing to
+    replace, whose templates stay as they are. A report whose deck has no
+    templates keeps one row with NULL template and text (:func:`assert_decks`).
     """
     deck = F.lit(deck_id) if isinstance(deck_id, str) else deck_id
-    decks = templates.groupBy("deck_id").agg(F.collect_list(F.struct("template_id", "text")).alias("items"))
-    deck_map = decks.select(F.map_from_entries(F.collect_list(F.struct("deck_id", "items")))).scalar()
-    per_report = bindings.groupBy("report_id").agg(
-        F.first(deck).alias("deck_id"),
-        F.array_sort(F.collect_list(F.struct("ord", "placeholder", "value"))).alias("pairs"),
-    )
+    pairs = F.array_sort(F.collect_list(F.struct("ord", "placeholder", "value"))).alias("pairs")
+    if reports is None:
+        per_report = bindings.groupBy("report_id").agg(F.min(deck).alias("deck_id"), pairs)
+    else:
+        named = reports.select("report_id", deck.alias("deck_id")).distinct()
+        per_report = named.join(bindings.groupBy("report_id").agg(pairs), "report_id", "left")
     fold = F.aggregate(
         "pairs", F.col("text"),
         lambda acc, p: F.when(p["value"].isNull(), acc).otherwise(F.replace(acc, p["placeholder"], p["value"])),
     )
-    return (
-        per_report.select("report_id", "deck_id", "pairs", F.inline(F.try_element_at(deck_map, F.col("deck_id"))))
-        .select("report_id", "deck_id", "template_id", fold.alias("text"))
-    )
+    return per_report.join(templates, "deck_id", "left").select(
+        "report_id", "deck_id", "template_id", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(fold).alias("text"))

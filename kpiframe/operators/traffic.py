@@ -247,12 +247,12 @@ def metrics_from_text(rows: DataFrame) -> DataFrame:
 
     ``rows``: ``property, period, period_start, metric, value`` with ``metric``
     one of the K6 metric names and ``value`` a number as text (as analytics
-    APIs return them). Values are parsed with ``try_cast``: unparsable text
-    becomes NULL instead of failing the job. One row per (property, period).
+    APIs return them). Text that is no number fails the job; NULL stays NULL. One row per (property, period).
     """
     names = ["total_users", "page_views", "sessions", "engaged_sessions", "engagement_rate", "bounce_rate",
              "avg_session_duration"]
-    num = F.col("value").try_cast("double")
+    num = F.coalesce(F.col("value").try_cast("double"), F.when(F.col("value").isNotNull(), F.raise_error(
+        F.concat(F.lit("not a number: "), F.col("value"))).cast("double")))
     wide = rows.groupBy("property", "period", "period_start").agg(
         *[F.max(F.when(F.col("metric") == n, num)).alias(n) for n in names]
     )

@@ -1,16 +1,5 @@
-"""Broadcast only what has a proven size bound.
-
-Two cases:
-
-* tables built from a parameter list (labels, placeholders, templates): the
-  row count is known when the DataFrame is made, so :func:`small_table`
-  broadcasts it if the count is under ``MAX_BROADCAST_ROWS``;
-* dimension tables read from storage: :func:`broadcast_if_small` counts at
-  most ``max_rows + 1`` rows (a cheap, limit-bounded job) and falls back to
-  the planner's own choice (shuffle join, or AQE's runtime broadcast) when
-  the table is larger.
-
-Fact tables are never hinted; AQE decides from runtime statistics.
+"""Tables built from a parameter list. Nothing is hinted: the planner and AQE
+broadcast by size.
 """
 
 from __future__ import annotations
@@ -21,15 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def sql_literal(value) -> str:
     """A Spark SQL literal for a Python value (strings escaped for the parser)."""
     import datetime as dt
@@ -50,9 +30,8 @@ def sql_literal(value) -> str:
     return f"'{text}'"
 
 
-def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType,
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A DataFrame from a parameter list, broadcast when its known size allows.
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A DataFrame from a parameter list.
 
     Built as ``inline`` of a literal array over a one-row range, so it is a
     JVM-side plan: ``createDataFrame(list)`` would be a Python RDD scan that
@@ -68,5 +47,4 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
         ) + ")"
         for r in rows
     )
-    df = spark.range(0, 1, 1, 1).select(F.expr(f"inline(array({structs}))"))
-    return F.broadcast(df) if len(rows) <= max_rows else df
+    return spark.range(0, 1, 1, 1).select(F.expr(f"inline(array({structs}))"))

@@ -1,20 +1,19 @@
-"""DuckDB oracle SQL for every registered query.
-
-The oracle keeps the *original* query shapes (aggregate then ``LAG``,
-``UNION ALL`` arms, per-event ``lag`` sessionisation), so it checks the Spark
-plans, which use conditional aggregation and slot-based sessions, rather
-than mirroring them. DuckDB differences handled here: ``/ nullif(x, 0)``
-for safe division, ``||`` for NULL-propagating concatenation, casts of
-``HUGEINT`` sums back to ``BIGINT``.
+"""DuckDB oracle SQL for every registered query, written from the rules of the
+report: a current and a previous month joined, one grouped count per category,
+per-event ``lag`` sessions. The Spark plans use conditional aggregates, windows
+and slot-based sessions instead. Period bounds are written out here. DuckDB
+differences handled: ``/ nullif(x, 0)`` for safe division, ``||`` for
+NULL-propagating concatenation, casts of ``HUGEINT`` sums back to ``BIGINT``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 from kpiframe import labels as L
 from kpiframe.operators import report, traffic
-from kpiframe.queries.registry import KPI_PERIOD, LABELS, STATUS_ORDER, TRAFFIC_PERIOD, order_placeholders
+from kpiframe.queries.registry import LABELS, STATUS_ORDER, order_placeholders
 from kpiframe.sources.mapped import PROPERTIES
 
 
@@ -102,8 +101,8 @@ def values(rows, cols) -> str:
 # ---------------------------------------------------------------------------
 # Source views (same derivations as kpiframe.sources.mapped)
 # ---------------------------------------------------------------------------
-P = KPI_PERIOD
-T = TRAFFIC_PERIOD
+P = SimpleNamespace(previous_start=dt.date(2001, 6, 1), current_start=dt.date(2001, 7, 1), current_end=dt.date(2001, 8, 1))
+T = SimpleNamespace(previous_start=dt.date(2024, 1, 8), current_start=dt.date(2024, 1, 15), current_end=dt.date(2024, 1, 22))
 PROD = in_list(LABELS.products)
 SHARE = in_list(LABELS.share_products)
 EXCL = in_list(LABELS.excluded_statuses)
@@ -154,107 +153,89 @@ def layer(name: str, deps: list[str], sql: str) -> None:
     DEPS[name] = deps
 
 
-layer("k1", ["monthly_usage"], f"""
-  WITH md AS (
-    SELECT product, month, sum(total_customer) AS total_customer FROM monthly_usage
-    WHERE product IN {PROD} AND month IN ({d(P.previous_start)}, {d(P.current_start)})
-    GROUP BY product, month),
-  calc AS (
-    SELECT product, month, CAST(total_customer AS BIGINT) AS total_customer,
-           CAST(lag(total_customer) OVER (PARTITION BY product ORDER BY month) AS BIGINT) AS prev_total_customer
-    FROM md),
-  g AS (SELECT *, round({growth('total_customer', 'prev_total_customer')}, 2) AS growth_pct FROM calc)
-  SELECT product, month, total_customer, prev_total_customer, growth_pct,
-         {thousands('total_customer')} AS total_customer_text, {phrase('growth_pct', 'cast')} AS growth_phrase
-  FROM g WHERE month = {d(P.current_start)}""")
-
-layer("k2", ["monthly_usage"], f"""
-  WITH md AS (
-    SELECT product, month, sum(mau) AS total_mau, avg(ratio) AS mau_percentage FROM monthly_usage
-    WHERE product IN {PROD} AND month IN ({d(P.previous_start)}, {d(P.current_start)})
-    GROUP BY product, month),
-  calc AS (
-    SELECT product, month, CAST(total_mau AS BIGINT) AS total_mau, mau_percentage,
-           CAST(lag(total_mau) OVER (PARTITION BY product ORDER BY month) AS BIGINT) AS prev_total_mau
-    FROM md),
-  g AS (SELECT *, round({growth('total_mau', 'prev_total_mau')}, 2) AS growth_pct FROM calc)
-  SELECT product, month, total_mau, prev_total_mau, mau_percentage, growth_pct,
-         {thousands('total_mau')} AS total_mau_text, {percent2('mau_percentage * 100')} AS mau_percentage_text,
-         {phrase('growth_pct', 'cast')} AS growth_phrase
-  FROM g WHERE month = {d(P.current_start)}""")
+def _two_months(source: str, month: str, keys: str, measures: str, where: str) -> str:
+    """One aggregate per month, the previous one joined to the current one."""
+    def one(day) -> str:
+        return (f"SELECT {keys}, {measures} FROM {source} WHERE {month} = {d(day)} AND {where} GROUP BY {keys}")
 
+    return f"({one(P.current_start)}) now LEFT JOIN ({one(P.previous_start)}) old USING ({keys})"
+
+
+def _grown(now: str, old: str) -> str:
+    return f"round({growth(now, old)}, 2)"
+
+
+def _usage(measure: str, name: str, also: str = "", also_out: str = "", also_text: str = "") -> str:
+    """Growth of a summed usage measure per product."""
+    tables = _two_months("monthly_usage", "month", "product", f"CAST(sum({measure}) AS BIGINT) AS n{also}", f"product IN {PROD}")
+    return f"""
+  SELECT product, {d(P.current_start)} AS month, n AS {name}, n_old AS prev_{name}{also_out}, growth_pct,
+         {thousands('n')} AS {name}_text{also_text}, {phrase('growth_pct', 'cast')} AS growth_phrase
+  FROM (SELECT product, now.n, old.n AS n_old{', now.share' if also else ''}, {_grown('now.n', 'old.n')} AS growth_pct FROM {tables})"""
+
+
+layer("k1", ["monthly_usage"], _usage("total_customer", "total_customer"))
+layer("k2", ["monthly_usage"], _usage("mau", "total_mau", ", avg(ratio) AS share", ", share AS mau_percentage",
+                                      f", {percent2('share * 100')} AS mau_percentage_text"))
+
+_MONTH = month_of("order_created_date")
+_COUNTED = f"fulfillment_status NOT IN {EXCL}"
 layer("k3", ["orders_flat"], f"""
-  WITH md AS (
-    SELECT {month_of('order_created_date')} AS order_month,
-           count(order_id) AS total_orders,
-           count(*) FILTER (WHERE fulfillment_status = {q(LABELS.closed_status)}) AS total_completed,
-           count(*) FILTER (WHERE fulfillment_status NOT IN {NOT_OPEN}) AS total_on_progress
-    FROM orders_flat
-    WHERE fulfillment_status NOT IN {EXCL}
-      AND {month_of('order_created_date')} IN ({d(P.previous_start)}, {d(P.current_start)})
-    GROUP BY 1),
-  gc AS (
-    SELECT order_month, total_orders, total_completed, total_on_progress,
-           lag(total_orders) OVER (ORDER BY order_month) AS prev_total_orders
-    FROM md),
-  r AS (
-    SELECT *, round({growth('total_orders', 'prev_total_orders')}, 2) AS growth_pct,
-           round(CAST(total_completed AS DOUBLE) / nullif(total_orders, 0) * 100, 2) AS completed_pct,
-           round(CAST(total_on_progress AS DOUBLE) / nullif(total_orders, 0) * 100, 2) AS on_progress_pct
-    FROM gc)
-  SELECT order_month, total_orders, total_completed, total_on_progress, prev_total_orders,
-         growth_pct, completed_pct, on_progress_pct,
-         {thousands('total_orders')} AS total_orders_text,
-         {thousands('total_completed')} AS total_completed_text,
-         {thousands('total_on_progress')} AS total_on_progress_text,
-         {phrase('growth_pct', 'fixed2')} AS growth_phrase,
-         {percent2('growth_pct')} AS growth_pct_text,
-         {percent2('completed_pct')} AS completed_pct_text,
+  SELECT {d(P.current_start)} AS order_month, n AS total_orders, done AS total_completed, going AS total_on_progress,
+         n_old AS prev_total_orders, growth_pct, completed_pct, on_progress_pct,
+         {thousands('n')} AS total_orders_text, {thousands('done')} AS total_completed_text,
+         {thousands('going')} AS total_on_progress_text, {phrase('growth_pct', 'fixed2')} AS growth_phrase,
+         {percent2('growth_pct')} AS growth_pct_text, {percent2('completed_pct')} AS completed_pct_text,
          {percent2('on_progress_pct')} AS on_progress_pct_text
-  FROM r WHERE order_month = {d(P.current_start)}""")
-
-layer("k4", ["orders_flat"], f"""
-  WITH base AS (
-    SELECT fulfillment_status, product, regional FROM orders_flat
-    WHERE {month_of('order_created_date')} = {d(P.current_start)}),
-  ss AS (
-    SELECT fulfillment_status, count(*) AS n FROM base
-    WHERE fulfillment_status = {q(LABELS.document_status)} GROUP BY fulfillment_status),
-  ps AS (
-    SELECT product, count(*) AS n,
-           {fixed2('CAST(count(*) AS DOUBLE) / CAST(nullif(sum(count(*)) OVER (), 0) AS DOUBLE) * 100')} AS percentage
-    FROM base WHERE product IN {SHARE} AND fulfillment_status NOT IN {NOT_OPEN} GROUP BY product),
-  rs AS (
-    SELECT regional, count(*) AS n FROM base WHERE fulfillment_status NOT IN {NOT_OPEN}
-    GROUP BY regional ORDER BY n DESC, regional ASC NULLS LAST LIMIT 1)
-  SELECT 'status' AS category, fulfillment_status AS label, CAST(n AS VARCHAR) AS total_orders,
-         CAST(NULL AS VARCHAR) AS percentage FROM ss
-  UNION ALL
-  SELECT 'product', product, CAST(n AS VARCHAR), percentage FROM ps
-  UNION ALL
-  SELECT 'regional', regional, CAST(n AS VARCHAR), NULL FROM rs""")
-
-_arms = "\n    UNION ALL\n".join(
-    f"""    SELECT {q(name)} AS product_type, {month_of('date')} AS month,
-           {' + '.join(f'max({c})' for c in cols)} AS total_devices
-    FROM daily_metrics
-    WHERE {month_of('date')} IN ({d(P.current_start)}, {d(P.previous_start)})
-      AND customer_type = {q(LABELS.customer_type)}
-    GROUP BY 2"""
-    for name, cols in LABELS.device_arms
-)
+  FROM (SELECT *, {_grown('n', 'n_old')} AS growth_pct, round(done::DOUBLE / nullif(n, 0) * 100, 2) AS completed_pct,
+               round(going::DOUBLE / nullif(n, 0) * 100, 2) AS on_progress_pct
+        FROM (SELECT count(order_id) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}) AS n,
+                     count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}) AS n_rows,
+                     nullif(count(order_id) FILTER ({_MONTH} = {d(P.previous_start)} AND {_COUNTED}), 0) AS n_old,
+                     count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}
+                                      AND fulfillment_status = {q(LABELS.closed_status)}) AS done,
+                     count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}
+                                      AND fulfillment_status NOT IN {NOT_OPEN}) AS going
+              FROM orders_flat))
+  WHERE n_rows > 0""")
+
+
+def _categories(by: str) -> str:
+    """K4 from one grouped count; ``by``: '' or a key with a comma after it."""
+    part = f"PARTITION BY {by[:-2]}" if by else ""
+    return f"""
+  WITH cube AS (
+    SELECT {by}fulfillment_status AS status, product, regional, count(*) AS n
+    FROM orders_flat WHERE {_MONTH} = {d(P.current_start)} GROUP BY ALL),
+  arms AS (
+    SELECT {by}'status' AS category, status AS label, sum(n) AS n FROM cube
+    WHERE status = {q(LABELS.document_status)} GROUP BY ALL
+    UNION ALL
+    SELECT {by}'product', product, sum(n) FROM cube
+    WHERE status NOT IN {NOT_OPEN} AND product IN {SHARE} GROUP BY ALL
+    UNION ALL
+    SELECT {by}'regional', regional, sum(n) FROM cube WHERE status NOT IN {NOT_OPEN} GROUP BY ALL)
+  SELECT {by}category, label, CAST(CAST(n AS BIGINT) AS VARCHAR) AS total_orders,
+         CASE WHEN category = 'product' THEN
+           {fixed2(f"CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY {by}category) AS DOUBLE) * 100")} END AS percentage
+  FROM arms
+  QUALIFY category <> 'regional'
+    OR row_number() OVER (PARTITION BY {by}category ORDER BY n DESC, label ASC NULLS LAST) = 1"""
+
+
+layer("k4", ["orders_flat"], _categories(""))
+
+_TOPS = ", ".join(f"max(cumulative_{c}) AS {c}" for c in "abcd")
+_ARMS = " UNION ALL ".join(
+    f"SELECT {q(name)} AS product_type, " + " + ".join(f"now.{c[-1]}" for c in cols) + " AS n, "
+    + " + ".join(f"old.{c[-1]}" for c in cols) + " AS n_old FROM "
+    + _two_months("daily_metrics", month_of("date"), "customer_type", _TOPS, f"customer_type = {q(LABELS.customer_type)}")
+    for name, cols in LABELS.device_arms)
 layer("k5", ["daily_metrics"], f"""
-  WITH monthly AS (
-{_arms}),
-  calc AS (
-    SELECT product_type, month, total_devices,
-           lag(total_devices) OVER (PARTITION BY product_type ORDER BY month) AS prev_total_devices
-    FROM monthly),
-  g AS (SELECT *, round({growth('total_devices', 'prev_total_devices')}, 2) AS growth_pct FROM calc)
-  SELECT product_type, month, CAST(total_devices AS BIGINT) AS total_devices,
-         CAST(prev_total_devices AS BIGINT) AS prev_total_devices, growth_pct,
-         {thousands('total_devices')} AS total_devices_text, {phrase('growth_pct', 'float')} AS growth_phrase
-  FROM g WHERE month = {d(P.current_start)}""")
+  SELECT product_type, {d(P.current_start)} AS month, CAST(n AS BIGINT) AS total_devices,
+         CAST(n_old AS BIGINT) AS prev_total_devices, growth_pct, {thousands('n')} AS total_devices_text,
+         {phrase('growth_pct', 'float')} AS growth_phrase
+  FROM (SELECT *, {_grown('n', 'n_old')} AS growth_pct FROM ({_ARMS}))""")
 
 layer("k6", ["traffic_events"], f"""
   WITH pe AS (
@@ -324,7 +305,7 @@ layer("k9", ["k8"], "\n  UNION ALL\n".join(
 ))
 
 _prod_sfx = values(sorted(LABELS.product_suffix.items()), ["label", "suffix"])
-_share_sfx = values(sorted((p, LABELS.product_suffix.get(p, p.lower())) for p in LABELS.share_products),
+_share_sfx = values(sorted((p, LABELS.product_suffix[p]) for p in LABELS.share_products),
                     ["label", "suffix"])
 _arm_sfx = values([(n, n) for n, _ in LABELS.device_arms], ["label", "suffix"])
 
@@ -357,7 +338,7 @@ layer("slots", ["k1", "k2", "k3", "k4", "k5", "k9"],
       f"  SELECT {q(P.current_start.isoformat())} AS report_id, slot, value FROM (\n    "
       + "\n    UNION ALL ".join(_slot_parts) + ")")
 
-layer("placeholders", [], "  SELECT * FROM " + values(report.default_placeholders(LABELS), ["ord", "placeholder", "slot"]))
+layer("placeholders", [], "  SELECT * FROM " + values(report.default_placeholders(), ["ord", "placeholder", "slot"]))
 layer("binding", ["slots", "placeholders"], """
   SELECT s.report_id, p.ord, p.placeholder, p.slot, s.value
   FROM (SELECT DISTINCT report_id FROM slots) r CROSS JOIN placeholders p
@@ -366,50 +347,47 @@ layer("binding", ["slots", "placeholders"], """
 
 def _render_sql() -> str:
     text = "t.text"
-    for _, ph, slot in report.default_placeholders(LABELS):
+    for _, ph, slot in report.default_placeholders():
         val = f"(SELECT value FROM slots WHERE slot = {q(slot)})"
         text = f"replace({text}, {q(ph)}, coalesce({val}, {q(ph)}))"
-    templates = values(report.default_templates(LABELS), ["deck_id", "template_id", "text"])
+    templates = values(report.default_templates(), ["deck_id", "template_id", "text"])
     return (f"  SELECT r.report_id, t.deck_id, t.template_id, {text} AS text\n"
             f"  FROM (SELECT DISTINCT report_id FROM slots) r CROSS JOIN {templates} t")
 
 
 layer("render", ["slots"], _render_sql())
 
-# Per-nation order reports (K3 + K4 grouped by nation), in the original shapes.
-layer("k3n", ["orders_flat"], f"""
-  WITH md AS (
-    SELECT nation, {month_of('order_created_date')} AS order_month, count(order_id) AS total_orders
-    FROM orders_flat
-    WHERE fulfillment_status NOT IN {EXCL}
-      AND {month_of('order_created_date')} IN ({d(P.previous_start)}, {d(P.current_start)})
-    GROUP BY 1, 2)
-  SELECT nation FROM md WHERE order_month = {d(P.current_start)}""")
-layer("k4n", ["orders_flat"], f"""
-  WITH base AS (
-    SELECT nation, fulfillment_status, product, regional FROM orders_flat
-    WHERE {month_of('order_created_date')} = {d(P.current_start)}),
-  ss AS (SELECT nation, fulfillment_status AS label FROM base
-         WHERE fulfillment_status = {q(LABELS.document_status)} GROUP BY 1, 2),
-  ps AS (SELECT nation, product AS label FROM base
-         WHERE product IN {SHARE} AND fulfillment_status NOT IN {NOT_OPEN} GROUP BY 1, 2),
-  rs AS (SELECT nation, regional AS label FROM (
-           SELECT nation, regional, row_number() OVER (PARTITION BY nation ORDER BY count(*) DESC,
-                  regional ASC NULLS LAST) AS rn
-           FROM base WHERE fulfillment_status NOT IN {NOT_OPEN} GROUP BY nation, regional) WHERE rn = 1)
-  SELECT nation, 'status' AS category, label FROM ss
-  UNION ALL SELECT nation, 'product', label FROM ps
-  UNION ALL SELECT nation, 'regional', label FROM rs""")
-_k3_slot_names = ["total_orders", "growth_orders", "total_completed_orders", "completed_orders_percentage",
-                  "total_on_progress_orders", "on_progress_orders_percentage"]
-layer("slots_n", ["k3n", "k4n"], "  " + "\n  UNION ALL ".join(
-    [f"SELECT nation AS report_id, {q(report.REPORT_MONTH_SLOT)} AS slot FROM k3n"]
-    + [f"SELECT nation, {q(n)} FROM k3n" for n in _k3_slot_names]
-    + ["SELECT nation, 'contract_document' FROM k4n WHERE category = 'status'",
-       f"SELECT k.nation, 'remaining_order_' || s.suffix FROM k4n k JOIN {_share_sfx} s ON k.label = s.label "
-       "WHERE k.category = 'product'",
-       "SELECT nation, 'remaining_order_regional' FROM k4n WHERE category = 'regional'",
-       "SELECT nation, 'total_remaining_order_regional' FROM k4n WHERE category = 'regional'"]))
+# Per-nation order reports (K3 + K4 grouped by nation). K3's values are not
+# rendered; its slots only have to be there.
+layer("k3n", ["orders_flat"],
+      f"  SELECT DISTINCT nation FROM orders_flat WHERE {_MONTH} = {d(P.current_start)} AND {_COUNTED}")
+layer("k4n", ["orders_flat"], _categories("nation, "))
+_K3_SLOTS = ["total_orders", "growth_orders", "total_completed_orders", "completed_orders_percentage",
+             "total_on_progress_orders", "on_progress_orders_percentage"]
+layer("slots_n", ["k3n", "k4n"], f"""
+  SELECT {q(P.current_start.isoformat() + '/')} || nation AS report_id, slot, value FROM (
+    SELECT nation, 'report_month' AS slot, strftime({d(P.current_start)}, '%B %Y') AS value
+    FROM (SELECT nation FROM k3n UNION SELECT nation FROM k4n)
+    UNION ALL SELECT nation, unnest([{', '.join(map(q, _K3_SLOTS))}]), 'some' FROM k3n
+    UNION ALL SELECT nation, 'contract_document', total_orders FROM k4n WHERE category = 'status'
+    UNION ALL SELECT k.nation, 'remaining_order_' || s.suffix, k.total_orders
+              FROM k4n k JOIN {_share_sfx} s ON k.label = s.label WHERE k.category = 'product'
+    UNION ALL SELECT nation, 'remaining_order_regional', label FROM k4n WHERE category = 'regional'
+    UNION ALL SELECT nation, 'total_remaining_order_regional', total_orders FROM k4n WHERE category = 'regional')""")
+_NATION_SLOTS = ["report_month", "remaining_order_building", "remaining_order_machinery", "remaining_order_regional"]
+_NATION_TEXT = ("{report_month}: {remaining_order_building} building, {remaining_order_machinery} machinery, "
+                "most in {remaining_order_regional}")
+
+
+def _nation_render() -> str:
+    text = q(_NATION_TEXT)
+    for slot in _NATION_SLOTS:
+        ph = q("{" + slot + "}")
+        text = f"replace({text}, {ph}, coalesce(max(value) FILTER (slot = {q(slot)}), {ph}))"
+    return f"  SELECT report_id, 'monthly' AS deck_id, 'orders' AS template_id, {text} AS text FROM slots_n GROUP BY report_id"
+
+
+layer("render_n", ["slots_n"], _nation_render())
 
 
 def compose(final: str, deps: list[str]) -> str:
@@ -475,6 +453,7 @@ ORACLE: dict[str, str] = {
         "CROSS JOIN " + values(order_placeholders(), ["ord", "placeholder", "slot"]) + " p "
         "WHERE NOT EXISTS (SELECT 1 FROM slots_n s WHERE s.report_id = r.report_id AND s.slot = p.slot)",
         ["slots_n"]),
+    "report_render_by_nation": compose("SELECT * FROM render_n", ["render_n"]),
     # primitives
     "pred_in": compose(f"SELECT order_id, product FROM orders_flat WHERE product IN {PROD}", ["orders_flat"]),
     "pred_month_exact": compose(

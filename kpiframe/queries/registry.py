@@ -191,21 +191,37 @@ ORDER_SLOTS = ("report_month", "total_orders", "growth_orders", "total_completed
                "total_remaining_order_regional", "contract_document")
 
 
+NATION_TEMPLATES = [("monthly", "orders", "{report_month}: {remaining_order_building} building, "
+                     "{remaining_order_machinery} machinery, most in {remaining_order_regional}")]
+
+
 def order_placeholders() -> list[tuple[int, str, str]]:
-    return [row for row in report.default_placeholders(LABELS) if row[2] in ORDER_SLOTS]
+    return [row for row in report.default_placeholders() if row[2] in ORDER_SLOTS]
 
 
-@_q
-def slot_missing_by_nation(c: Ctx) -> DataFrame:
-    """K11 over many reports: one order report per nation (K3 + K4 with ``by``)
-    in one job; lists the placeholders each nation's report cannot fill."""
+def nation_slots(c: Ctx) -> DataFrame:
+    """One order report per nation (K3 + K4 with ``by``), in one job."""
     by = ["nation"]
     k3 = orders.order_progress(c.orders_p(), KPI_PERIOD, LABELS, by=by)
     k4 = orders.order_category(c.orders_p(), KPI_PERIOD, LABELS, by=by)
-    slots = report.report_slots(
+    return report.report_slots(
         [report.progress_slots(k3, by), report.category_slots(k4, LABELS, by)], KPI_PERIOD, by=by
     )
-    return report.slot_missing(slots, report.placeholder_table(c.spark, order_placeholders()))
+
+
+@_q
+def slot_missing_by_nation(c: Ctx) -> DataFrame:
+    """K11 over many reports: the placeholders each nation's report cannot fill."""
+    return report.slot_missing(nation_slots(c), report.placeholder_table(c.spark, order_placeholders()))
+
+
+@_q
+def report_render_by_nation(c: Ctx) -> DataFrame:
+    """K12 over many reports: every nation's order report, filled."""
+    slots = nation_slots(c)
+    bindings = report.slot_binding(slots, report.placeholder_table(c.spark, order_placeholders()))
+    return report.render_reports(bindings, report.template_table(c.spark, NATION_TEMPLATES),
+                                 reports=slots.select("report_id"))
 
 
 @_q
@@ -228,7 +244,7 @@ def pred_in(c: Ctx) -> DataFrame:
 
 @_q
 def pred_month_exact(c: Ctx) -> DataFrame:
-    return usage.usage_months(c.usage, KPI_PERIOD, LABELS.products).select(
+    return usage.usage_months(c.usage_p(), KPI_PERIOD, LABELS.products).select(
         "product", "month", "tier", "total_customer", "mau"
     )
 

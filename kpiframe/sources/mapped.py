@@ -35,32 +35,19 @@ def monthly_usage(orders: DataFrame, customer: DataFrame, period: Period | None
     ``total_customer`` = distinct ordering customers, ``mau`` = distinct
     customers with an ``F`` order, ``ratio`` = mau / total_customer.
 
-    Plan: each customer's orders are first reduced, before any shuffle, to
-    the set of ``(month, tier, filled)`` they touch -- a ``collect_set``
-    bounded by months x tiers x 2, not by the customer's order count, and
-    combined map-side, so a customer holding a third of all orders is
-    collapsed early instead of landing in one task. That aggregate is
-    hash-partitioned by the customer key, which the equi-join with customer
-    reuses; the per-customer de-duplication runs on the same partitioning,
-    and only the final small count is exchanged again.
+    Plan: orders are first reduced to one row per (customer, month, tier) by a
+    hash aggregate that combines map-side, so a customer holding a third of
+    all orders is collapsed before any shuffle. Only those rows are joined
+    with customer, and only the final small count is exchanged again.
     """
     o = orders if period is None else period.filter(orders, "o_orderdate")
-    seen = o.groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.collect_set(F.struct(
-            period_start(F.col("o_orderdate"), "month").alias("month"),
-            F.col("o_orderpriority").alias("tier"),
-            (F.col("o_orderstatus") == F.lit("F")).alias("is_filled"),
-        )).alias("seen")
-    )
+    seen = o.groupBy(
+        F.col("o_custkey").alias("custkey"), period_start(F.col("o_orderdate"), "month").alias("month"),
+        F.col("o_orderpriority").alias("tier"),
+    ).agg(F.bool_or(F.col("o_orderstatus") == F.lit("F")).alias("any_filled"))
     c = customer.select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("product"))
-    per_customer = (
-        seen.join(c, "custkey")
-        .select("custkey", "product", F.inline("seen"))
-        .groupBy("product", "month", "tier", "custkey")
-        .agg(F.bool_or("is_filled").alias("any_filled"))
-    )
     return (
-        per_customer.groupBy("product", "month", "tier")
+        seen.join(c, "custkey").groupBy("product", "month", "tier")
         .agg(F.count(F.lit(1)).alias("total_customer"), F.count_if(F.col("any_filled")).alias("mau"))
         .withColumn("ratio", F.try_divide(F.col("mau"), F.col("total_customer")))
     )

@@ -3,30 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_reports(rendered: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write K12 output partitioned by ``report_id``.
+    """Write K12 output partitioned by ``report_month``, the ISO start of the
+    period with which report ids begin.
 
-    With dynamic partition overwrite only the reports present in
-    ``rendered`` are replaced, so re-running one month leaves the others.
+    With dynamic partition overwrite only the months present in ``rendered``
+    are replaced, each as a whole, so re-running one month leaves the others.
     Output files are written by the executors in parallel; nothing passes
     through the driver.
     """
-    (
-        rendered.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_id")
-        .parquet(path)
-    )
+    _by_month(rendered, path, mode)
+
+
+def _by_month(df: DataFrame, path: str, mode: str) -> None:
+    month = F.substring("report_id", 1, 10)
+    (df.withColumn("report_month", month).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("report_month").parquet(path))
 
 
 def write_slots(slots: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a K10 slot table partitioned by ``report_id`` (same layout)."""
-    slots.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("report_id").parquet(path)
+    """Write a K10 slot table partitioned by ``report_month`` (same layout)."""
+    _by_month(slots, path, mode)
+
+
+RENDERED_SCHEMA = "report_id string, deck_id string, template_id string, text string, report_month string"
+SLOTS_SCHEMA = "report_id string, slot string, value string, report_month string"
 
 
-RENDERED_SCHEMA = "deck_id string, template_id string, text string, report_id string"
+def read_slots(spark, path: str, report_month: str) -> DataFrame:
+    """The written slot table of one month."""
+    return spark.read.schema(SLOTS_SCHEMA).parquet(path).filter(F.col("report_month") == report_month).drop("report_month")
 
 
 def read_reports(spark, path: str) -> DataFrame:

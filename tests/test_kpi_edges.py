@@ -167,28 +167,6 @@ def test_k4_shares_sum_to_100_before_rounding(spark):
     assert abs(sum(shown.values()) - 100.0) <= 0.01 * len(shown)
 
 
-def test_broadcast_if_small_checks_the_bound(spark):
-    from kpiframe.plans.broadcast import broadcast_if_small
-    small = spark.range(10)
-    big = spark.range(1000)
-    join = lambda side: spark.range(100).join(side, "id")
-    import contextlib
-    import io
-
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-    with_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(join(broadcast_if_small(small, max_rows=100)))
-        assert "BroadcastHashJoin" not in plan(join(broadcast_if_small(big, max_rows=100)))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
-
-
 def test_k4_fill_zero(spark):
     rows = [(1, D(2001, 7, 1), "3-MEDIUM", "BUILDING", "ASIA"), (2, D(2001, 7, 1), "5-LOW", "MACHINERY", "ASIA")]
     df = orders_df(spark, rows)

@@ -39,11 +39,11 @@ def test_readme_flow_on_written_sources(spark):
         report.device_slots(devices.device_growth(daily, p, labels), labels),
         traffic.traffic_all(k8, labels),
     ], p)
-    phs = report.placeholder_table(spark, report.default_placeholders(labels))
+    phs = report.placeholder_table(spark, report.default_placeholders())
     report.assert_complete(slots, phs)
     out = os.path.join(base, "reports")
     sinks.write_reports(report.render_reports(report.slot_binding(slots, phs),
-                                              report.template_table(spark, report.default_templates(labels))), out)
+                                              report.template_table(spark, report.default_templates())), out)
     rendered = sinks.read_reports(spark, out).collect()
     assert len(rendered) == 6 and all("{" not in r.text for r in rendered)
     assert slots.count() == 67

@@ -2,8 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from kpiframe.plans.inspect import explain_text, forbidden_nodes, pushed_filters, read_schemas, scan_count
+from kpiframe.queries import registry
 
 from conftest import SF_SMALL
 
@@ -18,7 +18,7 @@ def scans(text: str, table: str) -> int:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(fn(spark, SF_SMALL)) for name, fn in entry.queries().items()}
+    return {name: plan(fn(spark, SF_SMALL)) for name, fn in registry.queries().items()}
 
 
 def test_no_python_or_cross_products(plans):
@@ -43,7 +43,7 @@ def static_plans(spark):
     visible in the plan text (with AQE on it happens at runtime)."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return {name: plan(fn(spark, SF_SMALL)) for name, fn in entry.queries().items()
+        return {name: plan(fn(spark, SF_SMALL)) for name, fn in registry.queries().items()
                 if name in ("device_growth", "order_category", "customer_growth", "report_slots",
                             "slot_missing_by_nation")}
     finally:
@@ -84,3 +84,9 @@ def test_filter_after_lag_stays_above_the_window(spark):
     text = explain_text(out)
     physical = text.split("\n\n")[0]
     assert physical.index("Filter") < physical.index("Window")  # Filter is the parent of Window
+
+
+def test_usage_aggregates_without_sort_and_prunes(plans):
+    for name in ("customer_growth", "mau_growth", "pred_month_exact"):
+        assert "ObjectHashAggregate" not in plans[name], name
+        assert "GreaterThanOrEqual(o_orderdate," in " ".join(pushed_filters(plans[name])), name

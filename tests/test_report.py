@@ -143,3 +143,44 @@ def test_render_each_report_with_its_own_deck(spark):
     got = sorted((r.report_id, r.deck_id, r.template_id, r.text)
                  for r in report.render_reports(binding, templates, deck_id=F.col("deck")).collect())
     assert got == [("r1", "short", "s1", "S A1"), ("r2", "long", "l1", "L1 A2"), ("r2", "long", "l2", "L2 A2")]
+
+
+def test_report_ids_are_injective_and_hold_the_period(spark):
+    from kpiframe.functions.period import Period
+    rows = [("a/b", "c"), ("a", "b/c"), (None, "x"), ("x", None), ("\\N", "x")]
+    part = spark.createDataFrame([(*r, "s", "v") for r in rows], "k string, l string, slot string, value string")
+    june, july = (report.report_slots([part], Period(f"2001-{m}-15"), by=["k", "l"]) for m in ("07", "08"))
+    ids = {r.report_id for r in june.collect()} | {r.report_id for r in july.collect()}
+    assert len(ids) == 2 * len(rows)
+
+
+def test_next_month_leaves_the_last_one(spark, tmp_path):
+    from kpiframe.sources.sinks import read_reports, write_reports
+    out = str(tmp_path / "reports")
+    schema = "report_id string, deck_id string, template_id string, text string"
+    for month in ("2001-06-01", "2001-07-01"):
+        write_reports(spark.createDataFrame([(f"{month}/GERMANY", "monthly", "t", month)], schema), out)
+    assert sorted(r.text for r in read_reports(spark, out).collect()) == ["2001-06-01", "2001-07-01"]
+
+
+def test_null_slot_values_are_missing(spark):
+    slots, phs = slots_df(spark, [("r1", "a", "1"), ("r1", "b", None)]), ph_df(spark, [(1, "{a}", "a"), (2, "{b}", "b")])
+    assert [r.slot for r in report.slot_missing(slots, phs).collect()] == ["b"]
+    with pytest.raises(report.MissingSlotsError, match="1 placeholders"):
+        report.assert_complete(slots, phs)
+
+
+def test_no_report_is_dropped_by_its_deck_or_an_empty_map(spark):
+    reports = spark.createDataFrame([("r1", "monthly"), ("r2", "lost")], "report_id string, deck string")
+    none = spark.createDataFrame([], "report_id string, ord int, placeholder string, value string")
+    templates = small_table(spark, [("monthly", "t", "as {it} is")], schemas.TEMPLATES)
+    got = report.render_reports(none, templates, F.col("deck"), reports=reports)
+    assert {r.report_id: r.text for r in got.collect()} == {"r1": "as {it} is", "r2": None}
+    with pytest.raises(KeyError, match="r2"):
+        report.assert_decks(got)
+
+
+def test_labels_with_one_suffix_twice_are_rejected():
+    from kpiframe.labels import Labels
+    with pytest.raises(ValueError):
+        Labels(product_suffix={"A": "x", "B": "x"})

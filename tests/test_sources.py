@@ -96,3 +96,12 @@ def test_read_catalog_table(spark):
     spark.createDataFrame([("BUILDING", dt.date(2001, 7, 1), "a", 3, 1, 0.5)], schemas.USAGE) \
         .createOrReplaceTempView("usage_monthly")
     assert read_catalog(spark, "usage_monthly").first().total_customer == 3
+
+
+def test_an_appended_file_is_seen(spark, tmp_path):
+    from kpiframe.sources.tables import DriverTables
+    path = str(tmp_path / "orders.parquet")
+    spark.range(10).write.parquet(path)
+    assert DriverTables(spark, str(tmp_path)).orders.count() == 10
+    spark.range(5).write.mode("append").parquet(path)
+    assert DriverTables(spark, str(tmp_path)).orders.count() == 15

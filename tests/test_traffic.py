@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from kpiframe import labels as L
@@ -129,7 +130,7 @@ def test_traffic_all_slots_per_property(spark):
 def test_metrics_from_text_feed_growth(spark):
     rows = []
     for period, start, users, views in (("current", P.current_start, "120", "1500.0"),
-                                        ("previous", P.previous_start, "100", "oops")):
+                                        ("previous", P.previous_start, "100", None)):
         rows += [("website", period, start, "total_users", users), ("website", period, start, "page_views", views),
                  ("website", period, start, "engagement_rate", "0.5"), ("website", period, start, "bounce_rate", "0.5"),
                  ("website", period, start, "avg_session_duration", "10")]
@@ -137,7 +138,10 @@ def test_metrics_from_text_feed_growth(spark):
     m = traffic.metrics_from_text(df)
     g = traffic.traffic_growth(m, P).collect()[0]
     assert g.total_visitors == "120" and g.growth_total_visitors == "meningkat sebanyak 20.00%"
-    assert g.page_views == "1.500" and g.growth_page_views is None  # previous value unparsable -> NULL
+    assert g.page_views == "1.500" and g.growth_page_views is None  # no previous value -> NULL
+    bad = df.fillna("oops", "value")
+    with pytest.raises(Exception, match="not a number: oops"):
+        traffic.metrics_from_text(bad).collect()
 
 
 def test_session_counts_match_recorded_figures(spark):
