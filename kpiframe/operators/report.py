@@ -287,7 +287,7 @@ def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Col
     if reports is None:
         per_report = bindings.groupBy("report_id").agg(F.min(deck).alias("deck_id"), pairs)
     else:
-        named = reports.select("report_id", deck.alias("deck_id")).distinct()
+        named = reports.groupBy("report_id").agg(F.min(deck).alias("deck_id"))
         per_report = named.join(bindings.groupBy("report_id").agg(pairs), "report_id", "left")
     fold = F.aggregate(
         "pairs", F.col("text"),
