@@ -17,7 +17,7 @@ id range may hold them and decompresses only their frames.
 
 Defined cases: null text is an empty text and holds only the end id; rows with
 a null doc_id come first; rows that share a doc_id are all kept, ordered by
-their ids' hash; tables too small to train a dictionary use the sample itself
+their texts' hash; tables too small to train a dictionary use the sample itself
 as one; an empty table gives an empty dataset and an empty result.
 """
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -66,15 +67,28 @@ class WordTokenizer:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65_536 else 4
         self.known: dict[bytes, bytes] = {}
 
+    def cut(self, text: str) -> list[bytes]:
+        """The text's stretches; A-Z are lowered as the library would, but not
+        where that could make a special token."""
+        data = text.encode("utf-8")
+        return (data if b"<|" in data else data.lower()).split()
+
+    def learn(self, new: set[bytes]) -> None:
+        # what stays letters when normalised, and one mark after it, are two pre-tokens
+        marked = {c for c in new if c[-1:] in (b".", b",")
+                  and unicodedata.normalize("NFC", c[:-1].decode("utf-8")).lower().isalpha()}
+        plain = list((new - marked | {p for c in marked for p in (c[:-1], c[-1:])}) - self.known.keys())
+        found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in plain], add_special_tokens=False)
+        kind = f"<u{self.width}"
+        self.known.update((c, np.array(x.ids, kind).tobytes()) for c, x in zip(plain, found))
+        self.known.update((c, self.known[c[:-1]] + self.known[c[-1:]]) for c in marked)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.encode("utf-8").split() for t in texts]
+        cut = [self.cut(t) for t in texts]
         new = set().union(*cut) - self.known.keys()
         if len(self.known) + len(new) > CACHE_ENTRIES:
             self.known, new = {}, set().union(*cut)
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in new], add_special_tokens=False)
-        kind = f"<u{self.width}"
-        self.known.update((c, np.array(x.ids, kind).tobytes()) for c, x in zip(new, found))
+        self.learn(new)
         return [b"".join(map(self.known.__getitem__, c)) for c in cut]
 
 
@@ -133,7 +147,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
         kept = worker_state()
         if ("zstd", digest) not in kept:
             kept["zstd", digest] = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data))
-        return {"tie": zlib.crc32(ids), "n_tokens": len(ids) // width, "frame": kept["zstd", digest].compress(ids)}
+        return {"n_tokens": len(ids) // width, "frame": kept["zstd", digest].compress(ids)}
 
     def blocks(batches):
         file, block = TaskContext.get().partitionId(), 0
@@ -150,8 +164,10 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
     from pyspark.sql.types import _parse_datatype_string
 
     kind = to_arrow_schema(_parse_datatype_string(BLOCKS))
-    (_packed(docs, path, end_id, "tie bigint, n_tokens bigint, frame binary", compressed)
-     .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    # texts are dealt before they are encoded: dealing by range samples its
+    # input first, and would encode everything twice
+    (_packed(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie")
+             .sortWithinPartitions("doc_id", "tie"), path, end_id, "n_tokens bigint, frame binary", compressed)
      .mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks"))
 
     sizes = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").select(
