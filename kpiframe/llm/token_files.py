@@ -45,8 +45,9 @@ SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 32_768
 LEVEL = 3
 BLOCK_BYTES = 1_000_000
-GROUP_BYTES = 4_000_000
-CACHE_ENTRIES = 600_000
+GROUP_BYTES = 2_000_000
+CACHE_ENTRIES = 400_000
+SLICE = 5000
 
 DICTIONARY = "dictionary binary, dict_sha256 string, id_bytes int"
 BLOCKS = ("file int, block int, first_doc bigint, last_doc bigint, dict_sha256 string, doc_ids array<bigint>, "
@@ -78,9 +79,11 @@ class WordTokenizer:
         marked = {c for c in new if c[-1:] in (b".", b",")
                   and unicodedata.normalize("NFC", c[:-1].decode("utf-8")).lower().isalpha()}
         plain = list((new - marked | {p for c in marked for p in (c[:-1], c[-1:])}) - self.known.keys())
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in plain], add_special_tokens=False)
         kind = f"<u{self.width}"
-        self.known.update((c, np.array(x.ids, kind).tobytes()) for c, x in zip(plain, found))
+        for at in range(0, len(plain), SLICE):  # the library's results are large
+            part = plain[at:at + SLICE]
+            found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)
+            self.known.update((c, np.array(x.ids, kind).tobytes()) for c, x in zip(part, found))
         self.known.update((c, self.known[c[:-1]] + self.known[c[-1:]]) for c in marked)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
