@@ -48,6 +48,9 @@ BLOCK_BYTES = 1_000_000
 GROUP_BYTES = 2_000_000
 CACHE_ENTRIES = 400_000
 SLICE = 5000
+JOINED = 100
+#: Marks that follow words; none of them begins a contraction or a special token.
+MARKS = b".,;:!?*#$%&"
 
 DICTIONARY = "dictionary binary, dict_sha256 string, id_bytes int"
 BLOCKS = ("file int, block int, first_doc bigint, last_doc bigint, dict_sha256 string, doc_ids array<bigint>, "
@@ -56,7 +59,12 @@ BLOCKS = ("file int, block int, first_doc bigint, last_doc bigint, dict_sha256 s
 
 class WordTokenizer:
     """The tokenizers library behind a cache by stretches without white space,
-    which this file's pre-tokenizer never joins. The cache is bounded."""
+    which this file's pre-tokenizer never joins. The cache is bounded: it has
+    two halves, and when the newer one is full the older one goes.
+
+    Words that are one pre-token each are handed to the library joined by
+    spaces; where the file marks the ends of words, the ids are cut there.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,8 +73,14 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 65_536 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if len(vocabulary) <= 65_536 else 4
+        self.kind = f"<u{self.width}"
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def cut(self, text: str) -> list[bytes]:
         """The text's stretches; A-Z are lowered as the library would, but not
@@ -74,27 +88,57 @@ class WordTokenizer:
         data = text.encode("utf-8")
         return (data if b"<|" in data else data.lower()).split()
 
+    def library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, new: list[bytes]) -> None:
+        """Put ``new`` into the cache."""
+        words, others = [], []
+        for c in new:
+            (words if is_letters(c) else others).append(c)
+        for at in range(0, len(words), SLICE):  # the library's results are large
+            part = words[at:at + SLICE]
+            ids = np.concatenate(self.library([
+                b" ".join(part[k:k + JOINED]).decode("utf-8") for k in range(0, len(part), JOINED)]))
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width).tolist()
+            if len(ends) != len(part):
+                others += part
+                continue
+            data = ids.tobytes()
+            self.known.update((c, data[a:b]) for c, a, b in zip(part, [0, *ends], ends))
+        for at in range(0, len(others), SLICE):
+            part = others[at:at + SLICE]
+            self.known.update((c, x.tobytes()) for c, x in zip(part, self.library([c.decode("utf-8") for c in part])))
+
     def learn(self, new: set[bytes]) -> None:
-        # what stays letters when normalised, and one mark after it, are two pre-tokens
-        marked = {c for c in new if c[-1:] in (b".", b",")
-                  and unicodedata.normalize("NFC", c[:-1].decode("utf-8")).lower().isalpha()}
-        plain = list((new - marked | {p for c in marked for p in (c[:-1], c[-1:])}) - self.known.keys())
-        kind = f"<u{self.width}"
-        for at in range(0, len(plain), SLICE):  # the library's results are large
-            part = plain[at:at + SLICE]
-            found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in part], add_special_tokens=False)
-            self.known.update((c, np.array(x.ids, kind).tobytes()) for c, x in zip(part, found))
-        self.known.update((c, self.known[c[:-1]] + self.known[c[-1:]]) for c in marked)
+        # what stays letters when normalised, and a run of marks after it, are two pre-tokens
+        marked = {}
+        for c in new:
+            letters = c.rstrip(MARKS)
+            if len(letters) < len(c) and is_letters(letters):
+                marked[c] = letters, c[len(letters):]
+        plain = (new - marked.keys()).union(*marked.values()) - self.known.keys()
+        again = plain & self.older.keys()
+        self.known.update((c, self.older[c]) for c in again)
+        self.encode(list(plain - again))
+        self.known.update((c, self.known[a] + self.known[b]) for c, (a, b) in marked.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(t) for t in texts]
         new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, new = {}, set().union(*cut)
+        if len(self.known) + len(new) > CACHE_ENTRIES // 2:
+            self.known, self.older, new = {}, self.known, set().union(*cut)
         self.learn(new)
         return [b"".join(map(self.known.__getitem__, c)) for c in cut]
 
 
+def is_letters(word: bytes) -> bool:
+    """Whether the normalised word is one pre-token of letters."""
+    if word.isascii():
+        return word.isalpha()
+    return unicodedata.normalize("NFC", word.decode("utf-8")).lower().isalpha()
+
+
 def tokenizer(path: str) -> WordTokenizer:
     kept = worker_state()
     if ("words", path) not in kept:
