@@ -114,9 +114,10 @@ class WordTokenizer:
         # what stays letters when normalised, and a run of marks after it, are two pre-tokens
         marked = {}
         for c in new:
-            letters = c.rstrip(MARKS)
-            if len(letters) < len(c) and is_letters(letters):
-                marked[c] = letters, c[len(letters):]
+            if c[-1] in MARKS:
+                letters = c.rstrip(MARKS)
+                if is_letters(letters):
+                    marked[c] = letters, c[len(letters):]
         plain = (new - marked.keys()).union(*marked.values()) - self.known.keys()
         again = plain & self.older.keys()
         self.known.update((c, self.older[c]) for c in again)
@@ -172,7 +173,7 @@ def train(docs: DataFrame, path: str, end_id: int) -> tuple[bytes, int]:
     rows = _packed(some, path, end_id, "ids binary, width int",
                    lambda ids, width: {"ids": ids[:SAMPLE_BYTES], "width": width}).collect()
     samples = sorted(bytes(r["ids"]) for r in rows)
-    width = rows[0]["width"] if rows else 4
+    width = rows[0]["width"] if rows else tokenizer(path).width
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8).as_bytes(), width
     except zstandard.ZstdError:
@@ -190,15 +191,27 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
     digest = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(bytearray(data), digest, width)], DICTIONARY).coalesce(1).write.parquet(f"{folder}/dictionary")
 
-    def compressed(ids: bytes, width: int) -> dict:
-        kept = worker_state()
-        if ("zstd", digest) not in kept:
-            kept["zstd", digest] = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data))
-        return {"n_tokens": len(ids) // width, "frame": kept["zstd", digest].compress(ids)}
+    def laid_out(batches):
+        """The rows of one block after another: doc_id, n_tokens, frame."""
+        compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data)).compress
+        end = np.array([end_id], f"<u{width}").tobytes()
+        rows, size = [], 0
+        for texts in groups_of(batches, GROUP_BYTES, lambda r: len(r["text"] or "") + 64):
+            for r, ids in zip(texts, tokenizer(path)([r["text"] or "" for r in texts])):
+                frame = compress(ids + end)
+                rows.append({"doc_id": r["doc_id"], "n_tokens": len(ids) // width + 1, "frame": frame})
+                size += len(frame) + 24
+                if size >= BLOCK_BYTES:
+                    yield rows
+                    rows, size = [], 0
+        if rows:
+            yield rows
 
     def blocks(batches):
+        # encoded, compressed and laid out by one worker: a second one would
+        # hold another tokenizer and cache
         file, block = TaskContext.get().partitionId(), 0
-        for rows in groups_of(batches, BLOCK_BYTES, lambda r: len(r["frame"]) + 24):
+        for rows in laid_out(batches):
             yield pa.RecordBatch.from_pylist([{
                 "file": file, "block": block, "first_doc": rows[0]["doc_id"], "last_doc": rows[-1]["doc_id"],
                 "dict_sha256": digest, "doc_ids": [r["doc_id"] for r in rows],
@@ -213,9 +226,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None
     kind = to_arrow_schema(_parse_datatype_string(BLOCKS))
     # texts are dealt before they are encoded: dealing by range samples its
     # input first, and would encode everything twice
-    (_packed(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie")
-             .sortWithinPartitions("doc_id", "tie"), path, end_id, "n_tokens bigint, frame binary", compressed)
-     .mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks"))
+    (docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange("doc_id", "tie")
+     .sortWithinPartitions("doc_id", "tie").drop("tie").mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks"))
 
     sizes = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").select(
         "file", "block", F.expr("aggregate(n_tokens, 0L, (a, x) -> a + x)").alias("ids"))
