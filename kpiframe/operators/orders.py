@@ -43,14 +43,17 @@ def order_cube(orders: DataFrame, period: Period, by: Sequence[str] = ()) -> Dat
     pruned from its copy. So the cube's subtree (scan, join, partial
     aggregate, exchange) is identical in both, and Spark reuses its exchange
     when both are in one plan.
+
+    ``orders`` are single orders, or partial counts ``n`` with ``has_id`` and
+    the ``period`` tag (``sources.mapped.order_counts``). Without product and
+    region, which K3 does not need, the cube has neither.
     """
-    dtype = orders.schema["order_created_date"].dataType
-    return (
-        period.filter(orders, "order_created_date")
-        .groupBy(*by, period.tag("order_created_date", dtype).alias("period"),
-                 "fulfillment_status", "product", "regional", F.col("order_id").isNotNull().alias("has_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    groups = [*by, "period", "fulfillment_status", *[c for c in ("product", "regional") if c in orders.columns], "has_id"]
+    if "n" not in orders.columns:
+        dtype = orders.schema["order_created_date"].dataType
+        orders = period.filter(orders, "order_created_date").withColumns({
+            "period": period.tag("order_created_date", dtype), "has_id": F.col("order_id").isNotNull(), "n": F.lit(1)})
+    return orders.groupBy(*groups).agg(F.sum("n").alias("n"))
 
 
 def order_progress(

@@ -127,6 +127,9 @@ VIEWS: dict[str, str] = {
          n.n_name AS nation
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "orders_plain": """
+  SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_created_date, o_orderpriority AS fulfillment_status
+  FROM orders""",
     "daily_metrics": """
   SELECT date, customer_type,
          CAST(sum(a) OVER w AS BIGINT) AS cumulative_a, CAST(sum(b) OVER w AS BIGINT) AS cumulative_b,
@@ -180,7 +183,10 @@ layer("k2", ["monthly_usage"], _usage("mau", "total_mau", ", avg(ratio) AS share
 
 _MONTH = month_of("order_created_date")
 _COUNTED = f"fulfillment_status NOT IN {EXCL}"
-layer("k3", ["orders_flat"], f"""
+
+def _progress(orders: str) -> str:
+    """K3 over ``orders``."""
+    return f"""
   SELECT {d(P.current_start)} AS order_month, n AS total_orders, done AS total_completed, going AS total_on_progress,
          n_old AS prev_total_orders, growth_pct, completed_pct, on_progress_pct,
          {thousands('n')} AS total_orders_text, {thousands('done')} AS total_completed_text,
@@ -196,8 +202,12 @@ layer("k3", ["orders_flat"], f"""
                                       AND fulfillment_status = {q(LABELS.closed_status)}) AS done,
                      count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}
                                       AND fulfillment_status NOT IN {NOT_OPEN}) AS going
-              FROM orders_flat))
-  WHERE n_rows > 0""")
+              FROM {orders}))
+  WHERE n_rows > 0"""
+
+
+layer("k3", ["orders_flat"], _progress("orders_flat"))
+layer("k3_alone", ["orders_plain"], _progress("orders_plain"))
 
 
 def _categories(by: str) -> str:
@@ -411,7 +421,7 @@ def compose(final: str, deps: list[str]) -> str:
 # Registered queries
 # ---------------------------------------------------------------------------
 def _month_orders() -> str:
-    return f"SELECT *, {month_of('order_created_date')} AS order_month FROM orders_flat"
+    return f"SELECT *, {month_of('order_created_date')} AS order_month FROM orders_plain"
 
 
 def _product_months() -> str:
@@ -437,7 +447,7 @@ ORACLE: dict[str, str] = {
     # pipelines
     "customer_growth": compose("SELECT * FROM k1", ["k1"]),
     "mau_growth": compose("SELECT * REPLACE (round(mau_percentage, 6) AS mau_percentage) FROM k2", ["k2"]),
-    "order_progress": compose("SELECT * FROM k3", ["k3"]),
+    "order_progress": compose("SELECT * FROM k3_alone", ["k3_alone"]),
     "order_category": compose("SELECT * FROM k4", ["k4"]),
     "device_growth": compose("SELECT * FROM k5", ["k5"]),
     "traffic_metrics": compose("SELECT * FROM k6", ["k6"]),
@@ -464,8 +474,8 @@ ORACLE: dict[str, str] = {
         f"o_orderpriority AS fulfillment_status FROM orders "
         f"WHERE {month_of('o_orderdate')} IN ({d(P.previous_start)}, {d(P.current_start)})"),
     "pred_not_in_null": compose(
-        f"SELECT order_id, fulfillment_status FROM orders_flat WHERE fulfillment_status NOT IN {EXCL}",
-        ["orders_flat"]),
+        f"SELECT order_id, fulfillment_status FROM orders_plain WHERE fulfillment_status NOT IN {EXCL}",
+        ["orders_plain"]),
     "period_bounds": f"""
       SELECT as_of,
              CAST(date_trunc('month', as_of) - INTERVAL 2 MONTH AS DATE) AS previous_start,
@@ -486,13 +496,13 @@ ORACLE: dict[str, str] = {
     "agg_counts": compose(
         f"SELECT order_month, count(order_id) AS n_ids, count(*) AS n_rows, "
         f"count(*) FILTER (WHERE fulfillment_status = {q(LABELS.closed_status)}) AS n_closed "
-        f"FROM ({_month_orders()}) GROUP BY order_month", ["orders_flat"]),
+        f"FROM ({_month_orders()}) GROUP BY order_month", ["orders_plain"]),
     "agg_max_sum": compose(
         f"SELECT customer_type, {month_of('date')} AS month, "
         f"max(cumulative_a) + max(cumulative_b) + max(cumulative_c) AS total_abc, max(cumulative_d) AS total_d "
         f"FROM daily_metrics GROUP BY 1, 2", ["daily_metrics"]),
     "win_lag_partitioned": compose(_product_months(), ["monthly_usage"]),
-    "win_lag_global": compose(_order_months(), ["orders_flat"]),
+    "win_lag_global": compose(_order_months(), ["orders_plain"]),
     "win_share_of_total": compose(
         "SELECT product, count(*) AS n, CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100 "
         "AS share FROM orders_flat GROUP BY product", ["orders_flat"]),
@@ -509,14 +519,14 @@ ORACLE: dict[str, str] = {
     "fn_month_trunc": f"SELECT {month_of('o_orderdate')} AS month, count(*) AS n FROM orders GROUP BY 1",
     "fn_round2": compose(
         f"SELECT order_month, round(CAST(n_closed AS DOUBLE) / nullif(n_rows, 0) * 100, 2) AS completed_pct "
-        f"FROM ({_closed_share()})", ["orders_flat"]),
+        f"FROM ({_closed_share()})", ["orders_plain"]),
     "fn_growth_pct": compose(
         f"SELECT product, month, {growth('total_customer', 'prev_total_customer')} AS growth_pct "
         f"FROM ({_product_months()})", ["monthly_usage"]),
     "fn_safe_divide": compose(
         f"SELECT order_created_date, CAST(count(*) FILTER (WHERE fulfillment_status = {q(LABELS.closed_status)}) "
         f"AS DOUBLE) / nullif(count(*) FILTER (WHERE fulfillment_status = '1-URGENT'), 0) AS closed_per_urgent "
-        f"FROM orders_flat GROUP BY order_created_date", ["orders_flat"]),
+        f"FROM orders_plain GROUP BY order_created_date", ["orders_plain"]),
     "fn_month_label": (
         f"SELECT DISTINCT {month_of('o_orderdate')} AS month, strftime({month_of('o_orderdate')}, '%B %Y') AS label "
         f"FROM orders"),
@@ -527,17 +537,17 @@ ORACLE: dict[str, str] = {
         + ", ".join(f"s{i}, lag(s{i}) OVER (ORDER BY order_month) AS prev_s{i}" for i in range(len(STATUS_ORDER)))
         + " FROM (SELECT order_month, "
         + ", ".join(f"count(*) FILTER (WHERE fulfillment_status = {q(s)}) AS s{i}" for i, s in enumerate(STATUS_ORDER))
-        + f" FROM ({_month_orders()}) GROUP BY order_month)))", ["orders_flat"]),
+        + f" FROM ({_month_orders()}) GROUP BY order_month)))", ["orders_plain"]),
     "fmt_thousands": (
         f"SELECT order_month, key_sum, {thousands('key_sum')} AS key_sum_text FROM ("
         f"SELECT {month_of('o_orderdate')} AS order_month, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
         f"FROM orders GROUP BY 1)"),
     "fmt_fixed2": compose(
         f"SELECT order_month, {fixed2('CAST(n_closed AS DOUBLE) / nullif(n_rows, 0)')} AS completed_fraction_text "
-        f"FROM ({_closed_share()})", ["orders_flat"]),
+        f"FROM ({_closed_share()})", ["orders_plain"]),
     "fmt_percent2": compose(
         f"SELECT order_month, {percent2('CAST(n_closed AS DOUBLE) / nullif(n_rows, 0) * 100')} AS completed_pct_text "
-        f"FROM ({_closed_share()})", ["orders_flat"]),
+        f"FROM ({_closed_share()})", ["orders_plain"]),
     "phrase_cast": compose(
         f"SELECT product, month, {phrase('g', 'cast')} AS growth_phrase FROM ("
         f"SELECT *, round({growth('total_customer', 'prev_total_customer')}, 2) AS g FROM ({_product_months()}))",
@@ -545,7 +555,7 @@ ORACLE: dict[str, str] = {
     "phrase_fixed2": compose(
         f"SELECT order_month, {phrase('g', 'fixed2')} AS growth_phrase FROM ("
         f"SELECT *, round({growth('total_orders', 'prev_total_orders')}, 2) AS g FROM ({_order_months()}))",
-        ["orders_flat"]),
+        ["orders_plain"]),
     "phrase_float": compose(
         f"SELECT customer_type, month, {phrase('g', 'float')} AS growth_phrase FROM ("
         f"SELECT *, round({growth('total_devices', 'prev_total_devices')}, 2) AS g FROM ("

@@ -59,6 +59,14 @@ class Ctx:
     def orders(self) -> DataFrame:
         return mapped.orders_flat(self.t.orders, self.t.customer, self.t.nation, self.t.region)
 
+    @cached_property
+    def orders_plain(self) -> DataFrame:
+        return mapped.orders_plain(self.t.orders)
+
+    @cached_property
+    def order_counts(self) -> DataFrame:
+        return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region)
+
     @cached_property
     def daily(self) -> DataFrame:
         return mapped.daily_metrics(self.t.lineitem)
@@ -71,8 +79,8 @@ class Ctx:
     def usage_p(self) -> DataFrame:
         return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi)
 
-    def orders_p(self, which: str = "both") -> DataFrame:
-        return mapped.orders_flat(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi, which)
+    def orders_p(self) -> DataFrame:
+        return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi)
 
     def daily_p(self) -> DataFrame:
         return mapped.daily_metrics(self.t.lineitem, upto=self.kpi.current_end, customer_type=self.labels.customer_type)
@@ -135,7 +143,8 @@ def mau_growth(c: Ctx) -> DataFrame:
 
 @_q
 def order_progress(c: Ctx) -> DataFrame:
-    return c.k3()
+    # alone, K3 needs no customer; in the report it shares K4's cube
+    return orders.order_progress(mapped.orders_plain(c.t.orders, KPI_PERIOD), KPI_PERIOD, LABELS)
 
 
 @_q
@@ -234,7 +243,7 @@ def report_render(c: Ctx) -> DataFrame:
 # Primitives
 # ---------------------------------------------------------------------------
 def _order_month(c: Ctx) -> DataFrame:
-    return c.orders.withColumn("order_month", period_start(F.col("order_created_date")))
+    return c.orders_plain.withColumn("order_month", period_start(F.col("order_created_date")))
 
 
 @_q
@@ -260,7 +269,7 @@ def pred_month_range(c: Ctx) -> DataFrame:
 
 @_q
 def pred_not_in_null(c: Ctx) -> DataFrame:
-    return c.orders.filter(~F.col("fulfillment_status").isin(list(LABELS.excluded_statuses))).select(
+    return c.orders_plain.filter(~F.col("fulfillment_status").isin(list(LABELS.excluded_statuses))).select(
         "order_id", "fulfillment_status"
     )
 
@@ -280,7 +289,7 @@ def period_bounds(c: Ctx) -> DataFrame:
 
 @_q
 def lookup_suffix(c: Ctx) -> DataFrame:
-    counts = c.orders.groupBy("product").agg(F.count(F.lit(1)).alias("n_orders"))
+    counts = c.order_counts.groupBy("product").agg(F.sum("n").alias("n_orders"))
     sfx = traffic.suffix_table(c.spark, LABELS.product_suffix).withColumnRenamed("label", "product")
     return counts.join(sfx, "product").select("product", "suffix", "n_orders")
 
@@ -333,14 +342,14 @@ def win_lag_global(c: Ctx) -> DataFrame:
 
 @_q
 def win_share_of_total(c: Ctx) -> DataFrame:
-    counts = c.orders.groupBy("product").agg(F.count(F.lit(1)).alias("n"))
+    counts = c.order_counts.groupBy("product").agg(F.sum("n").alias("n"))
     return counts.select("product", "n", share_pct(F.col("n"), F.sum("n").over(Window.partitionBy())).alias("share"))
 
 
 @_q
 def topk_region(c: Ctx) -> DataFrame:
-    open_ = c.orders.filter(~F.col("fulfillment_status").isin(list(LABELS.open_excluded)))
-    counts = open_.groupBy("regional").agg(F.count(F.lit(1)).alias("n"))
+    open_ = c.order_counts.filter(~F.col("fulfillment_status").isin(list(LABELS.open_excluded)))
+    counts = open_.groupBy("regional").agg(F.sum("n").alias("n"))
     return orders.top_label(counts, "regional")
 
 
@@ -348,7 +357,7 @@ def topk_region(c: Ctx) -> DataFrame:
 def union_typed_null(c: Ctx) -> DataFrame:
     """Two typed arms (status counts with a NULL percentage, product counts with
     their share) from one scan: pre-aggregate, then tag the arms with ``inline``."""
-    pre = c.orders.groupBy("fulfillment_status", "product").agg(F.count(F.lit(1)).alias("n"))
+    pre = c.order_counts.groupBy("fulfillment_status", "product").agg(F.sum("n").alias("n"))
     arms = F.inline(F.array(
         F.struct(F.lit("status").alias("category"), F.col("fulfillment_status").alias("label"), "n"),
         F.struct(F.lit("product").alias("category"), F.col("product").alias("label"), "n"),
@@ -392,7 +401,7 @@ def fn_growth_pct(c: Ctx) -> DataFrame:
 @_q
 def fn_safe_divide(c: Ctx) -> DataFrame:
     st = F.col("fulfillment_status")
-    return c.orders.groupBy("order_created_date").agg(
+    return c.orders_plain.groupBy("order_created_date").agg(
         F.try_divide(F.count_if(st == LABELS.closed_status), F.count_if(st == "1-URGENT")).alias("closed_per_urgent")
     )
 

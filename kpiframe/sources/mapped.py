@@ -53,6 +53,54 @@ def monthly_usage(orders: DataFrame, customer: DataFrame, period: Period | None
     )
 
 
+def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """custkey, product (segment), nation and region of every customer. The
+    nation and region dimensions are tiny; the planner broadcasts them from
+    their file-size statistics."""
+    geo = nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("nation")).join(
+        region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regional")),
+        "n_regionkey",
+    )
+    return customer.select(
+        F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("n_nationkey"),
+        F.col("c_mktsegment").alias("product"),
+    ).join(geo, "n_nationkey")
+
+
+def _plain(orders: DataFrame, *more: Column) -> DataFrame:
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.to_date("o_orderdate").alias("order_created_date"),
+        F.col("o_orderpriority").alias("fulfillment_status"),
+        *more,
+    )
+
+
+def orders_plain(orders: DataFrame, period: Period | None = None) -> DataFrame:
+    """S2 without product and geography: one row per order with date and
+    status, for what needs no customer. Nothing is joined or shuffled."""
+    return _plain(orders if period is None else period.filter(orders, "o_orderdate"))
+
+
+def order_counts(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame,
+                 period: Period | None = None) -> DataFrame:
+    """S2 counted: partial counts ``n`` by status, product, region, nation and
+    whether the order id is present (``has_id``); with a ``period`` also by
+    its tag ``period``.
+
+    Orders are reduced per customer by a hash aggregate that combines map-side
+    before the customer join, so a customer holding a third of all orders
+    brings a handful of rows to the join.
+    """
+    o = orders if period is None else period.filter(orders, "o_orderdate")
+    tag = [] if period is None else [period.tag("o_orderdate", orders.schema["o_orderdate"].dataType).alias("period")]
+    per_customer = o.groupBy(
+        F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("fulfillment_status"),
+        F.col("o_orderkey").isNotNull().alias("has_id"), *tag,
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return per_customer.join(_customers(customer, nation, region), "custkey").drop("custkey", "n_nationkey", "n_regionkey")
+
+
 def orders_flat(
     orders: DataFrame,
     customer: DataFrame,
@@ -63,27 +111,12 @@ def orders_flat(
 ) -> DataFrame:
     """S2: one row per order with status, product (segment), region and nation.
 
-    ``fulfillment_status`` = ``o_orderpriority``. The nation and region
-    dimensions are tiny; the planner broadcasts them from their file-size
-    statistics. Customer is joined by key and grows with the data, so no hint
-    is given and AQE picks the strategy from runtime sizes.
+    ``fulfillment_status`` = ``o_orderpriority``. Customer is joined by key
+    and grows with the data, so no hint is given and AQE picks the strategy
+    from runtime sizes. What only counts orders takes :func:`order_counts`.
     """
-    geo = nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("nation")).join(
-        region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regional")),
-        "n_regionkey",
-    )
-    cust = customer.select(
-        F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("n_nationkey"),
-        F.col("c_mktsegment").alias("product"),
-    ).join(geo, "n_nationkey")
     o = orders if period is None else period.filter(orders, "o_orderdate", which)
-    o = o.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.to_date("o_orderdate").alias("order_created_date"),
-        F.col("o_orderpriority").alias("fulfillment_status"),
-        F.col("o_custkey").alias("custkey"),
-    )
-    return o.join(cust, "custkey").select(
+    return _plain(o, F.col("o_custkey").alias("custkey")).join(_customers(customer, nation, region), "custkey").select(
         "order_id", "order_created_date", "fulfillment_status", "product", "regional", "nation"
     )
 

@@ -1,5 +1,7 @@
 """Plan checks: Python stays out of the plan, filters reach the scan, shared work is not repeated."""
 
+import re
+
 import pytest
 
 from kpiframe.plans.inspect import explain_text, forbidden_nodes, pushed_filters, read_schemas, scan_count
@@ -90,3 +92,32 @@ def test_usage_aggregates_without_sort_and_prunes(plans):
     for name in ("customer_growth", "mau_growth", "pred_month_exact"):
         assert "ObjectHashAggregate" not in plans[name], name
         assert "GreaterThanOrEqual(o_orderdate," in " ".join(pushed_filters(plans[name])), name
+
+
+@pytest.mark.parametrize("name", [
+    "order_progress", "pred_not_in_null", "agg_counts", "win_lag_global", "fn_round2", "fn_safe_divide", "fn_list_join",
+    "fmt_fixed2", "fmt_percent2", "phrase_fixed2",
+])
+def test_no_customer_where_none_is_needed(plans, name):
+    assert scans(plans[name], "orders") == 1
+    assert scans(plans[name], "customer") == 0
+
+
+@pytest.mark.parametrize("name", [
+    "order_category", "slot_missing_by_nation", "lookup_suffix", "win_share_of_total", "topk_region", "union_typed_null",
+])
+def test_orders_are_counted_before_the_customer_join(plans, name):
+    """From the orders scan upwards an aggregate over the customer key comes before any join."""
+    tree = plans[name].split("\n\n")[0].splitlines()
+    details = plans[name]
+    scan = re.search(r"\((\d+)\) Scan parquet[^\n]*\n[^(]*?Output[^\n]*o_custkey", details).group(1)
+    at = next(i for i, line in enumerate(tree) if re.search(rf"Scan parquet .*\({scan}\)", line))
+    above = []
+    margin = len(re.match(r"[\s:+\-|]*", tree[at]).group(0))
+    for line in reversed(tree[:at]):
+        here = len(re.match(r"[\s:+\-|]*", line).group(0))
+        if here < margin:
+            above.append(line.strip(" :+-|*"))
+            margin = here
+    first = next(x for x in above if "Join" in x or "HashAggregate" in x)
+    assert "HashAggregate" in first, above
