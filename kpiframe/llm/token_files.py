@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -45,8 +46,8 @@ SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 32_768
 LEVEL = 3
 BLOCK_BYTES = 1_000_000
-GROUP_BYTES = 2_000_000
-CACHE_ENTRIES = 400_000
+GROUP_BYTES = 8_000_000
+CACHE_ENTRIES = 1_200_000
 SLICE = 5000
 JOINED = 100
 #: Marks that follow words; none of them begins a contraction or a special token.
@@ -82,11 +83,12 @@ class WordTokenizer:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def cut(self, text: str) -> list[bytes]:
-        """The text's stretches; A-Z are lowered as the library would, but not
-        where that could make a special token."""
-        data = text.encode("utf-8")
-        return (data if b"<|" in data else data.lower()).split()
+    def cut(self, texts: list[str]) -> pa.LargeListArray:
+        """The texts' stretches, empty ones at their ends included; A-Z are
+        lowered as the library would, but not where that could make a special
+        token."""
+        data = pa.array(texts, pa.large_string())
+        return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(data, "<|"), data, pc.ascii_lower(data)))
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -125,12 +127,25 @@ class WordTokenizer:
         self.known.update((c, self.known[a] + self.known[b]) for c, (a, b) in marked.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        new = set().union(*cut) - self.known.keys()
+        """For each text, its ids. Distinct stretches are looked up once, and
+        their ids gathered into the texts' order."""
+        cut = self.cut(texts)
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        new = set(distinct) - self.known.keys()
         if len(self.known) + len(new) > CACHE_ENTRIES // 2:
-            self.known, self.older, new = {}, self.known, set().union(*cut)
-        self.learn(new)
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+            self.known, self.older, new = {}, self.known, set(distinct)
+        self.learn(new - {b""})
+        self.known[b""] = b""
+        found = list(map(self.known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        ids = np.frombuffer(b"".join(found), self.kind)
+        word = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.r_[0, np.cumsum(sizes[word])]
+        places = np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], sizes[word]) + np.arange(ends[-1])
+        bounds = np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))]
+        data, at = ids[places].tobytes(), (ends[bounds] * self.width).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 def is_letters(word: bytes) -> bool:
