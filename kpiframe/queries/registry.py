@@ -79,8 +79,8 @@ class Ctx:
     def usage_p(self) -> DataFrame:
         return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi)
 
-    def orders_p(self) -> DataFrame:
-        return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi)
+    def orders_p(self, which: str = "both") -> DataFrame:
+        return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi, which)
 
     def daily_p(self) -> DataFrame:
         return mapped.daily_metrics(self.t.lineitem, upto=self.kpi.current_end, customer_type=self.labels.customer_type)

@@ -83,7 +83,7 @@ def orders_plain(orders: DataFrame, period: Period | None = None) -> DataFrame:
 
 
 def order_counts(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame,
-                 period: Period | None = None) -> DataFrame:
+                 period: Period | None = None, which: str = "both") -> DataFrame:
     """S2 counted: partial counts ``n`` by status, product, region, nation and
     whether the order id is present (``has_id``); with a ``period`` also by
     its tag ``period``.
@@ -92,7 +92,7 @@ def order_counts(orders: DataFrame, customer: DataFrame, nation: DataFrame, regi
     before the customer join, so a customer holding a third of all orders
     brings a handful of rows to the join.
     """
-    o = orders if period is None else period.filter(orders, "o_orderdate")
+    o = orders if period is None else period.filter(orders, "o_orderdate", which)
     tag = [] if period is None else [period.tag("o_orderdate", orders.schema["o_orderdate"].dataType).alias("period")]
     per_customer = o.groupBy(
         F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("fulfillment_status"),
