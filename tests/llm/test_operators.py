@@ -234,6 +234,18 @@ def test_jaccard_join_edge_rows(docs):
     assert kept.columns == docs.columns and kept.where("doc_id in (3, 4)").count() == 1
 
 
+def test_toxicity_sample_is_bounded(spark):
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(None, 1), (1000, None)], "doc_id bigint, toxic int")
+    rows = [(i, "a b c") for i in ids[1:]] + [(ids[0], f"copy {n}") for n in range(60)] + [(ids[1], "y" * 900)]
+    docs = spark.createDataFrame([*rows, (ids[2], None), (None, "z"), (1000, "z")], "doc_id bigint, text string")
+    every = toxicity.sample(docs, labels)
+    assert len(every) == len(rows) + 1 and ("", ids[2] % 2) in every
+    assert len(toxicity.sample(docs, labels, most=30)) == 30
+    assert len(toxicity.sample(docs, labels, longest=100)) == len(rows)
+    assert sum(len(t) for t, _ in toxicity.sample(docs, labels, longest=100, chars=90)) <= 90
+
+
 def test_toxicity_learns_words_and_beginnings(spark, empty):
     rnd = random.Random(2)
     words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 7))) for _ in range(400)]
