@@ -1,7 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a forest.
 
 A candidate is a run of 16 or more of ``[A-Za-z0-9+/=_-]`` with a digit, inside
-a word. A random forest judges it by its length, the transitions between kinds
+a word; a name and its ``=`` at the start of the run are split off the value and
+belong to what leads it. The lead reaches back to the candidate before, the tail
+on to the next one, and the name is the one next to the value. A random forest judges it by its length, the transitions between kinds
 of characters, how much of it a dictionary covers, the path it was found under
 and its neighbouring words. The forest is trained on labelled findings
 (candidate columns and ``label`` 0/1), a bounded sample of ``SAMPLE_ROWS`` of
@@ -9,8 +11,9 @@ each label, and turned into one SQL expression: extraction, features and
 scores are DataFrame functions only.
 
 ``documents`` brings no labelled findings, so ``op2_secret_scan`` labels its
-candidates by the form reviewers accept at sight: a quoted value assigned to a
-name that means a secret. ``source`` stands for the path.
+candidates by the form reviewers accept at sight: a value assigned to a name
+that means a secret, quoted or right behind the ``=``. ``source`` stands for the
+path.
 
 Defined cases: null and empty texts have no candidates; a null path counts as
 empty; a neighbour that is not there is an empty word; repeated rows give their
@@ -31,6 +34,17 @@ from .common import WORD, documents, materialise
 
 RUN = "[A-Za-z0-9+/=_-]{16,}"
 SECRET_NAME = "(?i)(token|secret|passw|pwd|credential|bearer|auth|api_?key|access_?key|private_?key)"
+#: What joins a name to its value, with the quotes and brackets around it.
+JOIN = r"""[\\"'`\])]{0,4}(?:=>|:=|={1,3}|:)"""
+OPEN = r"""[\\"'`(\[]{0,4}"""
+#: Names that hold a word of SECRET_NAME and mean no secret.
+OTHER_NAME = "(?i)(author(?!i)|tokeni[sz]|secretar)"
+#: A name with its join, from the start of its run; then the value's run.
+_START = "(?<![A-Za-z0-9+/_-])"
+_NAMED = _START + "([A-Za-z0-9+/_-]{0,80}?" + SECRET_NAME.replace("(?i)(", "(?i:") + r"[\w.-]{0,40}" + JOIN + OPEN + ")"
+_LONG = "(?=[A-Za-z0-9+/=_-]{16})(?=[A-Za-z+/=_-]*+[0-9])"
+_RUN = ("(?<![A-Za-z0-9+/=_-])" + _LONG + "([A-Za-z0-9+/=_-]*=(?=[A-Za-z0-9+/_-]))?+([A-Za-z0-9+/_-]++=*+)")
+CANDIDATE = _NAMED + _LONG + "([A-Za-z0-9+/_-]++=*+)|" + _RUN
 HARMLESS_NAME = "(?i)(sha|md5|commit|checksum|digest|hash|uuid|card|phone|order|isbn|version)"
 HARMLESS_PATH = "(?i)(test|example|sample|mock|fixture|doc)"
 #: Words that a readable identifier is made of.
@@ -62,18 +76,43 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         i.alias("place"), F.element_at("words", i).alias("word"), near(i - 1).alias("before"),
         near(i - 2).alias("earlier"), near(i + 1).alias("after")))
     hits = words.select("doc_id", "path", F.explode(found).alias("hit")).select("doc_id", "path", "hit.*")
-    return (hits.withColumn("runs", F.regexp_extract_all("word", F.lit(RUN), F.lit(0)))
-            .select("*", F.posexplode("runs").alias("run", "candidate")).where(F.col("candidate").rlike("[0-9]"))
-            .select("doc_id", "path", "place", "run", "candidate", "before", "earlier", "after",
-                    F.expr("substring_index(word, runs[0], 1)").alias("lead"),
-                    F.expr("substring_index(word, element_at(runs, -1), -1)").alias("tail")))
+    # candidates between \x01 and \x02: gap, candidate, gap, candidate, ... gap
+    marked = F.regexp_replace(F.translate("word", "\x01\x02", "  "), CANDIDATE, "$1$3\x01$2$4\x02")
+    pieces = F.split(marked, "[\x01\x02]", -1)
+    piece = lambda i: F.get("pieces", i)
+    # a candidate that the next one is assigned to is that one's name as well
+    key = lambda i: (i > 2) & (piece(i - 1).rlike("""^["'`\\]]{0,2}[:=]""") | (
+        piece(i - 1).rlike("""^["'`]$""") & piece(i - 2).endswith("=")))
+    lead = lambda i: F.when(key(i), F.concat(piece(i - 2), piece(i - 1))).otherwise(piece(i - 1))
+    runs = F.when(F.size("pieces") > 1, F.transform(
+        F.sequence(F.lit(1), F.size("pieces") - 1, F.lit(2)), lambda i: F.struct(
+            piece(i).alias("candidate"), lead(i).alias("lead"), piece(i + 1).alias("tail"))))
+    return (hits.withColumn("pieces", pieces).select("*", F.posexplode(runs).alias("run", "r"))
+            .select("doc_id", "path", "place", "run", "r.candidate", "before", "earlier", "after", "r.lead", "r.tail"))
+
+
+def name() -> Column:
+    """The words that name a candidate: of an assignment its own name, else
+    what stands before it, without assignments that have their value."""
+    own = F.regexp_extract("lead", r"([\w.+/-]+)" + JOIN + OPEN + "$", 1)
+    free = lambda c: F.when(F.col(c).rlike("""[=:]["'`]?[^"'`=:]"""), "").otherwise(F.col(c))
+    return (F.when(own != "", own)
+            .when(F.col("run") > 0, F.col("lead"))
+            .when(F.col("lead").rlike("^[=:]"), F.col("before"))
+            .when(F.col("before").rlike("^[=:>]+$"), F.col("earlier"))
+            .when(F.col("before").rlike(JOIN + "$"), F.col("before"))
+            .otherwise(F.concat_ws(" ", free("earlier"), free("before"), "lead")))
+
+
+def assigned() -> Column:
+    return F.when(F.col("run") > 0, F.col("lead").rlike("[=:]")).otherwise(F.concat("before", "lead").rlike("[=:]"))
 
 
 def features() -> dict[str, Column]:
     c, n = F.col("candidate"), F.length("candidate")
     count = lambda pattern: F.regexp_count(c, F.lit(pattern)).cast("double")
     flag = lambda cond: F.coalesce(cond, F.lit(False)).cast("double")
-    names = F.concat_ws(" ", "earlier", "before", "lead")
+    names = name()
     plain = F.regexp_replace(F.lower(c), "(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")", "")
     return {
         "length": n.cast("double"),
@@ -91,7 +130,7 @@ def features() -> dict[str, Column]:
         "path_depth": F.regexp_count("path", F.lit("/")).cast("double"),
         "secret_name": flag(names.rlike(SECRET_NAME)),
         "harmless_name": flag(names.rlike(HARMLESS_NAME)),
-        "assigned": flag(F.concat("before", "lead").rlike("[=:]")),
+        "assigned": flag(assigned()),
         "quoted": flag(F.col("lead").rlike("[\"']") & F.col("tail").rlike("[\"']")),
         "sentence": flag(F.col("before").rlike("^[A-Za-z]+[.,;]?$") & F.col("after").rlike("^[A-Za-z]+[.,;]?$")),
     }
@@ -144,12 +183,14 @@ def scan(docs: DataFrame, labelled_by: Column, path: str = "source") -> DataFram
 
 
 def obvious() -> Column:
-    """The label that reviewers give at sight: 1 to a quoted value assigned to
-    a name that means a secret, 0 to what has neither a name nor quotes."""
-    names = F.concat_ws(" ", "earlier", "before", "lead").rlike(SECRET_NAME)
+    """The label that reviewers give at sight: 1 to a value assigned to a name
+    that means a secret, where it is quoted or follows its ``=`` at once; 0 to
+    what has neither a name nor quotes; else null."""
+    names = name().rlike(SECRET_NAME)
     quoted = F.col("lead").rlike("[\"']") & F.col("tail").rlike("[\"']")
-    assigned = F.concat("before", "lead").rlike("[=:]")
-    return F.when(names & quoted & assigned, 1).when(~names & ~quoted, 0)
+    shell = F.col("lead").rlike(r"[\w.-]=$")
+    return F.when(names & (quoted | shell) & assigned() & ~name().rlike(OTHER_NAME), 1).when(
+        ~names & ~quoted & (~assigned() | name().rlike(HARMLESS_NAME)), 0)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

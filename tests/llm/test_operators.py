@@ -281,6 +281,24 @@ def test_secret_scan_finds_and_judges(spark, empty):
     assert secret_scan.scan(empty, secret_scan.obvious()).collect() == []
 
 
+def labels_of(spark, texts):
+    found = secret_scan.candidates(spark.createDataFrame([(i, t, None, "src", 0) for i, t in enumerate(texts)], SCHEMA))
+    rows = found.withColumn("label", secret_scan.obvious()).orderBy("doc_id", "place", "run").collect()
+    return [[(r["candidate"], r["label"]) for r in rows if r["doc_id"] == i] for i in range(len(texts))]
+
+
+def test_secret_scan_keeps_names(spark):
+    a, b = "04dbebab91ab85687d33eeaaf9ac699e1188f9aa", "11acdfb36bb72224148e6160f674b4be45601bff"
+    named = [f'GITHUB_ACCESS_TOKEN="{a}"', f"API_KEY={a}", f"AWS_SECRET_ACCESS_KEY={a}",
+             f"export AWS_SECRET_ACCESS_KEY={a}", f'{{"AWS_ACCESS_KEY_2024":"{a}"}}', f"--auth-token={a}"]
+    assert labels_of(spark, named) == [[(a, 1)]] * len(named)
+    pairs = [f'{{"commit":"{a}","token":"{b}"}}', f'{{"token":"{a}","commit":"{b}"}}', f'token="{a}" commit="{b}"',
+             f"?token={a}&sig={b}", f'BUILD_2024_0123456="{a}"', f"commit={a}", "MY_THING=ab12cd34ef56gh"]
+    assert labels_of(spark, pairs) == [
+        [(a, None), (b, 1)], [(a, 1), (b, None)], [(a, 1), (b, None)], [(a, 1), (b, None)],
+        [("BUILD_2024_0123456=", 0), (a, None)], [(a, 0)], [("ab12cd34ef56gh", None)]]
+
+
 def test_empty_tables(spark, empty):
     path = bpe.path_of(bpe.VOCABULARY)
     folder = scratch(spark)
