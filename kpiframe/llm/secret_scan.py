@@ -3,7 +3,9 @@
 A candidate is a run of 16 or more of ``[A-Za-z0-9+/=_-]`` with a digit, inside
 a word; a name and its ``=`` at the start of the run are split off the value and
 belong to what leads it. The lead reaches back to the candidate before, the tail
-on to the next one, and the name is the one next to the value. A random forest judges it by its length, the transitions between kinds
+on to the next one, and the name is the one next to the value. What is assigned
+to a name that means a secret is a candidate too, whatever its length, digits
+and other characters, up to the end of its quotes or word. A random forest judges it by its length, the transitions between kinds
 of characters, how much of it a dictionary covers, the path it was found under
 and its neighbouring words. The forest is trained on labelled findings
 (candidate columns and ``label`` 0/1), a bounded sample of ``SAMPLE_ROWS`` of
@@ -12,8 +14,15 @@ scores are DataFrame functions only.
 
 ``documents`` brings no labelled findings, so ``op2_secret_scan`` labels its
 candidates by the form reviewers accept at sight: a value assigned to a name
-that means a secret, quoted or right behind the ``=``. ``source`` stands for the
-path.
+that means a secret, quoted or right behind the ``=``, and keys of well-known
+forms are secrets; runs without name and quotes are none where they lack
+variety (one kind of character, few different ones, or dictionary words), and
+otherwise unlabelled. ``source`` stands for the path.
+
+Not covered: secrets of several words beyond the first; names and values more
+than two words apart (``password: str = "..."``); lists of secrets beyond the
+first; passwords inside URLs (``user:password@host``); unnamed runs shorter than
+16 characters or without a digit, unless a secret's name stands before them.
 
 Defined cases: null and empty texts have no candidates; a null path counts as
 empty; a neighbour that is not there is an empty word; repeated rows give their
@@ -39,12 +48,23 @@ JOIN = r"""[\\"'`\])]{0,4}(?:=>|:=|={1,3}|:)"""
 OPEN = r"""[\\"'`(\[]{0,4}"""
 #: Names that hold a word of SECRET_NAME and mean no secret.
 OTHER_NAME = "(?i)(author(?!i)|tokeni[sz]|secretar)"
-#: A name with its join, from the start of its run; then the value's run.
-_START = "(?<![A-Za-z0-9+/_-])"
-_NAMED = _START + "([A-Za-z0-9+/_-]{0,80}?" + SECRET_NAME.replace("(?i)(", "(?i:") + r"[\w.-]{0,40}" + JOIN + OPEN + ")"
-_LONG = "(?=[A-Za-z0-9+/=_-]{16})(?=[A-Za-z+/=_-]*+[0-9])"
-_RUN = ("(?<![A-Za-z0-9+/=_-])" + _LONG + "([A-Za-z0-9+/=_-]*=(?=[A-Za-z0-9+/_-]))?+([A-Za-z0-9+/_-]++=*+)")
-CANDIDATE = _NAMED + _LONG + "([A-Za-z0-9+/_-]++=*+)|" + _RUN
+#: What a secret's name assigns: up to the closing quote, or to a delimiter.
+VALUE = (r"""((?<=["'`])[^"'`\s]+?(?=\\?(?:["'`]|$))|"""
+         r"""[^\s"'`,;&<>(){}\[\]\\]*[^\s"'`,;&<>(){}\[\]\\.:!?])""")
+_BEGIN = r"""\\?[(\[]?(?:[bBrRuUfF](?=["']))?\\?(?:"{3}|'{3}|["'`](?!["'`]))?"""
+_KEY = SECRET_NAME.replace("(?i)(", "(?i:") + r"[\w.-]{0,40}"
+_JOINT = "(?:=>|:=|={1,3}|:)"
+#: A name with its join, from the start of its run, and its value.
+NAMED = "(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{0,80}?" + _KEY + JOIN + _BEGIN + ")" + VALUE
+#: A value, or its join and itself, at the start of a word that follows its name.
+FOLLOWS = "^(?!(?i:bearer|basic|token)$)((?:" + _JOINT + ")?+" + _BEGIN + ")" + VALUE
+LONG = ("(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/=_-]{16})(?=[A-Za-z+/=_-]*+[0-9])"
+        "([A-Za-z0-9+/=_-]*=(?=[A-Za-z0-9+/_-]))?+([A-Za-z0-9+/_-]++=*+)")
+#: Keys that their own form gives away.
+KNOWN = (r"^((AKIA|ASIA)[A-Z0-9]{16}|gh[opsur]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|glpat-[\w-]{20,}|xox[abeprs]-[\w-]{10,}|"
+         r"[rs]k_live_[A-Za-z0-9]{16,}|sk-[\w-]{20,}|AIza[\w-]{35}|npm_[A-Za-z0-9]{36})$")
+#: Values that stand for a secret without being one.
+STAND_IN = r"(?i)^(none|null|true|false|string|changeme|required|x+|\*+|\.+|[$%<{].*|your.*)$"
 HARMLESS_NAME = "(?i)(sha|md5|commit|checksum|digest|hash|uuid|card|phone|order|isbn|version)"
 HARMLESS_PATH = "(?i)(test|example|sample|mock|fixture|doc)"
 #: Words that a readable identifier is made of.
@@ -62,22 +82,36 @@ DEPTH = 4
 SEED = 11
 
 
+def follows(word: Column, before: Column, earlier: Column) -> Column:
+    """Whether the word starts with what a name before it is assigned."""
+    named, ends = _KEY + JOIN + "$", _KEY + r"""[\\"'`\])]{0,4}$"""
+    joined = before.rlike(named) | (before.rlike(f"^{_JOINT}$") & earlier.rlike(ends)) | (
+        before.rlike("""(?i)^["'`]?(bearer|basic|token)$""") & earlier.rlike(named))
+    return (joined | (word.rlike("^" + _JOINT) & before.rlike(ends))) & word.rlike(FOLLOWS)
+
+
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """doc_id, path, place (of the word), run (within the word), candidate and
     its neighbours before, earlier and after; lead and tail of its own word."""
-    words = (docs.where(F.col("text").rlike("[0-9]"))
+    words = (docs.where(F.col("text").rlike("[0-9]") | F.col("text").rlike(SECRET_NAME))
              .select("doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
-                     F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words")))
-    long = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: (
-        (F.length(F.element_at("words", i)) >= 16) & F.element_at(F.col("words"), i).rlike("[0-9]")
-        & F.element_at(F.col("words"), i).rlike(RUN)))
+                     F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
+                     F.col("text").rlike(SECRET_NAME).alias("names")))
     near = lambda i: F.when((i >= 1) & (i <= F.size("words")), F.element_at("words", F.greatest(i, F.lit(1)))).otherwise("")
-    found = F.transform(F.when(F.size("words") > 0, long), lambda i: F.struct(
-        i.alias("place"), F.element_at("words", i).alias("word"), near(i - 1).alias("before"),
+    word = lambda i: F.element_at("words", i)
+    wanted = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: (
+        (F.length(word(i)) >= 16) & word(i).rlike("[0-9]") & word(i).rlike(RUN))
+        | (F.col("names") & (word(i).rlike(NAMED) | follows(word(i), near(i - 1), near(i - 2)))))
+    found = F.transform(F.when(F.size("words") > 0, wanted), lambda i: F.struct(
+        i.alias("place"), word(i).alias("word"), near(i - 1).alias("before"),
         near(i - 2).alias("earlier"), near(i + 1).alias("after")))
     hits = words.select("doc_id", "path", F.explode(found).alias("hit")).select("doc_id", "path", "hit.*")
     # candidates between \x01 and \x02: gap, candidate, gap, candidate, ... gap
-    marked = F.regexp_replace(F.translate("word", "\x01\x02", "  "), CANDIDATE, "$1$3\x01$2$4\x02")
+    plain = F.translate("word", "\x01\x02", "  ")
+    marked = F.when(
+        follows(F.col("word"), F.col("before"), F.col("earlier")),
+        F.regexp_replace(plain, "|".join((NAMED, FOLLOWS, LONG)), "$1$3$5\x01$2$4$6\x02")).otherwise(
+        F.regexp_replace(plain, "|".join((NAMED, LONG)), "$1$3\x01$2$4\x02"))
     pieces = F.split(marked, "[\x01\x02]", -1)
     piece = lambda i: F.get("pieces", i)
     # a candidate that the next one is assigned to is that one's name as well
@@ -104,6 +138,12 @@ def name() -> Column:
             .otherwise(F.concat_ws(" ", free("earlier"), free("before"), "lead")))
 
 
+def readable() -> Column:
+    """The share of a candidate that the dictionary covers."""
+    n, words = F.length("candidate"), "(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")"
+    return (n - F.length(F.regexp_replace(F.lower("candidate"), words, ""))) / n
+
+
 def assigned() -> Column:
     return F.when(F.col("run") > 0, F.col("lead").rlike("[=:]")).otherwise(F.concat("before", "lead").rlike("[=:]"))
 
@@ -113,7 +153,6 @@ def features() -> dict[str, Column]:
     count = lambda pattern: F.regexp_count(c, F.lit(pattern)).cast("double")
     flag = lambda cond: F.coalesce(cond, F.lit(False)).cast("double")
     names = name()
-    plain = F.regexp_replace(F.lower(c), "(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")", "")
     return {
         "length": n.cast("double"),
         "digits": count("[0-9]") / n,
@@ -125,12 +164,13 @@ def features() -> dict[str, Column]:
         "repeats": count(r"(.)\1") / n,
         "distinct": F.size(F.array_distinct(F.split(c, ""))).cast("double") / n,
         "hexadecimal": flag(c.rlike("^[0-9a-fA-F]+$")),
-        "dictionary": (n - F.length(plain)) / n,
+        "dictionary": readable(),
         "harmless_path": flag(F.col("path").rlike(HARMLESS_PATH)),
         "path_depth": F.regexp_count("path", F.lit("/")).cast("double"),
         "secret_name": flag(names.rlike(SECRET_NAME)),
         "harmless_name": flag(names.rlike(HARMLESS_NAME)),
         "assigned": flag(assigned()),
+        "known_form": flag(c.rlike(KNOWN)),
         "quoted": flag(F.col("lead").rlike("[\"']") & F.col("tail").rlike("[\"']")),
         "sentence": flag(F.col("before").rlike("^[A-Za-z]+[.,;]?$") & F.col("after").rlike("^[A-Za-z]+[.,;]?$")),
     }
@@ -183,14 +223,19 @@ def scan(docs: DataFrame, labelled_by: Column, path: str = "source") -> DataFram
 
 
 def obvious() -> Column:
-    """The label that reviewers give at sight: 1 to a value assigned to a name
-    that means a secret, where it is quoted or follows its ``=`` at once; 0 to
-    what has neither a name nor quotes; else null."""
+    """The label that reviewers give at sight: 1 to keys of a well-known form
+    and to a value assigned to a name that means a secret, where it is quoted or
+    follows its ``=`` at once; 0 to what has neither a name nor quotes nor
+    variety, and to what is assigned to a harmless name; else null."""
+    c = F.col("candidate")
     names = name().rlike(SECRET_NAME)
     quoted = F.col("lead").rlike("[\"']") & F.col("tail").rlike("[\"']")
-    shell = F.col("lead").rlike(r"[\w.-]=$")
-    return F.when(names & (quoted | shell) & assigned() & ~name().rlike(OTHER_NAME), 1).when(
-        ~names & ~quoted & (~assigned() | name().rlike(HARMLESS_NAME)), 0)
+    shell = F.col("lead").rlike(r"[\w.-]=$") & c.rlike("[0-9]")
+    real = (F.length(c) >= 6) & ~c.rlike(STAND_IN) & ~name().rlike(OTHER_NAME)
+    varied = c.rlike("[A-Za-z]") & c.rlike("[0-9]") & (readable() < 0.5) & (
+        F.size(F.array_distinct(F.split(c, ""))) >= 8)
+    return F.when(c.rlike(KNOWN) | (names & (quoted | shell) & assigned() & real), 1).when(
+        ~names & ~quoted & F.when(assigned(), name().rlike(HARMLESS_NAME)).otherwise(~varied), 0)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
