@@ -4,7 +4,11 @@ A feature is a window of ``WINDOW`` bytes. Its entropy, in thousandths of the
 most it can have, gives its rarity: the further from what windows of running
 text have (``TYPICAL``), the rarer; windows of almost one byte are never
 chosen. Within every ``SPAN`` neighbouring windows the rarest, leftmost first,
-gets a vote, and windows with ``VOTES`` votes are the document's features. Each
+gets a vote, and windows with ``VOTES`` votes are the document's features. Texts
+too short to hold several such windows are described by narrower ones
+(``NARROW``), by their bytes: under 64 windows of 4 bytes, from 32 to 511 windows
+of 8, from 256 on windows of ``WINDOW``. The ranges overlap twofold, so that a
+text and its edited text have windows of one width in common. Each feature
 sets five bits of a Bloom filter of ``FILTER_BITS``; a filter that has
 ``FILTER_FEATURES`` features is closed and the next one chained to it.
 
@@ -21,8 +25,8 @@ copied to the end of the one before, so a bucket holds all that its documents
 need, texts are shuffled once, and no order is made in one task.
 
 Defined cases: null text is an empty text with an empty fingerprint, alike only
-to empty ones; texts shorter than a window are one feature, padded with zeros;
-texts without a chosen window use their rarest; a null doc_id comes last in
+to empty ones; texts shorter than the narrowest window are one feature, padded
+with zeros; texts without a chosen window use their rarest; a null doc_id comes last in
 the order; rows with equal ids are ordered by their texts; a single document is
 its own next; an empty table gives an empty result.
 """
@@ -48,6 +52,10 @@ FILTER_BITS = 2048
 FILTER_FEATURES = 160
 CHANCE = 0.3
 PIECE = 1 << 20
+#: width, span, votes, typical entropy; bytes of a text from and below which it is used.
+NARROW = ((4, 1, 1, 900, 0, 64), (8, 8, 2, 900, 32, 512))
+#: Texts of fewer bytes have no features of ``WINDOW``.
+LONG = 256
 
 _N = np.arange(WINDOW + 1)
 #: n log2 n in 2**-20 bits, so that sums are exact however they are ordered.
@@ -55,38 +63,38 @@ _NLOGN = np.r_[0, np.rint(_N[1:] * np.log2(_N[1:]) * 2**20)].astype(np.int64)
 _MIX = (np.arange(1, WINDOW // 8 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def rarities(data: np.ndarray) -> np.ndarray:
+def rarities(data: np.ndarray, window: int = WINDOW, typical: int = TYPICAL) -> np.ndarray:
     """For each window of the bytes, how common it is: the rarest are lowest."""
-    n = len(data) - WINDOW + 1
+    n = len(data) - window + 1
     if n <= 0:
         return np.zeros(0, np.int32)
     if n > PIECE:
-        return np.concatenate([rarities(data[at:at + PIECE + WINDOW - 1]) for at in range(0, n, PIECE)])
+        return np.concatenate([rarities(data[at:at + PIECE + window - 1], window, typical) for at in range(0, n, PIECE)])
     # places of each byte value, in order; how many of it lie within a window
     order = np.argsort(data, kind="stable")
-    key = data[order].astype(np.int64) * (2 * len(data) + 2 * WINDOW) + order
-    ahead = np.empty(len(data), np.int64)  # occurrences of data[i] in data[i:i + WINDOW]
-    ahead[order] = np.searchsorted(key, key + WINDOW) - np.arange(len(data))
-    behind = np.empty(len(data), np.int64)  # in data[i - WINDOW + 1:i + 1]
-    behind[order] = np.arange(len(data)) - np.searchsorted(key, key - WINDOW + 1) + 1
-    start = _NLOGN[np.bincount(data[:WINDOW], minlength=256)].sum()
+    key = data[order].astype(np.int64) * (2 * len(data) + 2 * window) + order
+    ahead = np.empty(len(data), np.int64)  # occurrences of data[i] in data[i:i + window]
+    ahead[order] = np.searchsorted(key, key + window) - np.arange(len(data))
+    behind = np.empty(len(data), np.int64)  # in data[i - window + 1:i + 1]
+    behind[order] = np.arange(len(data)) - np.searchsorted(key, key - window + 1) + 1
+    start = _NLOGN[np.bincount(data[:window], minlength=256)].sum()
     # the leaving byte is taken off first, then the entering one is counted
-    leaving, entering = ahead[:n - 1], behind[WINDOW:]
+    leaving, entering = ahead[:n - 1], behind[window:]
     change = _NLOGN[leaving - 1] - _NLOGN[leaving] + _NLOGN[entering] - _NLOGN[entering - 1]
     total = np.cumsum(np.r_[start, change])
-    entropy = np.rint((np.log2(WINDOW) - total / 2**20 / WINDOW) / np.log2(WINDOW) * 1000).astype(np.int32)
-    return np.where(entropy < WEAKEST, 2000, 1000 - np.abs(entropy - TYPICAL)).astype(np.int32)
+    entropy = np.rint((np.log2(window) - total / 2**20 / window) / np.log2(window) * 1000).astype(np.int32)
+    return np.where(entropy < WEAKEST, 2000, 1000 - np.abs(entropy - typical)).astype(np.int32)
 
 
-def chosen(rank: np.ndarray) -> np.ndarray:
+def chosen(rank: np.ndarray, span: int = SPAN, votes_needed: int = VOTES) -> np.ndarray:
     """Places of the windows with enough votes; the rarest if none has them."""
     n = len(rank)
     if not n:
         return np.zeros(0, np.int64)
     least = rank.astype(np.int64) * (n + 1) + np.arange(n)
-    if n > SPAN:
+    if n > span:
         wide = 1
-        while wide < SPAN:
+        while wide < span:
             least = np.minimum(least[:-wide], least[wide:])
             wide *= 2
     else:
@@ -94,7 +102,7 @@ def chosen(rank: np.ndarray) -> np.ndarray:
     winners = least % (n + 1)
     winners = winners[rank[winners] < 2000]
     places, votes = np.unique(winners, return_counts=True)
-    strong = places[votes >= VOTES]
+    strong = places[votes >= votes_needed]
     return strong if len(strong) else places[:1]
 
 
@@ -102,11 +110,21 @@ def digest(data: bytes, rank: np.ndarray) -> str:
     """The fingerprint of a text's bytes with the rarities of its windows."""
     if not data:
         return ""
-    raw = np.frombuffer(data.ljust(WINDOW, b"\0"), np.uint8)
-    at = chosen(rank) if len(rank) else np.zeros(1, np.int64)
-    if not len(at):
-        at = np.zeros(1, np.int64)
-    parts = np.lib.stride_tricks.sliding_window_view(raw, WINDOW)[at].copy().view("<u8")
+    features = []
+    for width, span, votes, typical, least, below in NARROW:
+        if least <= len(data) < below:
+            raw = np.frombuffer(data.ljust(width, b"\0"), np.uint8)
+            places = chosen(rarities(raw, width, typical), span, votes)
+            # padded to the wide windows' size; the width keeps features of two widths apart
+            narrow = np.zeros((max(1, len(places)), WINDOW), np.uint8)
+            narrow[:, :width] = np.lib.stride_tricks.sliding_window_view(raw, width)[places if len(places) else [0]]
+            narrow[:, -1] = width
+            features.append(narrow)
+    if len(data) >= LONG:
+        places = chosen(rank)
+        raw = np.frombuffer(data, np.uint8)
+        features.append(np.lib.stride_tricks.sliding_window_view(raw, WINDOW)[places if len(places) else [0]])
+    parts = np.ascontiguousarray(np.concatenate(features)).view("<u8")
     mixed = parts.copy()
     mixed ^= mixed >> np.uint64(32)
     mixed = (mixed * _MIX).sum(axis=1, dtype=np.uint64)
@@ -116,10 +134,10 @@ def digest(data: bytes, rank: np.ndarray) -> str:
     mixed ^= mixed >> np.uint64(29)
     bits = (mixed[:, None] >> (np.arange(5, dtype=np.uint64) * np.uint64(11))) & np.uint64(FILTER_BITS - 1)
     chain = []
-    for first in range(0, len(at), FILTER_FEATURES):
+    for first in range(0, len(parts), FILTER_FEATURES):
         filled = np.zeros(FILTER_BITS, bool)
         filled[bits[first:first + FILTER_FEATURES].ravel().astype(np.int64)] = True
-        count = min(FILTER_FEATURES, len(at) - first)
+        count = min(FILTER_FEATURES, len(parts) - first)
         chain.append(f"{count}:{base64.b64encode(np.packbits(filled).tobytes()).decode()}")
     return ".".join(chain)
 

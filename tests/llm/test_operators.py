@@ -185,6 +185,23 @@ def test_fingerprints_follow_the_order(spark, docs):
     assert fingerprints.neighbours(one).first()["near_next"] == 1.0
 
 
+def test_short_texts_are_like_their_edits():
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcdefghilmnoprstu", k=rnd.randint(2, 9))) for _ in range(2000)]
+    for size in (20, 31, 40, 63, 64, 90, 140, 200, 255, 256, 300, 511, 520):
+        for _ in range(20):
+            text, following = (" ".join(rnd.choices(words, k=200))[:size] for _ in range(2))
+            one, new, other = map(fingerprints.fingerprint, (text, fingerprints.edited(text, following), following))
+            assert fingerprints.likeness(one, new) > fingerprints.likeness(one, other) + 0.1
+            assert sum(int(f.split(":")[0]) for f in one.split(".")) > 2
+    # the edited text may lie in another range of lengths
+    for size in (40, 80, 300, 600):
+        text = " ".join(rnd.choices(words, k=200))[:size]
+        for following in ("", "\U0001f44d" * size):
+            new = fingerprints.edited(text, following)
+            assert fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(new)) > 0.1
+
+
 def test_rarity_is_window_entropy():
     rnd = np.random.default_rng(1)
     data = rnd.choice(np.frombuffer(b"abcdefg  the", np.uint8), 700)
