@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpiframe import labels as L
 from kpiframe.functions.growth import growth_pct_rounded, with_previous
 from kpiframe.functions.period import Period
-from kpiframe.operators import devices, orders, usage
+from kpiframe.operators import devices, orders, report, usage
 from kpiframe.sources import schemas
 
 D = dt.date
@@ -35,6 +35,17 @@ def test_k1_edges(spark):
     assert got["MACHINERY"].growth_pct is None and got["MACHINERY"].growth_phrase == L.FLAT_TEXT
 
 
+def test_k1_is_ordered_and_later_slots_win(spark):
+    rows = [(p, m, "a", n, 1, 0.1) for p, n in (("MACHINERY", 5), ("BUILDING", 6), ("HOUSEHOLD", 7)) for m in (CUR, PREV)]
+    got = [r.product for r in usage.customer_growth(usage_df(spark, rows).repartition(5), P).collect()]
+    assert len(got) > 1 and got == sorted(got)
+    parts = [spark.createDataFrame([("x", v), (own, v)], "slot string, value string")
+             for own, v in (("p", "first"), ("q", None), ("r", "last"))]
+    for some, x in ((parts, "last"), (parts[::-1], "first"), (parts[:2], None)):
+        got = {r.slot: r.value for r in report.report_slots(some, P).collect()}
+        assert got["x"] == x and got["p"] == "first" and got["q"] is None
+
+
 def test_k1_prev_zero_and_tiny_growth(spark):
     rows = [("BUILDING", CUR, "a", 5, 1, 0.2), ("BUILDING", PREV, "a", 0, 1, 0.2),
             ("MACHINERY", CUR, "a", 25001, 1, 0.2), ("MACHINERY", PREV, "a", 25000, 1, 0.2)]
