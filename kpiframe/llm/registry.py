@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, fingerprints, hard_negatives, jaccard_join, line_dedup, mixing, quality_rules, secret_scan,
-               token_counts, token_files, toxicity, url_filters)
+from . import (bpe, fingerprints, hard_negatives, jaccard_join, line_dedup, mixing, prefix_trie, quality_rules,
+               secret_scan, token_counts, token_files, toxicity, url_filters)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -17,8 +17,9 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_url_filters": url_filters.op13_url_filters,
 }
 
 ORACLE = {**mixing.ORACLE, **line_dedup.ORACLE, **quality_rules.ORACLE, **jaccard_join.ORACLE,
-          **hard_negatives.ORACLE, **url_filters.ORACLE}
+          **hard_negatives.ORACLE, **prefix_trie.ORACLE, **url_filters.ORACLE}
