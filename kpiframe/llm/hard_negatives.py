@@ -48,8 +48,8 @@ ANCHOR_EVERY = 100
 MOST = 2**56
 #: Values of an anchor block, of a matrix of scores, and products added in float32.
 BLOCK_VALUES, SCORES, ADDED = 1 << 20, 1 << 20, 64
-#: Rows that one task streams past its block at most, about.
-SLAB_ROWS = 1 << 22
+#: Rows that one task streams past its block, about: at most, and at least unless there are fewer.
+SLAB_ROWS, LEAST_ROWS = 1 << 22, 1024
 LEAST = -(2**63)
 
 
@@ -225,7 +225,8 @@ class Miner:
         self.moduli = primes(int(bound))
         spark = vectors.sparkSession
         self.blocks = max(1, -(-anchors * self.dims // BLOCK_VALUES))
-        self.slabs = max(1, -(-rows // SLAB_ROWS), -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // self.blocks))
+        wanted = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // self.blocks)
+        self.slabs = max(1, -(-rows // SLAB_ROWS), min(wanted, -(-rows // LEAST_ROWS)))
 
     def first(self, anchors: DataFrame, k: int) -> DataFrame:
         """(anchor, place, score, id, row): what the cells keep of the scores of
