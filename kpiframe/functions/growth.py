@@ -27,6 +27,21 @@ def share_pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * F.lit(100)
 
 
+#: Fractions are summed as whole numbers of this part of one.
+FRACTION_UNIT = 2.0 ** 52
+
+
+def exact_mean(value: Column, where: Column | None = None) -> Column:
+    """Mean of fractions (below 2048 in size) as an aggregate that does not
+    depend on the order of rows or tasks: each value is cut to a whole number of
+    2**-52 and these are summed exactly as decimals, where a sum of doubles
+    would round differently with every order. NULLs are left out; NULL if none
+    is left. It combines map-side like any sum."""
+    kept = value if where is None else F.when(where, value)
+    units = F.floor(kept * F.lit(FRACTION_UNIT)).cast("decimal(20,0)")
+    return F.try_divide(F.sum(units).cast("double"), F.count(kept) * F.lit(FRACTION_UNIT))
+
+
 def with_previous(
     df: DataFrame,
     value_cols: Sequence[str],

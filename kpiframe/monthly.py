@@ -22,7 +22,8 @@ from kpiframe.sources.sinks import read_slots, write_reports, write_slots
 
 @dataclass
 class MonthlyReport:
-    """One monthly report over the driver tables in ``tables_dir``."""
+    """The monthly report over the driver tables in ``tables_dir``, or one for
+    every group of ``by``."""
 
     spark: SparkSession
     tables_dir: str
@@ -31,13 +32,15 @@ class MonthlyReport:
     labels: Labels = field(default_factory=lambda: DEFAULT_LABELS)
     placeholders: Sequence[tuple[int, str, str]] | None = None
     templates: Sequence[tuple[str, str, str]] | None = None
+    #: ``("nation",)`` or ``("regional",)``: a whole deck for each, in one job.
+    by: Sequence[str] = ()
 
     @cached_property
     def _ctx(self) -> Ctx:
         return Ctx(self.spark, self.tables_dir, self.kpi_period, self.traffic_period, self.labels)
 
     def slots(self) -> DataFrame:
-        return self._ctx.slots()
+        return self._ctx.slots(self.by)
 
     def _placeholders(self) -> DataFrame:
         return report.placeholder_table(self.spark, report.default_placeholders() if self.placeholders is None else self.placeholders)
@@ -55,7 +58,7 @@ class MonthlyReport:
         templates = report.template_table(
             self.spark, report.default_templates() if self.templates is None else self.templates)
         return report.render_reports(report.slot_binding(slots, self._placeholders()), templates,
-                                     reports=slots.select("report_id"))
+                                     reports=slots.select("report_id", "report_month"))
 
     def run(self, out: str, strict: bool = True) -> None:
         """Fail if a placeholder has no value (``strict``), then write the text.
@@ -66,7 +69,7 @@ class MonthlyReport:
         """
         path = out.rstrip("/") + "_slots"
         write_slots(self.slots(), path)
-        slots = read_slots(self.spark, path, self.kpi_period.current_start.isoformat())
+        slots = read_slots(self.spark, path, self.kpi_period.current_start)
         rendered = self._render(slots)
         if strict:
             report.assert_complete(slots, self._placeholders())

@@ -1,6 +1,8 @@
 """K10-K12: slot table, placeholder binding and template rendering.
 
-* K10 turns each KPI result into long ``(report_id, slot, value)`` rows; the
+* K10 turns each KPI result into long ``(report_id, report_month, slot, value)``
+  rows, ``report_month`` being the start of the report's period, which all
+  later tables and the sink carry along, whatever the ids look like; the
   product/property label picks the slot suffix through a literal-map lookup
   inside the projection (no join), and unknown labels are dropped.
 * K11 binds placeholders to slots: one aggregate gathers each report's values
@@ -164,18 +166,36 @@ def report_key(period: Period, by: Sequence[str]) -> Column:
     return F.concat_ws("/", F.lit(period.current_start.isoformat()), *[encoded(c) for c in by])
 
 
+#: A slot row while parts are merged: the part's and its own place decide.
+_ROW = "struct<slot:string,value:string,_part:int,_ord:bigint>"
+
+
+def _rows(part: DataFrame, place: int, by: Sequence[str] = ()) -> DataFrame:
+    ord_ = F.col("ord") if "ord" in part.columns else F.lit(None)
+    return part.select(*by, F.struct("slot", "value", F.lit(place).alias("_part"), ord_.alias("_ord")).cast(_ROW).alias("_row"))
+
+
 def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Column | None = None,
-                 by: Sequence[str] = ()) -> DataFrame:
-    """K10: union of slot parts as ``(report_id, slot, value)``.
-
-    Parts are merged like dicts: if two parts produce the same slot of a
-    report, the later part wins (one small ``groupBy(report_id, slot)`` over
-    slot rows, which are bounded per report by the report's size). The report
-    month label (from ``period``) is added as slot ``report_month``; with
-    ``by`` keys every slot row also emits its report's month row in the same
-    ``inline``, and the merge keeps one -- so no part is computed twice. With
-    ``by`` the report id is :func:`report_key`; otherwise ``report_id``
-    (default: the ISO start of the period).
+                 by: Sequence[str] = (), shared: Sequence[DataFrame] = (),
+                 reports: DataFrame | None = None) -> DataFrame:
+    """K10: union of slot parts as ``(report_id, report_month, slot, value)``.
+
+    Parts are merged like dicts (U3): if two parts produce the same slot of a
+    report, the later part wins; inside one part the row with the largest
+    ``ord`` does, where the part has that column, and of equals the largest
+    value, so reruns agree. That is one small ``groupBy(report_id, slot)`` over
+    slot rows, which are bounded per report by the report's size. The report
+    month label (from ``period``) is added as slot ``report_month``, before
+    all parts.
+
+    With ``by`` keys there is one report per group, and the id is
+    :func:`report_key`; otherwise it is ``report_id`` (default: the ISO start
+    of the period). ``shared`` parts (slots without ``by`` keys, before the
+    others in the merge) go to every report: they are gathered once into an
+    array, bounded by the slots of a report, and unpacked beside each report's
+    own rows, so nothing is joined and no part is computed per report.
+    ``reports`` (the ``by`` keys) names reports to make even if no part has a
+    row for them.
     """
     if by:
         rid = report_key(period, by)
@@ -183,16 +203,30 @@ def report_slots(parts: Sequence[DataFrame], period: Period, report_id: str | Co
         rid = F.lit(period.current_start.isoformat())
     else:
         rid = report_id if isinstance(report_id, Column) else F.lit(report_id)
-    allp = reduce(DataFrame.unionByName, [
-        p.select(*by, "slot", "value", F.lit(i + 1).alias("_part")) for i, p in enumerate(parts)
-    ])
-    month = F.struct(F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"), F.lit(0).alias("_part"))
-    if by:
-        rows = allp.select(rid.alias("report_id"), F.inline(F.array(F.struct("slot", "value", "_part"), month)))
+    month = F.struct(F.lit(REPORT_MONTH_SLOT).alias("slot"), period.label().alias("value"), F.lit(0).alias("_part"),
+                     F.lit(None).alias("_ord")).cast(_ROW)
+    common = [_rows(p, i + 1) for i, p in enumerate(shared)]
+    own = [_rows(p, len(shared) + i + 1, by) for i, p in enumerate(parts)]
+    if not by:
+        first = parts[0].sparkSession.range(0, 1, 1, 1).select(month.alias("_row"))
+        rows = reduce(DataFrame.unionByName, [first, *common, *own]).select(rid.alias("report_id"), "_row.*")
     else:
-        first = parts[0].sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(month)))
-        rows = first.unionByName(allp.drop(*by)).select(rid.alias("report_id"), "slot", "value", "_part")
-    return rows.groupBy("report_id", "slot").agg(F.max_by(F.struct("value"), "_part")["value"].alias("value"))
+        if reports is not None:
+            own.append(reports.select(*by, F.lit(None).cast(_ROW).alias("_row")))
+        every = F.array(month)
+        if common:
+            gathered = reduce(DataFrame.unionByName, common).select(F.sort_array(F.collect_list("_row")))
+            every = F.concat(every, gathered.scalar())
+        # collect_list leaves the NULL rows of bare reports out
+        rows = (reduce(DataFrame.unionByName, own).groupBy(rid.alias("report_id")).agg(F.collect_list("_row").alias("_own"))
+                .select("report_id", F.inline(F.concat("_own", every))))
+    winner = F.max_by(F.struct("value"), F.struct("_part", "_ord", "value"))["value"]
+    return rows.groupBy("report_id", F.lit(period.current_start).alias("report_month"), "slot").agg(winner.alias("value"))
+
+
+def _report(df: DataFrame) -> list[str]:
+    """The columns that name a report: ``report_id`` and, if there, ``report_month``."""
+    return [c for c in ("report_id", "report_month") if c in df.columns]
 
 
 def default_placeholders() -> list[tuple[int, str, str]]:
@@ -206,18 +240,21 @@ def placeholder_table(spark: SparkSession, rows: Sequence[tuple[int, str, str]]
 
 
 def slot_binding(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
-    """K11: ``(report_id, ord, placeholder, slot, value)`` for every placeholder
-    of every report; ``value`` is NULL where the report has no value for it."""
+    """K11: ``(report_id, report_month, ord, placeholder, slot, value)`` for every
+    placeholder of every report; ``value`` is NULL where the report has no value
+    for it. The month is there if ``slots`` has it."""
     expected = placeholders.select(F.array_sort(F.collect_list(F.struct("ord", "placeholder", "slot")))).scalar()
     wanted = F.array_contains(expected.getField("slot"), F.col("slot")) & F.col("value").isNotNull()
-    per_report = slots.groupBy("report_id").agg(F.map_from_entries(
+    keys = _report(slots)
+    per_report = slots.groupBy(*keys).agg(F.map_from_entries(
         F.collect_list(F.when(wanted, F.struct("slot", "value")))).alias("values"))
-    return (per_report.select("report_id", "values", F.inline(expected))
-            .select("report_id", "ord", "placeholder", "slot", F.try_element_at("values", "slot").alias("value")))
+    return (per_report.select(*keys, "values", F.inline(expected))
+            .select(*keys, "ord", "placeholder", "slot", F.try_element_at("values", "slot").alias("value")))
 
 
 def slot_missing(slots: DataFrame, placeholders: DataFrame) -> DataFrame:
-    """K11 strict check: ``(report_id, ord, placeholder, slot)`` without a value."""
+    """K11 strict check: ``(report_id, report_month, ord, placeholder, slot)``
+    without a value."""
     return slot_binding(slots, placeholders).filter(F.col("value").isNull()).drop("value")
 
 
@@ -272,10 +309,12 @@ def template_table(spark: SparkSession, rows: Sequence[tuple[str, str, str]] | N
 
 def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Column = DEFAULT_DECK,
                    reports: DataFrame | None = None) -> DataFrame:
-    """K12: ``(report_id, deck_id, template_id, text)`` with placeholders filled.
+    """K12: ``(report_id, report_month, deck_id, template_id, text)`` with
+    placeholders filled.
 
     ``bindings`` is K11's output (or any ``report_id, ord, placeholder,
-    value``). A NULL value leaves its placeholder in place. ``deck_id`` (a
+    value``); the month is there if ``reports``, or else ``bindings``, has it.
+    A NULL value leaves its placeholder in place. ``deck_id`` (a
     literal, or a column of ``reports`` or else of ``bindings``) names the
     template deck a report uses. ``reports`` (``report_id`` and the deck's
     column) lists the reports to render, among them those with nothing to
@@ -285,13 +324,16 @@ def render_reports(bindings: DataFrame, templates: DataFrame, deck_id: str | Col
     deck = F.lit(deck_id) if isinstance(deck_id, str) else deck_id
     pairs = F.array_sort(F.collect_list(F.struct("ord", "placeholder", "value"))).alias("pairs")
     if reports is None:
-        per_report = bindings.groupBy("report_id").agg(F.min(deck).alias("deck_id"), pairs)
+        keys = _report(bindings)
+        per_report = bindings.groupBy(*keys).agg(F.min(deck).alias("deck_id"), pairs)
     else:
-        named = reports.groupBy("report_id").agg(F.min(deck).alias("deck_id"))
-        per_report = named.join(bindings.groupBy("report_id").agg(pairs), "report_id", "left")
+        keys = _report(reports)
+        both = [k for k in keys if k in bindings.columns]
+        named = reports.groupBy(*keys).agg(F.min(deck).alias("deck_id"))
+        per_report = named.join(bindings.groupBy(*both).agg(pairs), both, "left")
     fold = F.aggregate(
         "pairs", F.col("text"),
         lambda acc, p: F.when(p["value"].isNull(), acc).otherwise(F.replace(acc, p["placeholder"], p["value"])),
     )
     return per_report.join(templates, "deck_id", "left").select(
-        "report_id", "deck_id", "template_id", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(fold).alias("text"))
+        *keys, "deck_id", "template_id", F.when(F.col("pairs").isNull(), F.col("text")).otherwise(fold).alias("text"))

@@ -242,6 +242,21 @@ def traffic_all(summary: DataFrame, labels: Labels = DEFAULT_LABELS, by: Sequenc
     return summary.select("*", suffix.alias("_suffix")).filter(F.col("_suffix").isNotNull()).select(*by, pairs)
 
 
+_TEXT_METRICS = ("total_users", "page_views", "sessions", "engaged_sessions", "engagement_rate", "bounce_rate",
+                 "avg_session_duration")
+
+
+def _from_text(rows: DataFrame, number: Column, *more: Column) -> DataFrame:
+    """One row per (property, period) of the metrics' numbers."""
+    wide = rows.groupBy("property", "period", "period_start").agg(
+        *[F.max(F.when(F.col("metric") == n, number)).alias(n) for n in _TEXT_METRICS], *more)
+    return wide.select(
+        "property", "period", "period_start",
+        *[F.col(n).cast("bigint").alias(n) for n in _TEXT_METRICS[:4]],
+        *[F.col(n) for n in wide.columns[3 + 4:]],
+    )
+
+
 def metrics_from_text(rows: DataFrame) -> DataFrame:
     """K6-shaped metrics from text-valued report rows (an analytics export).
 
@@ -249,15 +264,32 @@ def metrics_from_text(rows: DataFrame) -> DataFrame:
     one of the K6 metric names and ``value`` a number as text (as analytics
     APIs return them). Text that is no number fails the job; NULL stays NULL. One row per (property, period).
     """
-    names = ["total_users", "page_views", "sessions", "engaged_sessions", "engagement_rate", "bounce_rate",
-             "avg_session_duration"]
-    num = F.coalesce(F.col("value").try_cast("double"), F.when(F.col("value").isNotNull(), F.raise_error(
-        F.concat(F.lit("not a number: "), F.col("value"))).cast("double")))
-    wide = rows.groupBy("property", "period", "period_start").agg(
-        *[F.max(F.when(F.col("metric") == n, num)).alias(n) for n in names]
-    )
-    return wide.select(
-        "property", "period", "period_start",
-        *[F.col(n).cast("bigint").alias(n) for n in names[:4]],
-        *[F.col(n) for n in names[4:]],
-    )
+    return _from_text(rows, F.coalesce(_number(), F.when(F.col("value").isNotNull(), F.raise_error(
+        F.concat(F.lit("not a number: "), F.col("value"))).cast("double"))))
+
+
+def _number() -> Column:
+    return F.col("value").try_cast("double")
+
+
+def _rejected() -> Column:
+    return F.col("value").isNotNull() & _number().isNull()
+
+
+def checked_metrics_from_text(rows: DataFrame) -> DataFrame:
+    """The same where text that is no number does not fail the job: it leaves
+    its metric NULL, and the row says how many of its values there were
+    (``n_values``, NULLs left out) and how many were no numbers
+    (``n_rejected``). :func:`rejected_text` lists those. Values of metrics that
+    are not K6's count as rejected."""
+    known = F.col("metric").isin(list(_TEXT_METRICS))
+    return _from_text(rows, _number(), F.count("value").alias("n_values"),
+                      F.count_if(_rejected() | (F.col("value").isNotNull() & ~known)).alias("n_rejected"))
+
+
+def rejected_text(rows: DataFrame) -> DataFrame:
+    """``property, metric, value, n``: the texts that are no numbers, and those
+    of metrics that K6 does not have, with their counts over all periods."""
+    known = F.col("metric").isin(list(_TEXT_METRICS))
+    return rows.where(_rejected() | (F.col("value").isNotNull() & ~known)).groupBy(
+        "property", "metric", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiframe.functions.growth import growth_pct_rounded
+from kpiframe.functions.growth import exact_mean, growth_pct_rounded
 from kpiframe.functions.period import Period
 from kpiframe.functions.text import growth_phrase, percent2, thousands
 from kpiframe.labels import DEFAULT_LABELS, Labels
@@ -49,7 +49,7 @@ def usage_growth(
         F.sum(F.when(prev, F.col("total_customer"))).alias("prev_total_customer"),
         F.sum(F.when(cur, F.col("mau"))).alias("total_mau"),
         F.sum(F.when(prev, F.col("mau"))).alias("prev_total_mau"),
-        F.avg(F.when(cur, F.col("ratio"))).alias("mau_percentage"),
+        exact_mean(F.col("ratio"), cur).alias("mau_percentage"),
         F.count_if(cur).alias("_cur_rows"),
     )
     return (
@@ -71,6 +71,14 @@ def usage_growth(
     )
 
 
+def ranked(rows: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """O1 as data: ``rows`` with their place ``pos`` (from 1) in the report's
+    order, so that it survives a write, a shuffle or a join. Meant for result
+    rows: all rows of one ``by`` group are sorted in one task."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return rows.withColumn("pos", F.row_number().over(w))
+
+
 def customer_growth(
     usage: DataFrame, period: Period, labels: Labels = DEFAULT_LABELS, by: Sequence[str] = (), sort: bool = True
 ) -> DataFrame:
@@ -94,8 +102,8 @@ def mau_growth(
 
     Columns: ``*by, product, month, total_mau, prev_total_mau, mau_percentage,
     growth_pct, total_mau_text, mau_percentage_text, growth_phrase``.
-    ``mau_percentage`` is the plain mean of ``ratio`` (a fraction); its text
-    is ``ratio * 100`` with two decimals and ``%``.
+    ``mau_percentage`` is the plain mean of ``ratio`` (a fraction), summed
+    exactly; its text is ``ratio * 100`` with two decimals and ``%``.
     """
     return usage_growth(usage, period, labels, by).select(
         *by, "product", "month", "total_mau", "prev_total_mau", "mau_percentage",

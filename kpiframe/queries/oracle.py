@@ -11,10 +11,76 @@ from __future__ import annotations
 import datetime as dt
 from types import SimpleNamespace
 
-from kpiframe import labels as L
-from kpiframe.operators import report, traffic
-from kpiframe.queries.registry import LABELS, STATUS_ORDER, order_placeholders
-from kpiframe.sources.mapped import PROPERTIES
+
+# ---------------------------------------------------------------------------
+# The report's wording, categories, slots and templates, stated
+# here again so that the SQL shares nothing with the code it is held against.
+# ---------------------------------------------------------------------------
+L = SimpleNamespace(
+    UP_PREFIX="meningkat sebanyak ",
+    DOWN_PREFIX="menurun sebanyak ",
+    FLAT_TEXT="Tetap 0%",
+    TRAFFIC_FLAT_TEXT="tidak berubah",
+    TRAFFIC_NA_TEXT="N/A",
+    LIST_SEPARATOR=", ",
+    LIST_LAST_SEPARATOR=" dan ",
+    SUMMARY_SUFFIX=" mengalami peningkatan dari bulan lalu.",
+    SUMMARY_NONE="Tidak ada metrik utama yang mengalami peningkatan dari bulan lalu.",
+    METRIC_NAMES=("total visitor", "page view", "engagement rate", "engagement time", "bounce rate"),
+)
+LABELS = SimpleNamespace(
+    products=("BUILDING", "MACHINERY", "HOUSEHOLD"),
+    product_suffix={"BUILDING": "building", "MACHINERY": "machinery", "HOUSEHOLD": "household"},
+    share_products=("BUILDING", "MACHINERY"),
+    excluded_statuses=("1-URGENT", "2-HIGH"),
+    open_excluded=("1-URGENT", "2-HIGH", "5-LOW"),
+    closed_status="5-LOW",
+    document_status="4-NOT SPECIFIED",
+    customer_type="O",
+    device_arms=(("bundle", ("cumulative_a", "cumulative_b", "cumulative_c")), ("single", ("cumulative_d",))),
+    page_view_event="view",
+    key_events=("purchase", "signup"),
+    property_suffix={"website": "website", "mobile": "mobile", "partner": "partner"},
+)
+PROPERTIES = ("website", "mobile", "partner")
+STATUS_ORDER = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+MONTH_SLOT = "report_month"
+USAGE_SLOTS = ("total_customer_building growth_customer_building total_customer_machinery growth_customer_machinery "
+               "total_customer_household growth_customer_household").split()
+MAU_SLOTS = ("total_mau_building mau_percentage_building growth_mau_building total_mau_machinery mau_percentage_machinery "
+             "growth_mau_machinery total_mau_household mau_percentage_household growth_mau_household").split()
+ORDER_SLOTS = ("total_orders growth_orders total_completed_orders completed_orders_percentage total_on_progress_orders "
+               "on_progress_orders_percentage remaining_order_building remaining_order_machinery remaining_order_regional "
+               "total_remaining_order_regional contract_document").split()
+VISIT_SLOTS = ("total_visitors_website growth_total_visitors_website summary_website total_visitors_mobile "
+               "growth_total_visitors_mobile page_views_mobile growth_page_views_mobile "
+               "growth_engagement_rate_mobile").split()
+BUNDLE_SLOTS = "total_devices_bundle growth_devices_bundle".split()
+PARTNER_SLOTS = ("summary_partner total_visitors_partner growth_total_visitors_partner page_views_partner "
+                 "growth_page_views_partner growth_engagement_rate_partner growth_avg_engagement_time_partner").split()
+SINGLE_SLOTS = "total_devices_single growth_devices_single".split()
+DECK = [MONTH_SLOT, *USAGE_SLOTS, *MAU_SLOTS, *ORDER_SLOTS, *VISIT_SLOTS, *BUNDLE_SLOTS, *PARTNER_SLOTS, *SINGLE_SLOTS]
+PLACEHOLDERS = [(i, "{" + slot + "}", slot) for i, slot in enumerate(DECK, 1)]
+ORDER_PLACEHOLDERS = [p for p in PLACEHOLDERS if p[2] in (MONTH_SLOT, *ORDER_SLOTS)]
+
+
+def _listed(slots) -> str:
+    return " | ".join("{" + s + "}" for s in slots)
+
+
+TEMPLATES = [
+    ("monthly", "01_title", "Monthly report - {report_month}"),
+    ("monthly", "02_customers", "Customers ({report_month}): " + _listed(USAGE_SLOTS)),
+    ("monthly", "03_active_users", "Active users: " + _listed(MAU_SLOTS)),
+    ("monthly", "04_orders", "Orders: " + _listed(ORDER_SLOTS)),
+    ("monthly", "05_traffic", "Traffic: " + _listed(VISIT_SLOTS + PARTNER_SLOTS)),
+    ("monthly", "06_devices", "Devices: " + _listed(BUNDLE_SLOTS + SINGLE_SLOTS)),
+]
+#: Slot names of one property's traffic with the columns they show.
+TRAFFIC_SLOTS = [("month", "month_label")] + [(name, name) for name in (
+    "total_visitors growth_total_visitors page_views growth_page_views engagement_rate growth_engagement_rate bounce_rate "
+    "growth_bounce_rate avg_engagement_time growth_avg_engagement_time summary").split()]
+# ---------------------------------------------------------------------------
 
 
 # ---------------------------------------------------------------------------
@@ -48,6 +114,12 @@ def percent2(x: str) -> str:
     return f"({fixed2(x)} || '%')"
 
 
+def mean(x: str) -> str:
+    """Mean of fractions cut to whole numbers of 2**-52, which add up exactly."""
+    unit = "4503599627370496::DOUBLE"
+    return f"CAST(sum(CAST(floor({x} * {unit}) AS BIGINT)) AS DOUBLE) / (count({x}) * {unit})"
+
+
 def growth(cur: str, prev: str) -> str:
     return f"(({cur}) - ({prev})) / nullif({prev}, 0) * 100"
 
@@ -112,15 +184,20 @@ _PROPERTY_CASE = "CASE " + " ".join(
     f"WHEN user_id % {len(PROPERTIES)} = {i} THEN {q(p)}" for i, p in enumerate(PROPERTIES)
 ) + " END"
 
-VIEWS: dict[str, str] = {
-    "monthly_usage": f"""
-  SELECT c.c_mktsegment AS product, {month_of('o.o_orderdate')} AS month, o.o_orderpriority AS tier,
+def _monthly_usage(by: str = "") -> str:
+    return f"""
+  SELECT {by}c.c_mktsegment AS product, {month_of('o.o_orderdate')} AS month, o.o_orderpriority AS tier,
          CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS total_customer,
          CAST(count(DISTINCT o.o_custkey) FILTER (WHERE o.o_orderstatus = 'F') AS BIGINT) AS mau,
          CAST(count(DISTINCT o.o_custkey) FILTER (WHERE o.o_orderstatus = 'F') AS DOUBLE)
            / CAST(count(DISTINCT o.o_custkey) AS DOUBLE) AS ratio
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  GROUP BY ALL""",
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY ALL"""
+
+
+VIEWS: dict[str, str] = {
+    "monthly_usage": _monthly_usage(),
+    "monthly_usage_n": _monthly_usage("n.n_name AS nation, "),
     "orders_flat": """
   SELECT o.o_orderkey AS order_id, CAST(o.o_orderdate AS DATE) AS order_created_date,
          o.o_orderpriority AS fulfillment_status, c.c_mktsegment AS product, r.r_name AS regional,
@@ -168,26 +245,31 @@ def _grown(now: str, old: str) -> str:
     return f"round({growth(now, old)}, 2)"
 
 
-def _usage(measure: str, name: str, also: str = "", also_out: str = "", also_text: str = "") -> str:
-    """Growth of a summed usage measure per product."""
-    tables = _two_months("monthly_usage", "month", "product", f"CAST(sum({measure}) AS BIGINT) AS n{also}", f"product IN {PROD}")
+def _usage(measure: str, name: str, also: str = "", also_out: str = "", also_text: str = "",
+           source: str = "monthly_usage", by: str = "") -> str:
+    """Growth of a summed usage measure per product (and ``by``: a key with a comma after it)."""
+    tables = _two_months(source, "month", f"{by}product", f"CAST(sum({measure}) AS BIGINT) AS n{also}", f"product IN {PROD}")
     return f"""
-  SELECT product, {d(P.current_start)} AS month, n AS {name}, n_old AS prev_{name}{also_out}, growth_pct,
+  SELECT {by}product, {d(P.current_start)} AS month, n AS {name}, n_old AS prev_{name}{also_out}, growth_pct,
          {thousands('n')} AS {name}_text{also_text}, {phrase('growth_pct', 'cast')} AS growth_phrase
-  FROM (SELECT product, now.n, old.n AS n_old{', now.share' if also else ''}, {_grown('now.n', 'old.n')} AS growth_pct FROM {tables})"""
+  FROM (SELECT {by}product, now.n, old.n AS n_old{', now.share' if also else ''}, {_grown('now.n', 'old.n')} AS growth_pct FROM {tables})"""
 
 
 layer("k1", ["monthly_usage"], _usage("total_customer", "total_customer"))
-layer("k2", ["monthly_usage"], _usage("mau", "total_mau", ", avg(ratio) AS share", ", share AS mau_percentage",
-                                      f", {percent2('share * 100')} AS mau_percentage_text"))
+_MAU = ("mau", "total_mau", f", {mean('ratio')} AS share", ", share AS mau_percentage",
+        f", {percent2('share * 100')} AS mau_percentage_text")
+layer("k2", ["monthly_usage"], _usage(*_MAU))
+layer("k1n", ["monthly_usage_n"], _usage("total_customer", "total_customer", source="monthly_usage_n", by="nation, "))
+layer("k2n", ["monthly_usage_n"], _usage(*_MAU, source="monthly_usage_n", by="nation, "))
 
 _MONTH = month_of("order_created_date")
 _COUNTED = f"fulfillment_status NOT IN {EXCL}"
 
-def _progress(orders: str) -> str:
-    """K3 over ``orders``."""
+def _progress(orders: str, by: str = "") -> str:
+    """K3 over ``orders`` (for every ``by``: a key with a comma after it)."""
+    group = f"GROUP BY {by[:-2]}" if by else ""
     return f"""
-  SELECT {d(P.current_start)} AS order_month, n AS total_orders, done AS total_completed, going AS total_on_progress,
+  SELECT {by}{d(P.current_start)} AS order_month, n AS total_orders, done AS total_completed, going AS total_on_progress,
          n_old AS prev_total_orders, growth_pct, completed_pct, on_progress_pct,
          {thousands('n')} AS total_orders_text, {thousands('done')} AS total_completed_text,
          {thousands('going')} AS total_on_progress_text, {phrase('growth_pct', 'fixed2')} AS growth_phrase,
@@ -195,14 +277,14 @@ def _progress(orders: str) -> str:
          {percent2('on_progress_pct')} AS on_progress_pct_text
   FROM (SELECT *, {_grown('n', 'n_old')} AS growth_pct, round(done::DOUBLE / nullif(n, 0) * 100, 2) AS completed_pct,
                round(going::DOUBLE / nullif(n, 0) * 100, 2) AS on_progress_pct
-        FROM (SELECT count(order_id) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}) AS n,
+        FROM (SELECT {by}count(order_id) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}) AS n,
                      count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}) AS n_rows,
                      nullif(count(order_id) FILTER ({_MONTH} = {d(P.previous_start)} AND {_COUNTED}), 0) AS n_old,
                      count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}
                                       AND fulfillment_status = {q(LABELS.closed_status)}) AS done,
                      count(*) FILTER ({_MONTH} = {d(P.current_start)} AND {_COUNTED}
                                       AND fulfillment_status NOT IN {NOT_OPEN}) AS going
-              FROM {orders}))
+              FROM {orders} {group}))
   WHERE n_rows > 0"""
 
 
@@ -311,7 +393,7 @@ layer("k8", ["k7"], f"""
 _prop_sfx = values(sorted(LABELS.property_suffix.items()), ["label", "suffix"])
 layer("k9", ["k8"], "\n  UNION ALL\n".join(
     f"  SELECT {q(name + '_')} || s.suffix AS slot, k8.{col} AS value FROM k8 JOIN {_prop_sfx} s ON k8.property = s.label"
-    for name, col in traffic.TRAFFIC_SLOTS
+    for name, col in TRAFFIC_SLOTS
 ))
 
 _prod_sfx = values(sorted(LABELS.product_suffix.items()), ["label", "suffix"])
@@ -325,7 +407,7 @@ def _suffixed(src: str, key: str, table: str, names) -> list[str]:
             for n, c in names]
 
 
-_slot_parts = [f"SELECT {q(report.REPORT_MONTH_SLOT)} AS slot, strftime({d(P.current_start)}, '%B %Y') AS value"]
+_slot_parts = [f"SELECT {q(MONTH_SLOT)} AS slot, strftime({d(P.current_start)}, '%B %Y') AS value"]
 _slot_parts += _suffixed("k1", "product", _prod_sfx, [("total_customer", "total_customer_text"),
                                                       ("growth_customer", "growth_phrase")])
 _slot_parts += _suffixed("k2", "product", _prod_sfx, [("total_mau", "total_mau_text"),
@@ -345,40 +427,39 @@ _slot_parts += _suffixed("k5", "product_type", _arm_sfx, [("total_devices", "tot
                                                           ("growth_devices", "growth_phrase")])
 _slot_parts += ["SELECT slot, value FROM k9"]
 layer("slots", ["k1", "k2", "k3", "k4", "k5", "k9"],
-      f"  SELECT {q(P.current_start.isoformat())} AS report_id, slot, value FROM (\n    "
+      f"  SELECT {q(P.current_start.isoformat())} AS report_id, {d(P.current_start)} AS report_month, slot, value FROM (\n    "
       + "\n    UNION ALL ".join(_slot_parts) + ")")
 
-layer("placeholders", [], "  SELECT * FROM " + values(report.default_placeholders(), ["ord", "placeholder", "slot"]))
+layer("placeholders", [], "  SELECT * FROM " + values(PLACEHOLDERS, ["ord", "placeholder", "slot"]))
 layer("binding", ["slots", "placeholders"], """
-  SELECT s.report_id, p.ord, p.placeholder, p.slot, s.value
-  FROM (SELECT DISTINCT report_id FROM slots) r CROSS JOIN placeholders p
+  SELECT r.report_id, r.report_month, p.ord, p.placeholder, p.slot, s.value
+  FROM (SELECT DISTINCT report_id, report_month FROM slots) r CROSS JOIN placeholders p
   LEFT JOIN slots s ON s.report_id = r.report_id AND s.slot = p.slot""")
 
 
 def _render_sql() -> str:
     text = "t.text"
-    for _, ph, slot in report.default_placeholders():
+    for _, ph, slot in PLACEHOLDERS:
         val = f"(SELECT value FROM slots WHERE slot = {q(slot)})"
         text = f"replace({text}, {q(ph)}, coalesce({val}, {q(ph)}))"
-    templates = values(report.default_templates(), ["deck_id", "template_id", "text"])
-    return (f"  SELECT r.report_id, t.deck_id, t.template_id, {text} AS text\n"
-            f"  FROM (SELECT DISTINCT report_id FROM slots) r CROSS JOIN {templates} t")
+    templates = values(TEMPLATES, ["deck_id", "template_id", "text"])
+    return (f"  SELECT r.report_id, r.report_month, t.deck_id, t.template_id, {text} AS text\n"
+            f"  FROM (SELECT DISTINCT report_id, report_month FROM slots) r CROSS JOIN {templates} t")
 
 
 layer("render", ["slots"], _render_sql())
 
-# Per-nation order reports (K3 + K4 grouped by nation). K3's values are not
-# rendered; its slots only have to be there.
-layer("k3n", ["orders_flat"],
-      f"  SELECT DISTINCT nation FROM orders_flat WHERE {_MONTH} = {d(P.current_start)} AND {_COUNTED}")
+# Reports per nation (K1-K4 grouped by nation).
+layer("k3n", ["orders_flat"], _progress("orders_flat", "nation, "))
 layer("k4n", ["orders_flat"], _categories("nation, "))
 _K3_SLOTS = ["total_orders", "growth_orders", "total_completed_orders", "completed_orders_percentage",
              "total_on_progress_orders", "on_progress_orders_percentage"]
 layer("slots_n", ["k3n", "k4n"], f"""
-  SELECT {q(P.current_start.isoformat() + '/')} || nation AS report_id, slot, value FROM (
+  SELECT {q(P.current_start.isoformat() + '/')} || nation AS report_id, {d(P.current_start)} AS report_month, slot, value FROM (
     SELECT nation, 'report_month' AS slot, strftime({d(P.current_start)}, '%B %Y') AS value
     FROM (SELECT nation FROM k3n UNION SELECT nation FROM k4n)
-    UNION ALL SELECT nation, unnest([{', '.join(map(q, _K3_SLOTS))}]), 'some' FROM k3n
+    UNION ALL SELECT nation, unnest([{', '.join(map(q, _K3_SLOTS))}]), unnest([total_orders_text, growth_phrase,
+      total_completed_text, completed_pct_text, total_on_progress_text, on_progress_pct_text]) FROM k3n
     UNION ALL SELECT nation, 'contract_document', total_orders FROM k4n WHERE category = 'status'
     UNION ALL SELECT k.nation, 'remaining_order_' || s.suffix, k.total_orders
               FROM k4n k JOIN {_share_sfx} s ON k.label = s.label WHERE k.category = 'product'
@@ -394,11 +475,52 @@ def _nation_render() -> str:
     for slot in _NATION_SLOTS:
         ph = q("{" + slot + "}")
         text = f"replace({text}, {ph}, coalesce(max(value) FILTER (slot = {q(slot)}), {ph}))"
-    return f"  SELECT report_id, 'monthly' AS deck_id, 'orders' AS template_id, {text} AS text FROM slots_n GROUP BY report_id"
+    return (f"  SELECT report_id, report_month, 'monthly' AS deck_id, 'orders' AS template_id, {text} AS text FROM slots_n "
+            "GROUP BY report_id, report_month")
 
 
 layer("render_n", ["slots_n"], _nation_render())
 
+# The whole deck of every nation: its own slots, and the shared ones of the
+# whole report (devices and traffic).
+_OWN_PARTS = [f"SELECT nation, {q(n + '_')} || s.suffix AS slot, x.{c} AS value FROM {src} x JOIN {_prod_sfx} s ON x.product = s.label"
+              for src, pairs in (("k1n", [("total_customer", "total_customer_text"), ("growth_customer", "growth_phrase")]),
+                                 ("k2n", [("total_mau", "total_mau_text"), ("mau_percentage", "mau_percentage_text"),
+                                          ("growth_mau", "growth_phrase")])) for n, c in pairs]
+_SHARED_PARTS = _suffixed("k5", "product_type", _arm_sfx, [("total_devices", "total_devices_text"),
+                                                           ("growth_devices", "growth_phrase")])
+_SHARED_PARTS += ["SELECT slot, value FROM k9",
+                  f"SELECT {q(MONTH_SLOT)}, strftime({d(P.current_start)}, '%B %Y')"]
+layer("deck_n", ["slots_n", "k1n", "k2n", "k5", "k9"], f"""
+  SELECT report_id, slot, value FROM slots_n WHERE slot <> {q(MONTH_SLOT)}
+  UNION ALL
+  SELECT {q(P.current_start.isoformat() + '/')} || nation, slot, value FROM (
+    {" UNION ALL ".join(_OWN_PARTS)})
+  UNION ALL
+  SELECT {q(P.current_start.isoformat() + '/')} || n.n_name, slot, value
+  FROM nation n CROSS JOIN ({" UNION ALL ".join(_SHARED_PARTS)})""")
+
+
+def _deck_render() -> str:
+    text = "t.text"
+    for _, ph, slot in PLACEHOLDERS:
+        text = f"replace({text}, {q(ph)}, coalesce(v[{q(slot)}], {q(ph)}))"
+    templates = values(TEMPLATES, ["deck_id", "template_id", "text"])
+    return f"""
+  SELECT report_id, {d(P.current_start)} AS report_month, t.deck_id, t.template_id, {text} AS text
+  FROM (SELECT report_id, map(list(slot), list(value)) AS v FROM deck_n GROUP BY report_id) r CROSS JOIN {templates} t"""
+
+
+layer("deck_render_n", ["deck_n"], _deck_render())
+
+# Hourly traffic as text: '(not set)' without a denominator, '--' without views.
+layer("text_export", ["traffic_events"], """
+  SELECT property, date_trunc('hour', ts) AS hour, count(DISTINCT user_id) AS total_users,
+         nullif(count(*) FILTER (event_type = 'view'), 0) AS page_views,
+         (count(*) FILTER (event_type = 'purchase'))::DOUBLE / nullif(count(*) FILTER (event_type = 'signup'), 0)
+           AS engagement_rate, (count(*) FILTER (event_type = 'error'))::VARCHAR AS errors
+  FROM traffic_events GROUP BY ALL""")
+
 
 def compose(final: str, deps: list[str]) -> str:
     """``WITH`` clause holding every view/layer ``final`` needs, in order."""
@@ -441,29 +563,61 @@ def _closed_share() -> str:
             f"count(*) AS n_rows FROM ({_month_orders()}) GROUP BY order_month")
 
 
-_K7_COLS = ["property"] + [col for _, col in traffic.TRAFFIC_SLOTS if col != "summary"]
+_K7_COLS = ["property"] + [col for _, col in TRAFFIC_SLOTS if col != "summary"]
 
 ORACLE: dict[str, str] = {
     # pipelines
     "customer_growth": compose("SELECT * FROM k1", ["k1"]),
-    "mau_growth": compose("SELECT * REPLACE (round(mau_percentage, 6) AS mau_percentage) FROM k2", ["k2"]),
+    "customer_growth_ranked": compose(
+        "SELECT *, (SELECT count(*) FROM k1 x WHERE x.product <= k1.product)::INTEGER AS pos FROM k1", ["k1"]),
+    "mau_growth": compose("SELECT * FROM k2", ["k2"]),
     "order_progress": compose("SELECT * FROM k3_alone", ["k3_alone"]),
     "order_category": compose("SELECT * FROM k4", ["k4"]),
     "device_growth": compose("SELECT * FROM k5", ["k5"]),
+    "device_growth_incremental": compose("SELECT * FROM k5", ["k5"]),
+    "usage_bucketed": compose(
+        "SELECT product, month, tier, total_customer, mau FROM monthly_usage "
+        f"WHERE month IN ({d(P.previous_start)}, {d(P.current_start)})", ["monthly_usage"]),
+    "approx_users": compose("SELECT property, period, total_users, true AS within_bound FROM k6", ["k6"]),
+    "traffic_from_text": compose(
+        "SELECT property, strftime(hour, '%Y-%m-%d %H') AS period, hour::DATE AS period_start, total_users, page_views, "
+        "engagement_rate, 4::BIGINT AS n_values, (1 + (page_views IS NULL)::INT + (engagement_rate IS NULL)::INT)::BIGINT "
+        "AS n_rejected FROM text_export", ["text_export"]),
+    "traffic_rejects": compose(
+        "SELECT property, 'page_views' AS metric, '--' AS value, count(*) AS n FROM text_export "
+        "WHERE page_views IS NULL GROUP BY property UNION ALL "
+        "SELECT property, 'engagement_rate', '(not set)', count(*) FROM text_export "
+        "WHERE engagement_rate IS NULL GROUP BY property UNION ALL "
+        "SELECT property, 'errors', errors, count(*) FROM text_export GROUP BY property, errors", ["text_export"]),
     "traffic_metrics": compose("SELECT * FROM k6", ["k6"]),
     "traffic_growth": compose(f"SELECT {', '.join(_K7_COLS)} FROM k7", ["k7"]),
     "traffic_summary": compose("SELECT property, CAST(n_improved AS INTEGER) AS n_improved, summary FROM k8", ["k8"]),
     "traffic_all": compose("SELECT slot, value FROM k9", ["k9"]),
-    "report_slots": compose("SELECT * FROM slots", ["slots"]),
-    "slot_binding": compose("SELECT * FROM binding", ["binding"]),
-    "slot_missing": compose("SELECT report_id, ord, placeholder, slot FROM binding WHERE value IS NULL", ["binding"]),
-    "report_render": compose("SELECT * FROM render", ["render"]),
+    "report_slots": compose("SELECT * EXCLUDE (report_month) FROM slots", ["slots"]),
+    "slot_binding": compose("SELECT * EXCLUDE (report_month) FROM binding", ["binding"]),
+    "slot_missing": compose(
+        "SELECT report_id, ord, placeholder, slot FROM binding WHERE value IS NULL UNION ALL "
+        "SELECT DISTINCT report_id, 47, '{remaining_order_household}', 'remaining_order_household' FROM slots",
+        ["binding", "slots"]),
+    "slot_merge": compose(
+        f"SELECT {q(P.current_start.isoformat())} AS report_id, {d(P.current_start)} AS report_month, slot, value FROM ("
+        f"SELECT 'orders_' || lower(product) AS slot, CASE WHEN product IN {SHARE} THEN sum(n)::BIGINT::VARCHAR "
+        "ELSE arg_max(status || ' ' || n, status) END AS value FROM ("
+        "SELECT product, fulfillment_status AS status, count(*) AS n FROM orders_flat GROUP BY ALL) GROUP BY product "
+        f"UNION ALL SELECT 'report_month', strftime({d(P.current_start)}, '%B %Y'))", ["orders_flat"]),
+    "report_sink": (
+        f"SELECT 'orders' AS report_id, {month_of('o_orderdate')} AS report_month, 'monthly' AS deck_id, "
+        f"'orders' AS template_id, strftime({month_of('o_orderdate')}, '%B %Y') || ': ' || {thousands('count(o_orderkey)')} "
+        f"|| ' orders' AS text FROM orders WHERE o_orderpriority NOT IN {EXCL} "
+        f"AND {month_of('o_orderdate')} IN ({d(P.previous_start)}, {d(P.current_start)}) GROUP BY {month_of('o_orderdate')}"),
+    "report_render_deck_by_nation": compose("SELECT * FROM deck_render_n", ["deck_render_n"]),
+    "report_render": compose("SELECT * EXCLUDE (report_month) FROM render", ["render"]),
     "slot_missing_by_nation": compose(
         "SELECT r.report_id, p.ord, p.placeholder, p.slot FROM (SELECT DISTINCT report_id FROM slots_n) r "
-        "CROSS JOIN " + values(order_placeholders(), ["ord", "placeholder", "slot"]) + " p "
+        "CROSS JOIN " + values(ORDER_PLACEHOLDERS, ["ord", "placeholder", "slot"]) + " p "
         "WHERE NOT EXISTS (SELECT 1 FROM slots_n s WHERE s.report_id = r.report_id AND s.slot = p.slot)",
         ["slots_n"]),
-    "report_render_by_nation": compose("SELECT * FROM render_n", ["render_n"]),
+    "report_render_by_nation": compose("SELECT * EXCLUDE (report_month) FROM render_n", ["render_n"]),
     # primitives
     "pred_in": compose(f"SELECT order_id, product FROM orders_flat WHERE product IN {PROD}", ["orders_flat"]),
     "pred_month_exact": compose(
@@ -491,7 +645,7 @@ ORACLE: dict[str, str] = {
         f"ON o.product = s.label GROUP BY o.product, s.suffix", ["orders_flat"]),
     "agg_sum_avg": compose(
         "SELECT product, month, CAST(sum(total_customer) AS BIGINT) AS total_customer, "
-        "CAST(sum(mau) AS BIGINT) AS total_mau, round(avg(ratio), 6) AS avg_ratio "
+        f"CAST(sum(mau) AS BIGINT) AS total_mau, {mean('ratio')} AS avg_ratio "
         "FROM monthly_usage GROUP BY product, month", ["monthly_usage"]),
     "agg_counts": compose(
         f"SELECT order_month, count(order_id) AS n_ids, count(*) AS n_rows, "

@@ -12,20 +12,23 @@ each over whole tables (every month, every product, every day).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kpiframe.functions.growth import growth_pct, growth_pct_rounded, share_pct, with_previous
+from kpiframe.functions.growth import exact_mean, growth_pct, growth_pct_rounded, share_pct, with_previous
 from kpiframe.functions.period import Period, bounds_columns, iso_date, month_label, period_start
 from kpiframe.functions.text import (
     fixed2, flagged_list, growth_phrase, join_list, percent2, thousands,
 )
 from kpiframe.labels import DEFAULT_LABELS, Labels
-from kpiframe.operators import devices, orders, report, traffic, usage
-from kpiframe.sources import mapped
+from kpiframe.operators import devices, orders, report, sketches, traffic, usage
+from kpiframe.sources import mapped, sinks
+from kpiframe.sources.counters import DailyCounters
+from kpiframe.sources.layout import Bucketed
+from kpiframe.sources.scratch import scratch_path, written
 from kpiframe.sources.tables import DriverTables
 
 KPI_PERIOD = Period(dt.date(2001, 8, 15), "month")
@@ -76,8 +79,9 @@ class Ctx:
         return mapped.traffic_events(self.t.events)
 
     # -- sources pruned to the KPI period at the scan ---------------------------
-    def usage_p(self) -> DataFrame:
-        return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi)
+    def usage_p(self, by: Sequence[str] = ()) -> DataFrame:
+        located = mapped.located_customers(self.t.customer, self.t.nation, self.t.region) if by else None
+        return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi, by, located)
 
     def orders_p(self, which: str = "both") -> DataFrame:
         return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi, which)
@@ -86,17 +90,17 @@ class Ctx:
         return mapped.daily_metrics(self.t.lineitem, upto=self.kpi.current_end, customer_type=self.labels.customer_type)
 
     # -- report layers --------------------------------------------------------
-    def k12(self) -> DataFrame:
-        return usage.usage_growth(self.usage_p(), self.kpi, self.labels)
+    def k12(self, by: Sequence[str] = ()) -> DataFrame:
+        return usage.usage_growth(self.usage_p(by), self.kpi, self.labels, by)
 
     def k2(self) -> DataFrame:
         return usage.mau_growth(self.usage_p(), self.kpi, self.labels)
 
-    def k3(self) -> DataFrame:
-        return orders.order_progress(self.orders_p(), self.kpi, self.labels)
+    def k3(self, by: Sequence[str] = ()) -> DataFrame:
+        return orders.order_progress(self.orders_p(), self.kpi, self.labels, by=by)
 
-    def k4(self) -> DataFrame:
-        return orders.order_category(self.orders_p(), self.kpi, self.labels)
+    def k4(self, by: Sequence[str] = ()) -> DataFrame:
+        return orders.order_category(self.orders_p(), self.kpi, self.labels, by=by)
 
     def k5(self) -> DataFrame:
         return devices.device_growth(self.daily_p(), self.kpi, self.labels)
@@ -107,15 +111,23 @@ class Ctx:
     def k8(self) -> DataFrame:
         return traffic.traffic_summary(traffic.traffic_growth(self.k6(), self.traffic_period))
 
-    def slots(self) -> DataFrame:
-        parts = [
-            report.usage_slots(self.k12(), self.labels),
-            report.progress_slots(self.k3()),
-            report.category_slots(self.k4(), self.labels),
+    def slots(self, by: Sequence[str] = ()) -> DataFrame:
+        """K10 of the whole deck; with ``by`` (``nation`` or ``regional``) one
+        deck for each of them, with or without customers. Devices and traffic
+        are not known by place, so every deck shares their slots."""
+        placed = [
+            report.usage_slots(self.k12(by), self.labels, by),
+            report.progress_slots(self.k3(by), by),
+            report.category_slots(self.k4(by), self.labels, by),
+        ]
+        whole = [
             report.device_slots(self.k5(), self.labels),
             traffic.traffic_all(self.k8(), self.labels),
         ]
-        return report.report_slots(parts, self.kpi)
+        if not by:
+            return report.report_slots(placed + whole, self.kpi)
+        places = mapped.places(self.t.nation, self.t.region).select(*by).distinct()
+        return report.report_slots(placed, self.kpi, by=by, shared=whole, reports=places)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,10 +147,15 @@ def customer_growth(c: Ctx) -> DataFrame:
     return usage.customer_growth(c.usage_p(), KPI_PERIOD, LABELS)
 
 
+@_q
+def customer_growth_ranked(c: Ctx) -> DataFrame:
+    """O1: K1's rows with their places in the report's order."""
+    return usage.ranked(usage.customer_growth(c.usage_p(), KPI_PERIOD, LABELS, sort=False), ["product"])
+
+
 @_q
 def mau_growth(c: Ctx) -> DataFrame:
-    # The mean ratio is rounded to 6 places: summation order may move its last bit.
-    return c.k2().withColumn("mau_percentage", F.round("mau_percentage", 6))
+    return c.k2()
 
 
 @_q
@@ -157,11 +174,76 @@ def device_growth(c: Ctx) -> DataFrame:
     return c.k5()
 
 
+@_q
+def device_growth_incremental(c: Ctx) -> DataFrame:
+    """K5 from stored counters (S3) that were extended month by month: lineitem
+    is read once up to the previous month, then only the new days."""
+    stored = DailyCounters(c.spark, scratch_path(c.spark, "counters"))
+    for upto in (KPI_PERIOD.previous_start, KPI_PERIOD.previous_end, KPI_PERIOD.current_end):
+        stored.extend(c.t.lineitem, upto)
+    return devices.device_growth(stored.rows(KPI_PERIOD), KPI_PERIOD, LABELS)
+
+
+@_q
+def usage_bucketed(c: Ctx) -> DataFrame:
+    """S1 of the two months from month-partitioned, bucketed tables."""
+    stored = Bucketed.store(c.t.orders, c.t.customer)
+    try:
+        return written(mapped.monthly_usage(stored.orders(KPI_PERIOD), stored.customer(), KPI_PERIOD)).select(
+            "product", "month", "tier", "total_customer", "mau")
+    finally:
+        stored.drop()
+
+
 @_q
 def traffic_metrics(c: Ctx) -> DataFrame:
     return c.k6()
 
 
+@_q
+def approx_users(c: Ctx) -> DataFrame:
+    """A9 from stored daily sketches: the exact users of each week, and whether
+    the estimate is within its bound of them."""
+    path = scratch_path(c.spark, "sketches")
+    sketches.store(sketches.daily_users(c.events), path)
+    about = sketches.users(sketches.read(c.spark, path), TRAFFIC_PERIOD).withColumnRenamed("users", "about")
+    exact = c.k6().select("property", "period", "total_users")
+    off = F.abs(F.col("about") - F.col("total_users"))
+    return exact.join(about, ["property", "period"], "left").select(
+        "property", "period", "total_users", (off <= F.lit(sketches.bound()) * F.col("total_users")).alias("within_bound"))
+
+
+def text_export(c: Ctx) -> DataFrame:
+    """Hourly traffic per property as a text export has it: every value is
+    text, a rate without a denominator is ``(not set)``, no views are ``--``,
+    and one metric is not K6's."""
+    hour = F.date_trunc("HOUR", "ts")
+    views, signups = F.count_if(F.col("event_type") == "view"), F.count_if(F.col("event_type") == "signup")
+    rate = F.try_divide(F.count_if(F.col("event_type") == "purchase"), signups)
+    hourly = c.events.groupBy("property", hour.alias("hour")).agg(
+        F.count_distinct("user_id").cast("string").alias("total_users"),
+        F.when(views == 0, "--").otherwise(views.cast("string")).alias("page_views"),
+        F.coalesce(rate.cast("string"), F.lit("(not set)")).alias("engagement_rate"),
+        F.count_if(F.col("event_type") == "error").cast("string").alias("errors"))
+    names = ["total_users", "page_views", "engagement_rate", "errors"]
+    return hourly.select(
+        "property", F.date_format("hour", "yyyy-MM-dd HH").alias("period"), F.to_date("hour").alias("period_start"),
+        F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])))
+
+
+@_q
+def traffic_from_text(c: Ctx) -> DataFrame:
+    """K6-shaped metrics from text, with the values that were no numbers."""
+    return traffic.checked_metrics_from_text(text_export(c)).select(
+        "property", "period", "period_start", "total_users", "page_views", "engagement_rate", "n_values", "n_rejected")
+
+
+@_q
+def traffic_rejects(c: Ctx) -> DataFrame:
+    """the rejected texts, counted."""
+    return traffic.rejected_text(text_export(c))
+
+
 @_q
 def traffic_growth(c: Ctx) -> DataFrame:
     g = traffic.traffic_growth(c.k6(), TRAFFIC_PERIOD)
@@ -180,17 +262,39 @@ def traffic_all(c: Ctx) -> DataFrame:
 
 @_q
 def report_slots(c: Ctx) -> DataFrame:
-    return c.slots()
+    return c.slots().drop("report_month")
 
 
 @_q
 def slot_binding(c: Ctx) -> DataFrame:
-    return report.slot_binding(c.slots(), report.placeholder_table(c.spark))
+    return report.slot_binding(c.slots(), report.placeholder_table(c.spark)).drop("report_month")
+
+
+def surplus_placeholders() -> list[tuple[int, str, str]]:
+    """The deck's placeholders and one for a product whose open orders the
+    report does not share out, so that no slot fills it."""
+    rows = report.default_placeholders()
+    return [*rows, (len(rows) + 1, "{remaining_order_household}", "remaining_order_household")]
 
 
 @_q
 def slot_missing(c: Ctx) -> DataFrame:
-    return report.slot_missing(c.slots(), report.placeholder_table(c.spark))
+    return report.slot_missing(c.slots(), report.placeholder_table(c.spark, surplus_placeholders())).drop("report_month")
+
+
+@_q
+def slot_merge(c: Ctx) -> DataFrame:
+    """U3: two parts that write one slot, and rows of one part that do. The
+    first part counts each product's orders by status, ``ord`` following the
+    status; the second all orders of the listed products."""
+    counts = c.order_counts
+    by_status = counts.groupBy("product", "fulfillment_status").agg(F.sum("n").alias("n"))
+    first = by_status.select(F.concat(F.lit("orders_"), F.lower("product")).alias("slot"),
+                             F.concat_ws(" ", "fulfillment_status", F.col("n").cast("string")).alias("value"),
+                             F.left("fulfillment_status", F.lit(1)).cast("bigint").alias("ord"))
+    second = (counts.where(F.col("product").isin(list(LABELS.share_products))).groupBy("product").agg(F.sum("n").alias("n"))
+              .select(F.concat(F.lit("orders_"), F.lower("product")).alias("slot"), F.col("n").cast("string").alias("value")))
+    return report.report_slots([first, second], KPI_PERIOD)
 
 
 # The order part of the monthly deck: its placeholders, in deck order.
@@ -221,7 +325,7 @@ def nation_slots(c: Ctx) -> DataFrame:
 @_q
 def slot_missing_by_nation(c: Ctx) -> DataFrame:
     """K11 over many reports: the placeholders each nation's report cannot fill."""
-    return report.slot_missing(nation_slots(c), report.placeholder_table(c.spark, order_placeholders()))
+    return report.slot_missing(nation_slots(c), report.placeholder_table(c.spark, order_placeholders())).drop("report_month")
 
 
 @_q
@@ -230,13 +334,39 @@ def report_render_by_nation(c: Ctx) -> DataFrame:
     slots = nation_slots(c)
     bindings = report.slot_binding(slots, report.placeholder_table(c.spark, order_placeholders()))
     return report.render_reports(bindings, report.template_table(c.spark, NATION_TEMPLATES),
-                                 reports=slots.select("report_id"))
+                                 reports=slots.select("report_id", "report_month")).drop("report_month")
+
+
+@_q
+def report_render_deck_by_nation(c: Ctx) -> DataFrame:
+    """K12 over many reports: the whole deck of every nation in one job, with
+    the shared device and traffic slots in each."""
+    slots = written(c.slots(["nation"]))
+    bindings = report.slot_binding(slots, report.placeholder_table(c.spark))
+    return report.render_reports(bindings, report.template_table(c.spark), reports=slots.select("report_id", "report_month"))
+
+
+SINK_TEMPLATES = [("monthly", "orders", "{report_month}: {total_orders} orders")]
+
+
+@_q
+def report_sink(c: Ctx) -> DataFrame:
+    """S7: the order reports of two months under one custom id, the second of
+    them written twice, read back from the sink."""
+    path = scratch_path(c.spark, "reports")
+    previous = Period(KPI_PERIOD.current_start, "month")
+    for period in (previous, KPI_PERIOD, KPI_PERIOD):
+        k3 = orders.order_progress(mapped.orders_plain(c.t.orders, period), period, LABELS)
+        slots = report.report_slots([report.progress_slots(k3)], period, report_id="orders")
+        bindings = report.slot_binding(slots, report.placeholder_table(c.spark, order_placeholders()))
+        sinks.write_reports(report.render_reports(bindings, report.template_table(c.spark, SINK_TEMPLATES)), path)
+    return sinks.read_reports(c.spark, path)
 
 
 @_q
 def report_render(c: Ctx) -> DataFrame:
     bindings = report.slot_binding(c.slots(), report.placeholder_table(c.spark))
-    return report.render_reports(bindings, report.template_table(c.spark))
+    return report.render_reports(bindings, report.template_table(c.spark)).drop("report_month")
 
 
 # ---------------------------------------------------------------------------
@@ -299,7 +429,7 @@ def agg_sum_avg(c: Ctx) -> DataFrame:
     return c.usage.groupBy("product", "month").agg(
         F.sum("total_customer").alias("total_customer"),
         F.sum("mau").alias("total_mau"),
-        F.round(F.avg("ratio"), 6).alias("avg_ratio"),
+        exact_mean(F.col("ratio")).alias("avg_ratio"),
     )
 
 

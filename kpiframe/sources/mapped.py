@@ -28,12 +28,14 @@ from kpiframe.functions.period import Period, period_start, typed_lit
 PROPERTIES = ("website", "mobile", "partner")
 
 
-def monthly_usage(orders: DataFrame, customer: DataFrame, period: Period | None = None) -> DataFrame:
+def monthly_usage(orders: DataFrame, customer: DataFrame, period: Period | None = None,
+                  by: Sequence[str] = (), located: DataFrame | None = None) -> DataFrame:
     """S1: per (segment, month, priority) distinct customers and those with a filled order.
 
     ``product`` = ``c_mktsegment``, ``tier`` = ``o_orderpriority``,
     ``total_customer`` = distinct ordering customers, ``mau`` = distinct
-    customers with an ``F`` order, ``ratio`` = mau / total_customer.
+    customers with an ``F`` order, ``ratio`` = mau / total_customer. With ``by``
+    also per column of ``located`` (:func:`located_customers`), such as nation.
 
     Plan: orders are first reduced to one row per (customer, month, tier) by a
     hash aggregate that combines map-side, so a customer holding a third of
@@ -46,25 +48,31 @@ def monthly_usage(orders: DataFrame, customer: DataFrame, period: Period | None
         F.col("o_orderpriority").alias("tier"),
     ).agg(F.bool_or(F.col("o_orderstatus") == F.lit("F")).alias("any_filled"))
     c = customer.select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("product"))
+    if by:
+        c = located.select("custkey", "product", *by)
     return (
-        seen.join(c, "custkey").groupBy("product", "month", "tier")
+        seen.join(c, "custkey").groupBy(*by, "product", "month", "tier")
         .agg(F.count(F.lit(1)).alias("total_customer"), F.count_if(F.col("any_filled")).alias("mau"))
         .withColumn("ratio", F.try_divide(F.col("mau"), F.col("total_customer")))
     )
 
 
-def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """custkey, product (segment), nation and region of every customer. The
-    nation and region dimensions are tiny; the planner broadcasts them from
-    their file-size statistics."""
-    geo = nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("nation")).join(
+def places(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """n_nationkey, n_regionkey, nation and regional: one row per nation."""
+    return nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("nation")).join(
         region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regional")),
         "n_regionkey",
     )
+
+
+def located_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """custkey, product (segment), nation and region of every customer. The
+    nation and region dimensions are tiny; the planner broadcasts them from
+    their file-size statistics."""
     return customer.select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("n_nationkey"),
         F.col("c_mktsegment").alias("product"),
-    ).join(geo, "n_nationkey")
+    ).join(places(nation, region), "n_nationkey")
 
 
 def _plain(orders: DataFrame, *more: Column) -> DataFrame:
@@ -98,7 +106,7 @@ def order_counts(orders: DataFrame, customer: DataFrame, nation: DataFrame, regi
         F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("fulfillment_status"),
         F.col("o_orderkey").isNotNull().alias("has_id"), *tag,
     ).agg(F.count(F.lit(1)).alias("n"))
-    return per_customer.join(_customers(customer, nation, region), "custkey").drop("custkey", "n_nationkey", "n_regionkey")
+    return per_customer.join(located_customers(customer, nation, region), "custkey").drop("custkey", "n_nationkey", "n_regionkey")
 
 
 def orders_flat(
@@ -116,7 +124,7 @@ def orders_flat(
     from runtime sizes. What only counts orders takes :func:`order_counts`.
     """
     o = orders if period is None else period.filter(orders, "o_orderdate", which)
-    return _plain(o, F.col("o_custkey").alias("custkey")).join(_customers(customer, nation, region), "custkey").select(
+    return _plain(o, F.col("o_custkey").alias("custkey")).join(located_customers(customer, nation, region), "custkey").select(
         "order_id", "order_created_date", "fulfillment_status", "product", "regional", "nation"
     )
 
@@ -133,13 +141,25 @@ def daily_metrics(
     ``upto`` (exclusive) prunes later ship dates at the scan; earlier running
     sums are unaffected.
     """
-    li = lineitem
+    return running(daily_counts(lineitem, upto=upto, customer_type=customer_type))
+
+
+COUNTERS = ("a", "b", "c", "d")
+
+
+def daily_counts(lineitem: DataFrame, since: dt.date | None = None, upto: dt.date | None = None,
+                 customer_type: str | None = None) -> DataFrame:
+    """``date, customer_type, a, b, c, d``: each day's own counts. ``since``
+    (inclusive) and ``upto`` (exclusive) are pushed to the scan."""
+    li, kind = lineitem, lineitem.schema["l_shipdate"].dataType
+    if since is not None:
+        li = li.filter(F.col("l_shipdate") >= typed_lit(since, kind))
     if upto is not None:
-        li = li.filter(F.col("l_shipdate") < typed_lit(upto, li.schema["l_shipdate"].dataType))
+        li = li.filter(F.col("l_shipdate") < typed_lit(upto, kind))
     if customer_type is not None:
         li = li.filter(F.col("l_linestatus") == F.lit(customer_type))
     flag = F.col("l_returnflag")
-    daily = li.groupBy(
+    return li.groupBy(
         F.to_date("l_shipdate").alias("date"), F.col("l_linestatus").alias("customer_type")
     ).agg(
         F.count_if(flag == "A").alias("a"),
@@ -147,10 +167,14 @@ def daily_metrics(
         F.count_if(flag == "N").alias("c"),
         F.count_if(F.col("l_linenumber") == 1).alias("d"),
     )
+
+
+def running(daily: DataFrame) -> DataFrame:
+    """``date, customer_type, cumulative_a .. cumulative_d`` of daily counts."""
     w = Window.partitionBy("customer_type").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(
         "date", "customer_type",
-        *[F.sum(x).over(w).cast("bigint").alias(f"cumulative_{x}") for x in ("a", "b", "c", "d")],
+        *[F.sum(x).over(w).cast("bigint").alias(f"cumulative_{x}") for x in COUNTERS],
     )
 
 
