@@ -17,6 +17,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--traffic-unit", default="month", choices=["month", "week", "day"])
     ap.add_argument("--out", required=True, help="output path (Parquet, partitioned by report_month)")
     ap.add_argument("--by", nargs="*", default=[], choices=["nation", "regional"], help="one report for each of these")
+    ap.add_argument("--counters", help="path of the stored daily counters, extended by the days they lack")
+    ap.add_argument("--bucketed", help="prefix of stored tables, see kpiframe.sources.layout")
     ap.add_argument("--no-strict", action="store_true", help="write even if a placeholder has no value")
     ap.add_argument("--master", help="Spark master for a local run, e.g. local[8]; omit under spark-submit")
     ap.add_argument("--checkpoint-dir", help="shared checkpoint directory, used only if the session has none")
@@ -28,7 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.checkpoint_dir:
         ensure_checkpoint_dir(spark, args.checkpoint_dir)
     rep = MonthlyReport(spark, args.tables, Period(args.as_of, "month"),
-                        Period(args.traffic_as_of or args.as_of, args.traffic_unit), by=args.by)
+                        Period(args.traffic_as_of or args.as_of, args.traffic_unit), by=args.by,
+                        counters=args.counters, bucketed=args.bucketed)
     rep.run(args.out, strict=not args.no_strict)
 
 

@@ -17,6 +17,8 @@ from kpiframe.functions.period import Period
 from kpiframe.labels import DEFAULT_LABELS, Labels
 from kpiframe.operators import report
 from kpiframe.queries.registry import Ctx
+from kpiframe.sources.counters import DailyCounters
+from kpiframe.sources.layout import Bucketed
 from kpiframe.sources.sinks import read_slots, write_reports, write_slots
 
 
@@ -34,10 +36,18 @@ class MonthlyReport:
     templates: Sequence[tuple[str, str, str]] | None = None
     #: ``("nation",)`` or ``("regional",)``: a whole deck for each, in one job.
     by: Sequence[str] = ()
+    #: Where K5's running counters are kept between reports; unset, they are
+    #: summed from all of lineitem each time.
+    counters: str | None = None
+    #: Prefix of tables that ``sources.layout.Bucketed`` stored; unset, K1-K4
+    #: read the plain files.
+    bucketed: str | None = None
 
     @cached_property
     def _ctx(self) -> Ctx:
-        return Ctx(self.spark, self.tables_dir, self.kpi_period, self.traffic_period, self.labels)
+        return Ctx(self.spark, self.tables_dir, self.kpi_period, self.traffic_period, self.labels,
+                   counters=DailyCounters(self.spark, self.counters) if self.counters else None,
+                   stored=Bucketed(self.spark, self.bucketed) if self.bucketed else None)
 
     def slots(self) -> DataFrame:
         return self._ctx.slots(self.by)

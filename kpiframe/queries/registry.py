@@ -42,16 +42,20 @@ class Ctx:
     """View builders and report layers over one table directory.
 
     The registered queries use the fixed periods above; ``kpi``,
-    ``traffic_period`` and ``labels`` let a report run for any date.
+    ``traffic_period`` and ``labels`` let a report run for any date. With
+    ``counters`` K5 reads stored counters, extended by the days they lack, and
+    with ``stored`` K1-K4 read orders by month and customers by bucket.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, kpi: Period | None = None,
-                 traffic_period: Period | None = None, labels: Labels | None = None):
+                 traffic_period: Period | None = None, labels: Labels | None = None,
+                 counters: DailyCounters | None = None, stored: Bucketed | None = None):
         self.t = DriverTables(spark, sf_dir)
         self.spark = spark
         self.kpi = kpi or KPI_PERIOD
         self.traffic_period = traffic_period or TRAFFIC_PERIOD
         self.labels = labels or LABELS
+        self.counters, self.stored = counters, stored
 
     # -- sources, whole tables ------------------------------------------------
     @cached_property
@@ -79,14 +83,23 @@ class Ctx:
         return mapped.traffic_events(self.t.events)
 
     # -- sources pruned to the KPI period at the scan ---------------------------
+    def _tables(self) -> tuple[DataFrame, DataFrame]:
+        if self.stored:
+            return self.stored.orders(self.kpi), self.stored.customer()
+        return self.t.orders, self.t.customer
+
     def usage_p(self, by: Sequence[str] = ()) -> DataFrame:
-        located = mapped.located_customers(self.t.customer, self.t.nation, self.t.region) if by else None
-        return mapped.monthly_usage(self.t.orders, self.t.customer, self.kpi, by, located)
+        orders, customer = self._tables()
+        located = mapped.located_customers(customer, self.t.nation, self.t.region) if by else None
+        return mapped.monthly_usage(orders, customer, self.kpi, by, located)
 
     def orders_p(self, which: str = "both") -> DataFrame:
-        return mapped.order_counts(self.t.orders, self.t.customer, self.t.nation, self.t.region, self.kpi, which)
+        return mapped.order_counts(*self._tables(), self.t.nation, self.t.region, self.kpi, which)
 
     def daily_p(self) -> DataFrame:
+        if self.counters:
+            self.counters.extend(self.t.lineitem, self.kpi.current_end)
+            return self.counters.rows(self.kpi)
         return mapped.daily_metrics(self.t.lineitem, upto=self.kpi.current_end, customer_type=self.labels.customer_type)
 
     # -- report layers --------------------------------------------------------

@@ -6,7 +6,10 @@ day and customer type, with the day's counts and the running sums, partitioned
 by month. ``extend`` reads the days after the last stored one, a range that
 reaches lineitem's scan, and adds the last running sums to theirs; a report
 then reads the two months it compares. ``restate`` counts again from a day on,
-for rows that arrived late.
+for rows that arrived late, or after a write that was broken off.
+
+One job extends a store at a time. Rows are only ever added to lineitem: a day
+that loses all its rows there keeps its row here.
 """
 
 from __future__ import annotations

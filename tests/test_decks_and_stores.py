@@ -226,3 +226,18 @@ def test_bucketed_sources_join_without_an_exchange(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         stored.drop()
+
+
+def test_the_report_over_stored_sources_is_the_same(spark):
+    """... and reads neither lineitem nor whole orders."""
+    plain = {(r.slot, r.value) for r in Ctx(spark, SF_SMALL).slots().collect()}
+    stored = Bucketed.store(Ctx(spark, SF_SMALL).t.orders, Ctx(spark, SF_SMALL).t.customer, buckets=4)
+    try:
+        rep = MonthlyReport(spark, SF_SMALL, KPI_PERIOD, TRAFFIC_PERIOD, counters=scratch_path(spark, "counters"),
+                            bucketed=stored.prefix)
+        slots = rep.slots()
+        text = explain_text(slots)
+        assert scan_count(text, "lineitem") == 0 and "PartitionFilters: [isnotnull(o_month" in text
+        assert {(r.slot, r.value) for r in slots.collect()} == plain
+    finally:
+        stored.drop()
