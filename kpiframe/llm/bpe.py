@@ -8,7 +8,8 @@ pairs of its lowest rank. All its places of that rank are merged at once where
 no pair that contains the new symbol has a lower rank (``whole_round``), else
 only the leftmost, which is the order of the tokenizers library.
 
-Special tokens in a text become their ids, as the library does by default.
+Special tokens in a text become their ids, as the library does by default, and
+letters, numbers and spaces are those of the library (``PreTokens``).
 
 Defined cases: null and empty texts have no ids and decode to ""; ids outside
 the vocabulary are skipped when decoding and broken UTF-8 becomes U+FFFD;
@@ -23,6 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -154,14 +156,61 @@ class Chunker:
         first, *rest = self.space.split(text) if self.odd.search(text) else text.split(" ")
         return [*([first] if first else []), *map(" ".__add__, rest)]
 
+    def distinct(self, texts: list[str]):
+        """Two parts of the texts, each as (places of its texts, distinct chunks,
+        the chunks' numbers in the order of the texts, and where each text ends
+        in them). Arrow splits the texts in which every space is one to cut at."""
+        special = list(self.special)
+        odd = [self.odd.search(t) is not None or any(s in t for s in special) for t in texts]
+        where = [k for k, o in enumerate(odd) if not o]
+        if where:
+            cut = pc.split_pattern(pa.array([texts[k] for k in where], pa.large_string()), " ")
+            ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+            flat = cut.flatten()
+            coded = flat.dictionary_encode()
+            numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.r_[0, ends[:-1]]  # a text's first chunk follows no space
+            first = flat.take(pa.array(at)).dictionary_encode()
+            numbers[at] = first.indices.to_numpy(zero_copy_only=False) + len(coded.dictionary)
+            yield where, [*map(" ".__add__, coded.dictionary.to_pylist()), *first.dictionary.to_pylist()], numbers, ends
+        where = [k for k, o in enumerate(odd) if o]
+        if where:
+            cut = [self(texts[k]) for k in where]
+            known = {c: k for k, c in enumerate(dict.fromkeys(c for chunks in cut for c in chunks))}
+            yield where, list(known), np.array([known[c] for chunks in cut for c in chunks], np.int64), np.cumsum([*map(len, cut)])
+
 
 class PreTokens:
-    """The pre-tokens of a chunk; a chunk of letters alone is one."""
+    """The pre-tokens of a chunk; a chunk of letters alone is one.
+
+    What is a letter, a number or a space depends on the Unicode version, and
+    Python's, the regex module's and the tokenizers library's differ. Each code
+    point beyond ASCII is asked of the library's pre-tokenizer when it is first
+    met; a chunk with one that is of another class there is cut by the library."""
 
     def __init__(self):
+        from tokenizers import pre_tokenizers
+
         self.find = regex.compile(PATTERN).findall
+        self.kind = regex.compile(r"(?P<L>\p{L})|(?P<N>\p{N})|(?P<S>\s)").match
+        self.library = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+        self.agreed: set[str] = set()
+        self.odd: set[str] = set()
+
+    def agrees(self, c: str) -> bool:
+        theirs = next((kind for before, kind in (("a", "L"), ("1", "N"), ("!", None)) if len(self.library(before + c)) == 1), "S")
+        found = self.kind(c)
+        return (found and found.lastgroup) == theirs and c.isalpha() == (theirs == "L")
 
     def __call__(self, chunk: str) -> list[str]:
+        if not chunk.isascii():
+            met = set(chunk) - self.agreed
+            if met:
+                good = {c for c in met - self.odd if c.isascii() or self.agrees(c)}
+                self.agreed |= good
+                self.odd |= met - good
+                if met - good:
+                    return [chunk[a:b] for _, (a, b) in self.library(chunk)]
         return [chunk] if (chunk[1:] if chunk[0] == " " else chunk).isalpha() else self.find(chunk)
 
 
@@ -169,6 +218,8 @@ class Encoder:
     """Texts to ids. The cache of chunks is bounded and emptied when full; it
     changes no result."""
 
+    nothing = b""
+
     def __init__(self, path: str):
         self.table = table(path)
         self.chunks = Chunker(self.table.special)
@@ -189,12 +240,27 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text, its ids as little-endian unsigned 32-bit integers."""
-        cut = [self.chunks(t) for t in texts]
-        new = set().union(*cut) - self.known.keys()
+        out = [b""] * len(texts)
+        for where, chunks, numbers, ends in self.chunks.distinct(texts):
+            self.meet(chunks)
+            found = list(map(self.known.__getitem__, chunks))
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            ids = np.frombuffer(b"".join(found), "<u4")
+            many = sizes[numbers]
+            upto = np.r_[0, np.cumsum(many)]
+            places = np.repeat((np.cumsum(sizes) - sizes)[numbers] - upto[:-1], many) + np.arange(upto[-1])
+            data, at = ids[places].tobytes(), (upto[np.r_[0, ends]] * 4).tolist()
+            for k, a, b in zip(where, at, at[1:]):
+                out[k] = data[a:b]
+        return out
+
+    def meet(self, chunks: list[str]) -> None:
+        """Learn the chunks that are not known."""
+        new = set(chunks) - self.known.keys()
         if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, new = {}, set().union(*cut)
-        self.learn(new)
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+            self.known, new = {}, set(chunks)
+        self.learn(new - {""})
+        self.known[""] = self.nothing
 
 
 def encoder(path: str) -> Encoder:

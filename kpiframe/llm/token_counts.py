@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .bpe import CACHE_ENTRIES, GROUP_BYTES, BpeTable, Chunker, PreTokens, _mapped, path_of, table
+from .bpe import GROUP_BYTES, BpeTable, Encoder, _mapped, path_of
 from .common import documents, worker_state
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,15 +32,14 @@ def prove_whole(bpe: BpeTable) -> frozenset[str]:
     return frozenset(s for s, k in zip(strings, np.flatnonzero(whole)) if s.encode("utf-8") == tokens[k])
 
 
-class Counter:
+class Counter(Encoder):
     """Texts to token counts; the cache is bounded and changes no result."""
 
+    nothing = 0
+
     def __init__(self, path: str):
-        self.table = table(path)
+        super().__init__(path)
         self.whole = prove_whole(self.table)
-        self.chunks = Chunker(self.table.special)
-        self.cut = PreTokens()
-        self.known: dict[str, int] = {}
 
     def learn(self, new: set[str]) -> None:
         shortcut = {c for c in new if c in self.whole or c in self.table.special}
@@ -53,12 +52,14 @@ class Counter:
             self.known[c] = sum(of.get(w, 1) for w in ws)  # 1: a whole token
 
     def __call__(self, texts: list[str]) -> list[int]:
-        cut = [self.chunks(t) for t in texts]
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, new = {}, set().union(*cut)
-        self.learn(new)
-        return [sum(map(self.known.__getitem__, c)) for c in cut]
+        out = [0] * len(texts)
+        for where, chunks, numbers, ends in self.chunks.distinct(texts):
+            self.meet(chunks)
+            counts = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+            upto = np.r_[0, np.cumsum(counts[numbers])][np.r_[0, ends]]
+            for k, n in zip(where, np.diff(upto).tolist()):
+                out[k] = n
+        return out
 
 
 def counter(path: str) -> Counter:
