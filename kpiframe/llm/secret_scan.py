@@ -19,6 +19,13 @@ forms are secrets; runs without name and quotes are none where they lack
 variety (one kind of character, few different ones, or dictionary words), and
 otherwise unlabelled. ``source`` stands for the path.
 
+Such negatives look nothing like a secret, and from them alone the forest
+learns that whatever varies is one. So it also learns from ``made_findings``:
+random values in ``HARMLESS`` surroundings (hashes and UUIDs in prose or after
+a harmless name, parts of URLs, identifiers, stand-ins like ``$OTHER``, and
+names like ``author`` that hold a secret's word) with label 0, and the same
+kinds of values in ``SECRET`` surroundings with label 1.
+
 Not covered: secrets of several words beyond the first; names and values more
 than two words apart (``password: str = "..."``); lists of secrets beyond the
 first; passwords inside URLs (``user:password@host``); unnamed runs shorter than
@@ -77,9 +84,49 @@ DICTIONARY = ("about", "account", "address", "after", "build", "cache", "class",
               "test", "text", "that", "the", "this", "time", "title", "type", "update", "user", "value", "version",
               "view", "web", "with", "world", "year")
 SAMPLE_ROWS = 4000
-TREES = 15
-DEPTH = 4
+TREES = 21
+DEPTH = 7
 SEED = 11
+#: Names of made secrets, and surroundings (earlier, before, lead, tail, after)
+#: of made findings with the forms of value that stand in them. ``{name}`` is
+#: one of the names; ``{w}`` any word of the dictionary.
+NAMES = ("token", "api_key", "password", "SECRET_KEY", "AWS_SECRET_ACCESS_KEY", "auth_token", "db.passwd", "private_key")
+SECRET = (
+    ("{name}", "=", '"', '"', "{w}", "hex40 hex32 base64 short words"),
+    ("{w}", "{w}", '{name}="', '"', "{w}", "hex40 hex64 base64 short words"),
+    ("{w}", "{w}", "{name}='", "'", "", "hex40 base64 short words"),
+    ("", "{w}", '"{name}":"', '",', "{w}", "hex40 uuid base64 short words"),
+    ("{w}", '"{name}":', '"', '"', "{w}", "hex40 base64 short words"),
+    ("{w}", "{name}:", "'", "',", "{w}", "hex32 base64 short words"),
+    ("", "", "{name}=", "", "", "hex40 base64 short"),
+    ("", "export", "{name}=", "", "{w}", "hex40 hex64 base64 short"),
+    ("{w}", "{w}", "--{name}=", "", "{w}", "hex40 base64 short"),
+    ("Authorization:", "Bearer", "", "", "{w}", "hex40 base64"),
+    ("{w}", "{w}", "", "", "{w}", "known"),
+)
+HARMLESS = (
+    ("{w}", "{w}", "", "", "{w}", "hex40 hex64 hex32 uuid ident digits"),
+    ("{w}", "{w}", "", ".", "{w}", "hex40 uuid ident"),
+    ("{w}", "{w}", "(", ")", "{w}", "hex40 uuid digits"),
+    ("{w}", "commit", "", "", "{w}", "hex40 hex32"),
+    ("{w}", "sha256:", "", "", "{w}", "hex64"),
+    ("", "{w}", "sha256:", "", "{w}", "hex64"),
+    ("{w}", "{w}", 'commit="', '"', "{w}", "hex40 uuid"),
+    ("{w}", "{w}", "checksum=", "", "{w}", "hex40 hex64"),
+    ("{w}", '"id":', '"', '"', "{w}", "uuid hex32"),
+    ("", "{w}", "https://{w}.", "", "{w}", "slug"),
+    ("{w}", "{w}", "https://{w}.org/", "", "{w}", "slug words uuid hex40"),
+    ("{w}", "{w}", "http://www.{w}.net/?page=", "", "{w}", "hex32 ident"),
+    ("", "", "{name}=", "", "", "stand_in"),
+    ("{name}", "=", '"', '"', "{w}", "stand_in"),
+    ("{w}", "{w}", '"{name}":"', '"', "{w}", "stand_in"),
+    ("{w}", "{w}", '"author":"', '"', "{w}", "person words short"),
+    ("author", "=", '"', '"', "{w}", "person words"),
+    ("{w}", "{w}", "tokenizer='", "'", "{w}", "ident words"),
+    ("{w}", "{w}", 'file="', '"', "{w}", "ident slug words"),
+)
+#: Random values that each of the made surroundings is filled with.
+MADE = 60
 
 
 def follows(word: Column, before: Column, earlier: Column) -> Column:
@@ -172,6 +219,12 @@ def features() -> dict[str, Column]:
         "assigned": flag(assigned()),
         "known_form": flag(c.rlike(KNOWN)),
         "quoted": flag(F.col("lead").rlike("[\"']") & F.col("tail").rlike("[\"']")),
+        "shell": flag(F.col("lead").rlike(r"[\w.-]=$")),
+        "url": flag(F.col("lead").rlike("://")),
+        "uuid": flag(c.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")),
+        "hash_length": flag(c.rlike("^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$")),
+        "stand_in": flag(c.rlike(STAND_IN)),
+        "other_name": flag(names.rlike(OTHER_NAME)),
         "sentence": flag(F.col("before").rlike("^[A-Za-z]+[.,;]?$") & F.col("after").rlike("^[A-Za-z]+[.,;]?$")),
     }
 
@@ -192,9 +245,9 @@ def tree_sql(lines: list[str], names: list[str]) -> str:
     return f"if(f.{names[int(feature)]} <= {float(cut)!r}D, {yes}, {no})"
 
 
-def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> str:
-    """``labelled``: candidates with ``label`` 0/1. The forest's score, the
-    share of trees that vote for a secret, as SQL over the struct ``f``."""
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS):
+    """``labelled``: candidates with ``label`` 0/1. The forest, or the one label
+    (0 if there is none) where there are not both."""
     rank = F.md5(F.concat_ws("|", F.lit("findings"), F.col("doc_id").cast("string"), "place", "run", "candidate"))
     names = list(features())
     known = with_features(labelled.where("label is not null").withColumn("rank", rank))
@@ -203,20 +256,69 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> str:
     some = materialise(some.select("rank", "label", "f.*").coalesce(1).sortWithinPartitions("rank"))
     labels = {int(r[0]) for r in some.select("label").distinct().collect()}
     if len(labels) < 2:
-        return f"{float(max(labels, default=0))}D"
+        return float(max(labels, default=0))
     rows = VectorAssembler(inputCols=names, outputCol="x").transform(
         some.coalesce(1).select(F.col("label").cast("double").alias("label"), *names))
-    forest = RandomForestClassifier(featuresCol="x", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
-                                    featureSubsetStrategy="sqrt").fit(rows)
+    return RandomForestClassifier(featuresCol="x", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
+                                  featureSubsetStrategy="sqrt").fit(rows)
+
+
+def score_sql(forest) -> str:
+    """The forest's score, the share of trees that vote for a secret, as SQL
+    over the struct ``f``."""
+    if isinstance(forest, float):
+        return f"{forest}D"
+    names = list(features())
     votes = [tree_sql([x for x in t.toDebugString.splitlines()[1:] if x.strip()], names) for t in forest.trees]
     return "(" + " + ".join(votes) + f") / {len(votes)}D"
 
 
-def scan(docs: DataFrame, labelled_by: Column, path: str = "source") -> DataFrame:
+def made_findings(spark: SparkSession, made: int = MADE, seed: int = SEED) -> DataFrame:
+    """Labelled findings, ``made`` of each surrounding and form of value."""
+    word = lambda i: F.element_at(F.array(*map(F.lit, DICTIONARY)), (
+        F.pmod(F.xxhash64("hex", F.lit(i)), F.lit(len(DICTIONARY))) + 1).cast("int"))
+    pick = lambda of: F.element_at(F.array(*map(F.lit, of)), (F.pmod(F.xxhash64("hex"), F.lit(len(of))) + 1).cast("int"))
+    part = lambda at, n: F.substring("hex", at, n)
+    code = F.translate(F.base64(F.unhex(part(1, 48))), "+/", "Zq")
+    digit = part(60, 1)
+    forms = {
+        "hex32": part(1, 32), "hex40": part(1, 40), "hex64": F.col("hex"), "base64": code,
+        "uuid": F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12)),
+        "short": F.concat(word(1), F.substring(code, 1, 3), F.lit("7")),
+        "words": F.concat_ws("-", word(1), word(2), word(3)),
+        "slug": F.concat_ws("/", F.lit("com"), word(1), F.lit("2024"), F.concat_ws("-", word(2), word(3), word(4), digit)),
+        "ident": F.concat_ws("_", word(1), word(2), word(3), F.lit("2")),
+        "digits": F.substring(F.translate("hex", "abcdef", "123456"), 1, 18),
+        "person": F.initcap(word(1)),
+        "stand_in": pick(("$OTHER", "${SECRET_1}", "%TOKEN%", "changeme", "None", "your-key-here", "<token>", "xxxxxxxx", "true")),
+        "known": pick(("AKIA", "ASIA")),
+    }
+    forms["known"] = F.concat(forms["known"], F.upper(part(1, 16)))
+    around = ("earlier", "before", "lead", "tail", "after")
+    kinds = [F.struct(F.lit(k).alias("kind"), F.lit(label).alias("label"), F.lit(form).alias("form"),
+                      *[F.lit(text).alias(c) for c, text in zip(around, texts)])
+             for k, (label, (*texts, which)) in enumerate([(1, x) for x in SECRET] + [(0, x) for x in HARMLESS])
+             for form in which.split()]
+    values = materialise(
+        spark.range(made).select("id", F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256).alias("hex"))
+        .select("id", F.create_map(*[x for k, v in forms.items() for x in (F.lit(k), v)]).alias("forms"),
+                pick(NAMES).alias("name"), F.array(*[word(10 + i) for i in range(len(around))]).alias("w")))
+    filled = [F.replace(F.replace(F.col(c), F.lit("{name}"), F.col("name")), F.lit("{w}"), F.col("w")[i]).alias(c)
+              for i, c in enumerate(around)]
+    return materialise(values.select("*", F.inline(F.array(*kinds))).select(
+        F.concat_ws(":", F.lit("made"), "kind", "id").alias("doc_id"), F.lit("").alias("path"), F.lit(1).alias("place"),
+        F.lit(0).alias("run"), F.element_at("forms", F.col("form")).alias("candidate"), *filled, "label"))
+
+
+def scan(docs: DataFrame, labelled_by: Column, path: str = "source", more: DataFrame | None = None) -> DataFrame:
     """All findings with score and verdict. ``labelled_by`` labels candidates
-    (0, 1 or null); the forest learns from the labelled ones."""
+    (0, 1 or null); the forest learns from the labelled ones, and from ``more``
+    labelled findings of the same columns (null: only from the first)."""
     found = materialise(candidates(docs, path))
-    score = train(found.withColumn("label", labelled_by))
+    labelled = found.withColumn("label", labelled_by)
+    if more is not None:
+        labelled = labelled.withColumn("doc_id", F.col("doc_id").cast("string")).unionByName(more)
+    score = score_sql(fit(labelled))
     return with_features(found).select(
         "doc_id", "place", "run", "candidate", F.expr(f"cast({score} as double)").alias("score")).withColumn(
             "is_secret", F.col("score") >= 0.5)
@@ -239,4 +341,4 @@ def obvious() -> Column:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(documents(spark, sf_dir), obvious())
+    return scan(documents(spark, sf_dir), obvious(), more=made_findings(spark))
