@@ -3,11 +3,13 @@
 A store of line hashes is a list of runs, each a table bucketed and sorted by
 hash, in which no hash occurs twice over all runs. A batch of documents is
 reduced to its distinct hashes with the smallest doc_id holding each, which are
-merge-anti-joined with every run in turn: the batch is dealt by hash once, the
-runs are read where their buckets lie. What remains is new and becomes a run of
-level 0; when a level has ``fanout`` runs they are merged into one of the next
-level. A line whose hash is in an older run, or whose holder in its own batch
-is another document, goes.
+merge-anti-joined with every run in turn: the batch is dealt and sorted by hash
+once, the runs are read where their buckets lie and in the order they were
+written in (``as_written``). What remains is new and becomes a run of level 0;
+when a level has ``fanout`` runs they are merged bucket by bucket into one of
+the next level. The last batch becomes no run, as nothing reads it. A line
+whose hash is in an older run, or whose holder in its own batch is another
+document, goes.
 
 ``dedup`` feeds documents in ascending doc_id, in batches cut at quantiles of
 doc_id, so the first holder is the smallest doc_id.
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import string
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +44,28 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACES)), string.ascii_uppercase, string.ascii_lowercase)
 
 
+#: Spark takes a bucket's order from its one file, and keeps buckets whole where
+#: a plan has neither join nor aggregate, only if these say so.
+AS_WRITTEN = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+              "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+
+
+@contextmanager
+def as_written(spark: SparkSession):
+    """What is planned inside reads bucketed tables by bucket and in order."""
+    before = {k: spark.conf.get(k) for k in AS_WRITTEN}
+    try:
+        for k, v in AS_WRITTEN.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 class LineRuns:
     """The store. ``add`` takes distinct (hash, holder) rows of a batch and
-    returns those that no run has, read from the new run."""
+    returns those that no run has; after the last batch none is added."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout = spark, fanout
@@ -52,28 +74,41 @@ class LineRuns:
         self.tables: list[str] = []
 
     def _write(self, df: DataFrame) -> str:
+        """One file per bucket, from a task per bucket."""
         name = f"llm_lines_{uuid.uuid4().hex}"
         self.tables.append(name)
-        (df.repartition(self.buckets, "hash").write.format("parquet")
-         .bucketBy(self.buckets, "hash").sortBy("hash").saveAsTable(name))
+        df.write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash").saveAsTable(name)
         return name
 
+    def merged(self, one: str, other: str) -> DataFrame:
+        """All rows of two runs, which share no hash: a merge of bucket k of
+        both in task k, without a shuffle or a sort of either."""
+        a, b = self.spark.table(one), self.spark.table(other).withColumnRenamed("first", "second")
+        return a.join(b.hint("merge"), "hash", "full_outer").select("hash", F.coalesce("first", "second").alias("first"))
+
     def _put(self, name: str, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            merged = self.spark.table(runs[0])
+            merged = runs[0]
             for run in runs[1:]:
-                merged = merged.unionByName(self.spark.table(run))
-            self._put(self._write(merged), level + 1)
+                with as_written(self.spark):
+                    merged = self._write(self.merged(merged, run))
+            self._put(merged, level + 1)
 
-    def add(self, batch: DataFrame) -> DataFrame:
+    def unseen(self, batch: DataFrame) -> DataFrame:
+        """The rows of a batch that no run has."""
         for run in (r for level in reversed(self.levels) for r in level):
-            batch = batch.join(self.spark.table(run).select("hash"), "hash", "left_anti")
-        new = materialise(batch)
-        self._put(self._write(new), 0)
+            batch = batch.join(self.spark.table(run).select("hash").hint("merge"), "hash", "left_anti")
+        return batch
+
+    def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
+        with as_written(self.spark):
+            new = materialise(self.unseen(batch))
+        if not last:
+            self._put(self._write(new.repartition(self.buckets, "hash")), 0)
         return new
 
     def close(self) -> None:
@@ -97,7 +132,7 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT)
     try:
         for b in range(len(cuts) + 1):
             own = lines.where(F.col("batch") == b)
-            new = runs.add(own.groupBy("hash").agg(F.min("holder").alias("first")))
+            new = runs.add(own.groupBy("hash").agg(F.min("holder").alias("first")), last=b == len(cuts))
             gone.append(materialise(
                 own.join(new, "hash", "left")
                 .where(F.col("first").isNull() | (F.col("first") != F.col("holder")))
