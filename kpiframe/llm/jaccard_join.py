@@ -6,11 +6,12 @@ sets have a Jaccard similarity of at least ``threshold``:
 
 1. Every text is hashed once to its set's digest and ``BANDS`` MinHash bands.
    Documents with equal sets collapse to one node before anything is paired.
-2. Nodes that share a band are linked to the smallest node of that band, a star
-   per band and not its pairs; the components of these links are clusters, and
-   no pair that shares a band is split by them.
-3. A cluster is cut into chunks of bounded documents and shingles, and each
-   pair of chunks is one block. In a block the MinHash values of a node and all
+2. The smallest node of a band is its hub. Nodes that share bands are gathered
+   around the smallest hub of theirs, and what is around one hub is cut into
+   chunks of bounded documents and shingles, so a chunk holds neighbours.
+3. Two chunks make a block if some band reaches into both; a set is sent to the
+   blocks of its chunk and to no others, and every pair that shares a band is in
+   exactly one block. In a block the MinHash values of a node and all
    others are compared ``STEP`` at a time; a pair is dropped as soon as the
    posterior probability (uniform prior) that it reaches the threshold falls
    below ``TOLERANCE``. The rest is verified on the whole shingle sets.
@@ -199,10 +200,10 @@ def _compare(batches, threshold: float, checks: list[tuple[int, int]]):
     block, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if (row["cluster"], row["i"], row["j"]) != block:
+            if (row["a"], row["b"]) != block:
                 if len(rows) > 1:
                     yield out(list(pairs(rows)))
-                block, rows = (row["cluster"], row["i"], row["j"]), []
+                block, rows = (row["a"], row["b"]), []
             rows.append(row)
     if len(rows) > 1:
         yield out(list(pairs(rows)))
@@ -221,26 +222,29 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     banded = nodes.select("node", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last")
-    stars = banded.join(hubs, "band").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    clusters = components(stars).select("node", F.col("root").alias("cluster"))
-
-    members = materialise(nodes.drop("bands").join(clusters, "node"))
-    cuts = members.groupBy("cluster").agg(F.greatest(
+    shared = materialise(banded.join(hubs.drop("last"), "band"))
+    around = shared.groupBy("node").agg(F.min("hub").alias("around"))
+    near = nodes.drop("bands").join(around, "node")
+    cuts = near.groupBy("around").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / CHUNK_DOCS), F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int").alias("cuts"))
-    dealt = (members.join(cuts, "cluster")
-             .withColumn("chunk", F.pmod(F.hash("digest"), "cuts").cast("int"))
-             .withColumn("with_chunk", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-             .select("first_key", "cluster", "digest", "copies",
-                     F.least("chunk", "with_chunk").alias("i"), F.greatest("chunk", "with_chunk").alias("j"),
-                     (F.col("chunk") > F.col("with_chunk")).cast("int").alias("side"),
-                     (F.col("chunk") != F.col("with_chunk")).alias("two")))
+    members = materialise(near.join(cuts, "around").withColumn(
+        "chunk", F.xxhash64("around", F.pmod(F.hash("digest"), "cuts"))).drop("around", "cuts", "n_shingles"))
+    reach = materialise(shared.join(members.select("node", "chunk"), "node").select("band", "chunk").distinct())
+    met = materialise(
+        reach.withColumnRenamed("chunk", "a").join(reach.withColumnRenamed("chunk", "b"), "band").where("a <= b")
+        .select("a", "b").distinct())
+    own = ["first_key", "digest", "copies", "a", "b"]
+    dealt = (
+        members.withColumnRenamed("chunk", "a").join(met, "a").select(*own, F.lit(0).alias("side"), (F.col("a") != F.col("b")).alias("two"))
+        .unionByName(members.withColumnRenamed("chunk", "b").join(met.where("a <> b"), "b")
+                     .select(*own, F.lit(1).alias("side"), F.lit(True).alias("two"))))
     # members grow with the corpus: always a merge join, whatever their size is now
     wanted = members.select(F.col("first_key").alias("key")).hint("merge")
     sets = _sets(texts.join(wanted, "key", "left_semi"), False)
     sets = sets.select("digest", "shingles").dropDuplicates(["digest"])
-    blocks = (dealt.join(sets, "digest").select("cluster", "i", "j", "side", "two", "digest", "copies", "shingles")
-              .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster", "i", "j")
-              .sortWithinPartitions("cluster", "i", "j", "side", "digest"))
+    blocks = (dealt.join(sets, "digest").select("a", "b", "side", "two", "digest", "copies", "shingles")
+              .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+              .sortWithinPartitions("a", "b", "side", "digest"))
     found = materialise(blocks.mapInArrow(lambda it: _compare(it, threshold, checks),
                                           "digest binary, other binary, links bigint"))
 
