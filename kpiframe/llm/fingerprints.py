@@ -20,7 +20,8 @@ A fingerprint is text: per filter its feature count, a colon and its bits in
 base64, filters joined by a dot. Equal texts have equal fingerprints.
 
 ``neighbours`` gives every document its next one in descending doc_id. Quantiles
-of doc_id cut the documents into buckets; the first document of each bucket is
+of doc_id, and of the texts' hashes where many rows share one id or have none,
+cut the documents into buckets; the first document of each bucket is
 copied to the end of the one before, so a bucket holds all that its documents
 need, texts are shuffled once, and no order is made in one task.
 
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -205,19 +207,35 @@ def _row(one, following) -> dict:
             "near_edited": likeness(print_, new_print), "near_next": likeness(print_, next_print)}
 
 
+def _cuts(rows: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """Upper bounds (place, tie) of about equal buckets, ascending. A place
+    that several quantiles fall on, which rows with one doc_id or none share, is
+    cut at quantiles of its own ties."""
+    grid = [k / parts for k in range(1, parts)]
+    many = Counter(rows.select(F.percentile_approx("place", grid, 10_000)).first()[0] or [])
+    hot = [p for p, times in many.items() if times > 1]
+    cuts = {(p, 2**63 - 1) for p in many}
+    if hot:
+        for r in rows.where(F.col("place").isin(hot)).groupBy("place").agg(
+                F.percentile_approx("tie", grid, 10_000).alias("ties")).collect():
+            times = many[r["place"]]
+            cuts |= {(r["place"], r["ties"][k * len(grid) // (times + 1)]) for k in range(1, times + 1)}
+    return sorted(cuts)
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document, its edited text and its next document."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     rows = docs.select(F.col("doc_id").cast("long"), "text", place.alias("place"))
-    cuts = sorted(set(rows.select(F.percentile_approx(
-        "place", [k / parts for k in range(1, parts)], 10_000)).first()[0] or [])) if parts > 1 else []
+    order = F.xxhash64("text")
+    cuts = _cuts(rows.select("place", order.alias("tie")), parts) if parts > 1 else []
     # buckets descend: 0 holds the largest ids
     bucket = F.lit(len(cuts)) - F.coalesce(F.array_size(F.filter(
-        F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c < F.col("place"))), F.lit(0))
+        F.array(*[F.struct(F.lit(p).alias("place"), F.lit(t).alias("tie")) for p, t in cuts])
+        .cast("array<struct<place:bigint,tie:bigint>>"), lambda c: c < F.struct(F.col("place"), order.alias("tie")))), F.lit(0))
     rows = rows.withColumn("bucket", bucket)
-    order = F.xxhash64("text")
     lead = materialise(rows.select("bucket", "place", order.alias("tie")).groupBy("bucket").agg(
         F.max(F.struct("place", "tie")).alias("lead")))
     starts = {r["bucket"]: (r["lead"]["place"], r["lead"]["tie"]) for r in lead.collect()}
@@ -242,7 +260,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     kind = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                       ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                       ("near_edited", pa.float64()), ("near_next", pa.float64())])
-    return (every.repartitionByRange(parts, "bucket")
+    return (every.repartitionByRange(max(parts, len(cuts) + 1), "bucket")
             .sortWithinPartitions("bucket", "copy", F.desc("place"), F.desc("tie"))
             .select("bucket", "copy", "doc_id", "text").mapInArrow(
                 run, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
