@@ -14,8 +14,10 @@ so a source with a third of all rows is spread over its leaves; only the table
 with one row per source passes through one task.
 
 Defined cases: null text has size 0; a null source is a source of its own, the
-last in order; a null doc_id hashes as an empty string; rows that agree in key,
-id and size are interchangeable; documents without words are never taken; an
+last in order; a null doc_id hashes as an empty string; rows that share an id
+have keys of their own by their texts, so an id that a third of all rows have is
+spread like others; rows that agree in id and text share a key and are
+interchangeable; documents without words are never taken; an
 empty table gives an empty result; other columns of the input are carried only
 where asked for.
 """
@@ -41,8 +43,9 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_key(doc_id: Column, seed: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def random_key(doc_id: Column, text: Column, seed: int) -> Column:
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"),
+                            F.md5(F.coalesce(text, F.lit("")))))
     return F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -77,7 +80,7 @@ def plan(docs: DataFrame, carry: tuple[str, ...] = (), seed: int = SEED, weights
     also the struct ``row`` of those columns of ``docs``."""
     src = F.when(F.col("source").isNull(), "t").otherwise(F.concat(F.lit("s"), F.col("source")))
     rows = docs.select("doc_id", src.alias("src"), n_words(F.col("text")).alias("size"),
-                       random_key(F.col("doc_id"), seed).alias("key"),
+                       random_key(F.col("doc_id"), F.col("text"), seed).alias("key"),
                        *([F.struct(*[docs[c] for c in carry]).alias("row")] if carry else []))
     narrow = materialise(rows.drop("row"))
     bits = max(0, math.ceil(math.log2(max(1, narrow.count()) / LEAF_ROWS)))
@@ -143,7 +146,8 @@ ORACLE = {"op1_mixing": f"""
 WITH d AS (
   SELECT doc_id, coalesce(source, chr(1114111)) AS src, source IS NULL AS unnamed,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, {KEY_BITS // 4}))::BIGINT AS key
+         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))),
+                         1, {KEY_BITS // 4}))::BIGINT AS key
   FROM documents),
 s AS (
   SELECT src, unnamed, sum(size)::BIGINT AS source_size,
