@@ -12,6 +12,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "quality_ablations": quality_rules.quality_ablations,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_toxicity": toxicity.op9_toxicity,
