@@ -375,6 +375,49 @@ def test_runs_are_read_and_merged_as_they_lie(spark):
         runs.close()
 
 
+def test_line_dedup_writes_each_table_once(spark, monkeypatch):
+    """Each table is a file per bucket: the lines, a run per batch but the last, whose new hashes
+    are no run, a merge of two runs, and the lines that go; before, twice as many."""
+    rows = [(i, "a line that all share\n" + f"a line of group {i % 60}\nshort\n" + f"one line of {i} alone", "en", "s", 0)
+            for i in range(400)]
+    seen = {"tables": 0, "runs": 0}
+
+    def counted(name, f):
+        def g(*args):
+            seen[name] += 1
+            return f(*args)
+        return g
+
+    monkeypatch.setattr(line_dedup, "materialise", counted("tables", line_dedup.materialise))
+    monkeypatch.setattr(line_dedup.LineRuns, "_write", counted("runs", line_dedup.LineRuns._write))
+    done = line_dedup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(5), batches=4)
+    assert seen == {"tables": 3, "runs": 4}
+    got = {r["doc_id"]: tuple(r[done.columns[-1]]) for r in done.collect()}
+    assert len(got) == 400 and got[0] == (4, 0, rows[0][1])
+    assert all(got[i] == (4, 1, "\n".join(rows[i][1].split("\n")[1:])) for i in range(1, 60))
+    assert all(got[i] == (4, 2, f"short\none line of {i} alone") for i in range(60, 400))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_lines_")]
+
+
+def test_a_run_has_a_file_per_bucket_and_is_split_only_as_files(spark):
+    """However a batch is dealt, repeats included; a join with it as files shuffles both sides."""
+    from kpiframe.plans.inspect import explain_text
+    batch = spark.range(0, 3000, 1, 7).select(
+        F.unhex(F.md5((F.col("id") % 1000).cast("string"))).alias("hash"), F.col("id").alias("first"))
+    runs = line_dedup.LineRuns(spark)
+    try:
+        for k in (0, 1):
+            new = runs.add(batch.where(F.col("id") % 2 == k))
+            assert sorted(r["first"] for r in new.collect()) == [*range(k, 1000, 2)]
+            assert len(spark.table(runs.tables[-1]).inputFiles()) <= runs.buckets
+        exchanges = lambda: explain_text(batch.join(new.hint("merge"), "hash")).count("Exchange (")
+        with line_dedup.as_files(spark):
+            assert exchanges() == 2
+        assert exchanges() == 1
+    finally:
+        runs.close()
+
+
 def test_fingerprints_and_mixing_split_an_id_that_many_rows_share(spark):
     rows = [(7 if i % 3 else None if i % 2 else i, f"text {i} " + "word " * (i % 40), "en", "s", 0) for i in range(900)]
     df = spark.createDataFrame(rows, SCHEMA)
