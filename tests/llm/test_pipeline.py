@@ -75,10 +75,11 @@ def plain_mix(rows):
         goal.update({s: mixing.MOST_EPOCHS * sizes[s] for s in full} if full else share)
         left -= sum(mixing.MOST_EPOCHS * sizes[s] for s in full)
         free = free - full if full else set()
-    key = lambda i: int(hashlib.md5(f"{mixing.SEED}:{'' if i is None else i}".encode()).hexdigest()[:15], 16)
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    key = lambda i, t: int(md5(f"{mixing.SEED}:{'' if i is None else i}:{md5(t or '')}")[:15], 16)
     out = []
     for s in sources:
-        order = sorted((key(i), i, len(words(t)), t) for i, x, t in rows if x == s)
+        order = sorted((key(i, t), i, len(words(t)), t) for i, x, t in rows if x == s)
         budget = round(goal[s])
         while budget and sizes[s]:
             for _, i, size, text in order:
