@@ -418,6 +418,51 @@ def test_a_run_has_a_file_per_bucket_and_is_split_only_as_files(spark):
         runs.close()
 
 
+def test_line_dedup_hashes_a_text_once_and_not_with_each_line(spark, monkeypatch):
+    """The explode carries a document's key and holder; before, its text, hashed for each line."""
+    import re
+
+    from kpiframe.plans.inspect import explain_text
+    plans, write = [], line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df, *by: plans.append(explain_text(df)) or write(df, *by))
+    rows = [(i, "A shared line\n\t \n short \n" + f" Línea ÉÑ número {i % 7}\r", "en", "s", 0) for i in range(20)]
+    done = line_dedup.dedup(spark.createDataFrame(rows, SCHEMA))
+    out = done.columns[-1]
+    carried = re.findall(r"posexplode\(.*?\), \[(.*?)\], false", plans[0], re.S)
+    assert carried and all(re.fullmatch(r"row#\d+, holder#\d+L?", c) for c in carried), carried
+    got = {r["doc_id"]: tuple(r[out]) for r in done.collect()}
+    assert got[0] == (4, 0, rows[0][1]) and got[7] == (4, 2, "\t \n short ")
+    assert all(got[i] == (4, 1, rows[i][1].split("\n", 1)[1]) for i in range(1, 7))
+
+
+def test_line_keys_lower_only_a_to_z(spark):
+    lines = ["", "PLAIN Ascii @[`{ 09", "ÀÉÑ Straße", "KELVIN \u212a", "\u0130STANBUL", "ΣΑΣ Sigma", "\U00010400 Deseret", "A\u0130"]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select(line_dedup.lowered(F.col("line")).alias("k")).collect()
+    assert [r["k"] for r in got] == ["".join(c.lower() if "A" <= c <= "Z" else c for c in x) for x in lines]
+
+
+def test_line_dedup_has_as_many_buckets_as_its_lines_fill(spark, monkeypatch):
+    """Before, a file per shuffle partition of each table, however few lines it had."""
+    rows = [(i, "\n".join(f"line {(i * 7 + k) % 900} of all" for k in range(10)), "en", "s", 0) for i in range(300)]
+    df, least = spark.createDataFrame(rows, SCHEMA).repartition(3), spark.sparkContext.defaultParallelism
+    buckets, write = [], line_dedup.LineRuns._write
+    monkeypatch.setattr(line_dedup.LineRuns, "_write", lambda self, new: buckets.append(self.buckets) or write(self, new))
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for partitions, size, want in ((least + 40, 2**18, least), (least + 40, 3000 // (least + 2), least + 3), (3, 100, 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            monkeypatch.setattr(line_dedup, "BUCKET_LINES", size)
+            done = line_dedup.dedup(df)
+            results.append(Counter((r["doc_id"], tuple(r[done.columns[-1]])) for r in done.collect()))
+            assert want - 1 <= buckets[-1] <= want and len(set(buckets)) == 1, buckets
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+            buckets.clear()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    assert results[0] == results[1] == results[2] and sum(c[1][1] for c in results[0].elements()) == 3000 - 900
+
+
 def test_fingerprints_and_mixing_split_an_id_that_many_rows_share(spark):
     rows = [(7 if i % 3 else None if i % 2 else i, f"text {i} " + "word " * (i % 40), "en", "s", 0) for i in range(900)]
     df = spark.createDataFrame(rows, SCHEMA)
